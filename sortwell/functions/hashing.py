@@ -105,4 +105,4 @@ def text_hash64(text: Column | str) -> Column:
         )
 
     hashes = F.transform(text_tokens(text), lambda t: parse_hash64(F.substring(F.md5(t), 1, 16)))
-    return _bind(hashes, assemble)
+    return F.when(_col(text).isNotNull(), _bind(hashes, assemble))

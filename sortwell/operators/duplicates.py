@@ -21,16 +21,21 @@ def exact_duplicates(
             F.col(key).alias("_key"), F.col(order).alias("_order"), F.col(digest).alias("digest")
         )
     )
+    first_key = F.min("_key") if order == key else F.min_by("_key", "_order")
     groups = (
         rows.groupBy("digest")
-        .agg(F.min(F.struct("_order", "_key")).alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .agg(
+            F.min("_order").alias("_first_order"),
+            first_key.alias("first_key"),
+            F.count(F.lit(1)).alias("_n"),
+        )
         .where(F.col("_n") > 1)
     )
     stars = attach_to_members(
         rows, groups, "digest", spread_by="_key", size_col="_n", hot_rows=hot_rows
     )
-    return stars.where(F.col("_order") != F.col("_first._order")).select(
-        "digest", F.col("_first._key").alias("first_key"), F.col("_key").alias("duplicate_key")
+    return stars.where(F.col("_order") != F.col("_first_order")).select(
+        "digest", "first_key", F.col("_key").alias("duplicate_key")
     )
 
 

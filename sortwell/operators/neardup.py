@@ -112,17 +112,20 @@ def _found_here(x: Column, block_set: Column, masks: list[int]) -> Column:
 
 
 def _join_buckets(keyed: DataFrame, on: list[str], max_distance: int, masks: list[int]) -> DataFrame:
-    a = keyed.select(*on, F.col("hash").alias("hash_a"))
-    b = keyed.select(*[F.col(c).alias(f"{c}_b") for c in on], F.col("hash").alias("hash_b"))
-    same_bucket = [F.col(c) == F.col(f"{c}_b") for c in on]
-    x = F.col("hash_a").bitwiseXOR(F.col("hash_b"))
+    # Both sides are the very same plan, so the keys are shuffled once and read twice.
+    a, b = keyed.alias("a"), keyed.alias("b")
+    same_bucket = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in on]
+    x = F.col("a.hash").bitwiseXOR(F.col("b.hash"))
     close = (
-        (F.col("hash_a") < F.col("hash_b"))
+        (F.col("a.hash") < F.col("b.hash"))
         & (F.bit_count(x) <= max_distance)
-        & _found_here(x, F.col("block_set"), masks)
+        & _found_here(x, F.col("a.block_set"), masks)
+    )
+    return a.join(b, [*same_bucket, close]).select(
+        F.col("a.hash").alias("hash_a"),
+        F.col("b.hash").alias("hash_b"),
+        hamming64("a.hash", "b.hash").alias("hash_distance"),
     )
-    joined = a.join(b, [*same_bucket, close])
-    return joined.select("hash_a", "hash_b", hamming64("hash_a", "hash_b").alias("hash_distance"))
 
 
 def _join_hot_buckets(

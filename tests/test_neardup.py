@@ -1,0 +1,207 @@
+import itertools
+import random
+
+import pytest
+from conftest import plan_of, rows
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from sortwell.functions.hashing import signed64
+from sortwell.operators import neardup
+from sortwell.operators.neardup import Blocks
+from sortwell.session import settled, small_table
+
+MODES = ["8", "t+1", "triples", "auto", Blocks(9, 2)]
+
+
+def flipped(value, n, rng):
+    for bit in rng.sample(range(64), n):
+        value ^= 1 << bit
+    return value
+
+
+def sample_hashes(seed=3, hot=200):
+    rng = random.Random(seed)
+    values = [0, 2**64 - 1, 1 << 63, 1]
+    for _ in range(40):
+        base = rng.getrandbits(64)
+        values += [base] + [flipped(base, d, rng) for d in (0, 1, 3, 4, 5, 6, 8)]
+    # Five flips, each in another 8-bit band.
+    values.append(values[4] ^ sum(1 << 8 * b for b in range(5)))
+    values += [0x5555555555555555] * hot
+    return [(f"k{i:04d}", signed64(v)) for i, v in enumerate(values)]
+
+
+def crowded_hashes(n=400, seed=5):
+    """A third share their upper half and thereby many buckets; the others are spread."""
+    rng = random.Random(seed)
+    values = {rng.getrandbits(26) << 3 | 0xABCD << 48 for _ in range(n // 3)}
+    values |= {flipped(v, 4, rng) & (2**32 - 1) | v >> 32 << 32 for v in list(values)[: n // 8]}
+    values |= {rng.getrandbits(64) for _ in range(n - len(values))}
+    return [(f"k{i:04d}", signed64(v)) for i, v in enumerate(sorted(values))]
+
+
+def distance(a, b):
+    return ((a ^ b) & (2**64 - 1)).bit_count()
+
+
+def all_pairs(data, d):
+    return sorted(
+        (min(a[0], b[0]), max(a[0], b[0]), distance(a[1], b[1]))
+        for a, b in itertools.combinations(data, 2)
+        if distance(a[1], b[1]) <= d
+    )
+
+
+def expanded(data, relations):
+    """Every key pair that the linear output stands for."""
+    first = {}
+    for key, h in sorted(data):
+        first.setdefault(h, key)
+    members = {}
+    for key, h in data:
+        members.setdefault(first[h], []).append(key)
+    pairs = [
+        (a, b, 0) for keys in members.values() for a, b in itertools.combinations(sorted(keys), 2)
+    ]
+    for a, b, d in relations:
+        if d > 0:
+            pairs += [(min(x, y), max(x, y), d) for x in members[a] for y in members[b]]
+    return sorted(pairs)
+
+
+@pytest.mark.parametrize("bands", MODES, ids=str)
+@pytest.mark.parametrize("d", [1, 3, 5])
+def test_every_mode_equals_brute_force(spark, bands, d):
+    if isinstance(bands, Blocks):
+        bands = Blocks(9, min(bands.matched, 9 - d))
+    data = sample_hashes()
+    df = small_table(spark, data, "key string, hash bigint")
+    found = rows(neardup.near_duplicates(df, key="key", hash_col="hash", max_distance=d, bands=bands))
+    assert len(found) == len(set(found))
+    assert all(a < b for a, b, _ in found)
+    assert expanded(data, found) == all_pairs(data, d)
+
+
+def test_distance_zero_gives_only_equal_hashes(spark):
+    data = sample_hashes()
+    df = small_table(spark, data, "key string, hash bigint")
+    found = rows(neardup.near_duplicates(df, key="key", hash_col="hash", max_distance=0))
+    assert expanded(data, found) == all_pairs(data, 0)
+
+
+def test_output_of_a_hot_hash_is_linear(spark):
+    data = sample_hashes(hot=1000)
+    df = small_table(spark, data, "key string, hash bigint")
+    found = neardup.near_duplicates(df, key="key", hash_col="hash", hot_rows=50)
+    got = rows(found)
+    assert sum(1 for a, _, d in got if d == 0 and a == "k0325") == 999
+    assert expanded(data, got) == all_pairs(data, 5)
+
+
+@pytest.mark.parametrize("bands", ["8", "t+1", "triples"])
+def test_crowded_buckets_are_refined_without_loss(spark, bands):
+    data = crowded_hashes()
+    df = settled(small_table(spark, data, "key string, hash bigint").select("hash"))
+    found = rows(neardup.near_hash_pairs(df, bands=bands, bucket_rows=20))
+    expected = sorted(
+        (min(a[1], b[1]), max(a[1], b[1]), distance(a[1], b[1]))
+        for a, b in itertools.combinations(data, 2)
+        if distance(a[1], b[1]) <= 5
+    )
+    assert len(expected) > 20
+    assert sorted(found) == expected
+
+
+def test_null_hashes_are_left_out(spark):
+    df = small_table(spark, [("a", 1), ("b", None), ("c", 1)], "key string, hash bigint")
+    assert rows(neardup.near_duplicates(df, key="key", hash_col="hash")) == [("a", "c", 0)]
+
+
+def test_same_result_on_any_partitioning(spark):
+    df = small_table(spark, sample_hashes(), "key string, hash bigint")
+    one = rows(neardup.near_duplicates(df.coalesce(1), key="key", hash_col="hash"))
+    many = rows(neardup.near_duplicates(df.repartition(16), key="key", hash_col="hash"))
+    assert one == many
+
+
+def test_plan_has_no_pairwise_join(spark):
+    df = small_table(spark, sample_hashes(), "key string, hash bigint")
+    plan = plan_of(neardup.near_duplicates(df, key="key", hash_col="hash"))
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.integers(0, 2**64 - 1),
+    st.sets(st.integers(0, 63), max_size=5),
+    st.sampled_from([Blocks(8, 1), Blocks(6, 1), Blocks(8, 3), Blocks(11, 6)]),
+)
+def test_some_key_agrees_for_every_close_pair(value, bits, scheme):
+    other = value ^ sum(1 << b for b in bits)
+    assert any(value & m == other & m for _, m in scheme.keys())
+
+
+def test_block_masks_cover_each_bit_once():
+    for n in range(1, 13):
+        masks = Blocks(n, 1).block_masks()
+        assert sum(masks) == 2**64 - 1 and all(a & b == 0 for a, b in itertools.combinations(masks, 2))
+    rest = list(range(5, 64))
+    assert sum(Blocks(8, 3).block_masks(rest)) == sum(1 << b for b in rest)
+
+
+def test_lossy_schemes_are_rejected():
+    with pytest.raises(ValueError):
+        neardup.block_scheme("8", 10, 8)
+    with pytest.raises(ValueError):
+        neardup.block_scheme(Blocks(8, 4), 10, 5)
+    with pytest.raises(ValueError):
+        neardup.block_scheme("nine", 10, 5)
+
+
+def test_more_hashes_get_longer_keys():
+    bits = []
+    for n in (10**3, 10**6, 10**9, 10**11):
+        s = neardup.choose_blocks(n, 5)
+        bits.append(64 * s.matched / s.blocks)
+    assert bits == sorted(bits) and bits[-1] > bits[0]
+
+
+def test_summary_counts_pairs_without_listing_them(spark):
+    data = sample_hashes()
+    df = small_table(spark, data, "key string, hash bigint")
+    got = neardup.near_dup_summary(df, key="key", hash_col="hash").first()
+    pairs = list(itertools.combinations(data, 2))
+    share = lambda a, b: any((a ^ b) >> 8 * i & 255 == 0 for i in range(8))
+    assert got["n_hashed"] == len(data)
+    assert int(got["n_candidates"]) == sum(share(a[1], b[1]) for a, b in pairs)
+    assert int(got["n_near_pairs"]) == len(all_pairs(data, 5))
+
+
+def test_band_buckets(spark):
+    df = small_table(spark, [("a", 0), ("b", 1), ("c", 1)], "key string, hash bigint")
+    got = neardup.band_buckets(df, key="key", hash_col="hash").where("band = 7 or band = 0")
+    assert rows(got.select("band", "chunk", "n_keys", F.col("n_pairs").cast("int"))) == [
+        (0, 0, 3, 3), (7, 0, 1, 0), (7, 1, 2, 1),
+    ]
+
+
+def test_leakage_covers_every_straddling_pair(spark):
+    data = sample_hashes(hot=30)
+    rng = random.Random(1)
+    split = {key: rng.choice(["train", "validation", "test"]) for key, _ in data}
+    df = small_table(spark, data, "key string, hash bigint")
+    splits = small_table(spark, list(split.items()), "key string, split string")
+    got = neardup.near_dup_leakage(df, splits, key="key", hash_col="hash").collect()
+    expected = [(a, b) for a, b, _ in all_pairs(data, 5) if split[a] != split[b]]
+    assert sum(r.n_a * r.n_b for r in got) == len(expected)
+    assert all(r.split_a < r.split_b and split[r.key_a] == r.split_a for r in got)
+
+
+def test_pairs_sorted_by_distance_then_keys(spark):
+    pairs = [("b", "c", 1), ("a", "z", 0), ("a", "c", 1)]
+    df = small_table(spark, pairs, "key_a string, key_b string, hash_distance int")
+    assert [tuple(r) for r in neardup.sort_pairs(df).collect()] == [
+        ("a", "z", 0), ("a", "c", 1), ("b", "c", 1),
+    ]
