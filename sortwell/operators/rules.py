@@ -137,8 +137,8 @@ def enforce(report: DataFrame) -> None:
 
 def unique_key(df: DataFrame, key: str) -> DataFrame:
     """Number of keys that occur more than once."""
-    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return check(per_key, _zero(f"unique_key:{key}", F.col("n") > 1))
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return check(per_key, _zero(f"unique_key:{key}", F.col("_n") > 1))
 
 
 def alignment(left: DataFrame, right: DataFrame, *, key: str) -> DataFrame:
@@ -153,13 +153,13 @@ def bijection(vocab: DataFrame, *, name: str, index: str, size: int) -> DataFram
     `vocab` may be any table that holds the two columns; equal rows count once.
     """
     pairs = vocab.select(name, index).distinct()
-    names = pairs.groupBy(name).agg(F.count(F.lit(1)).alias("n"))
-    indices = pairs.groupBy(index).agg(F.count(F.lit(1)).alias("n"))
-    both = names.select(F.lit(1).alias("a"), "n").unionByName(indices.select(F.lit(0).alias("a"), "n"))
+    names = pairs.groupBy(name).agg(F.count(F.lit(1)).alias("_n"))
+    indices = pairs.groupBy(index).agg(F.count(F.lit(1)).alias("_n"))
+    both = names.select(F.lit(1).alias("a"), "_n").unionByName(indices.select(F.lit(0).alias("a"), "_n"))
     text = F.concat(
         F.coalesce(F.sum("a"), F.lit(0)).cast("string"), F.lit(" names, "),
         F.coalesce(F.sum(1 - F.col("a")), F.lit(0)).cast("string"), F.lit(" indices, "),
-        F.count_if(F.col("n") > 1).cast("string"), F.lit(" ambiguous"),
+        F.count_if(F.col("_n") > 1).cast("string"), F.lit(" ambiguous"),
     )
     expected = f"{size} names, {size} indices, 0 ambiguous"
     return check(both, Rule(f"bijection:{name}", expected, text, lambda seen: seen == F.lit(expected)))

@@ -13,6 +13,11 @@ def file_key(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
+def from_uri(uri: Column) -> Column:
+    """Path of a file URI; a plus sign in it is itself, not a blank."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def find_image_dir(spark: SparkSession, candidates: list[str], glob: str = "*.jpg") -> str:
     """First candidate folder that holds a matching file; sub-folders are not searched."""
     for folder in candidates:
@@ -24,11 +29,26 @@ def find_image_dir(spark: SparkSession, candidates: list[str], glob: str = "*.jp
 def scan_image_files(spark: SparkSession, candidates: list[str], glob: str = "*.jpg") -> DataFrame:
     """key, path, length, content of every matching file in the first candidate folder with any.
 
-    Contents are read only when selected.
+    Contents are read only when selected. Spark's file scans pass over files of zero bytes, so
+    these are added from the listing that the scan holds anyway.
     """
     folder = find_image_dir(spark, candidates, glob).rstrip("/")
     files = spark.read.format("binaryFile").load(f"{folder}/{glob}")
-    return files.select(file_key(F.col("path")).alias("key"), "path", "length", "content")
+    rows = files.select(file_key(F.col("path")).alias("key"), "path", "length", "content")
+    listed = _listed_files(spark, files).withColumn("key", file_key(F.col("path")))
+    empty = listed.join(rows.select("key"), "key", "left_anti").select(
+        "key", "path", F.lit(0).cast("bigint").alias("length"), F.lit(b"").alias("content")
+    )
+    return rows.unionByName(empty)
+
+
+def _listed_files(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """`files.inputFiles()` as a DataFrame, without a detour through Python lists."""
+    jvm = spark.sparkContext._jvm
+    names = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(files._jdf.inputFiles())
+    listed = spark._jsparkSession.createDataset(names, jvm.org.apache.spark.sql.Encoders.STRING())
+    uri = DataFrame(listed.toDF(), spark)
+    return uri.select(from_uri(F.col("value")).alias("path"))
 
 
 def decode_images(spark: SparkSession, candidates: list[str], glob: str = "*.jpg") -> DataFrame:
@@ -37,7 +57,7 @@ def decode_images(spark: SparkSession, candidates: list[str], glob: str = "*.jpg
     images = spark.read.format("image").load(f"{folder}/{glob}")
     i = F.col("image")
     return images.select(
-        file_key(i["origin"]).alias("key"),
+        file_key(from_uri(i["origin"])).alias("key"),
         i["height"].alias("height"),
         i["width"].alias("width"),
         i["nChannels"].alias("n_channels"),

@@ -37,7 +37,7 @@ def load_label_map(spark: SparkSession, path: str) -> DataFrame:
     """One JSON file, in numeric key order; an absent file gives an empty table."""
     if not _exists(spark, path):
         return small_table(spark, [], "source_label int, name string")
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return parse_label_map(text, "value").orderBy("source_label")
 
 
