@@ -44,12 +44,10 @@ def hash_groups(hashes: DataFrame, *, key: str, hash_col: str) -> DataFrame:
 
     Members are not gathered into one cell; `exact_duplicates` on the hash column lists them.
     """
-    return (
-        hashes.where(F.col(hash_col).isNotNull())
-        .groupBy(hash_col)
-        .agg(F.min(key).alias("first_key"), F.count(F.lit(1)).alias("n_keys"))
-        .where(F.col("n_keys") > 1)
-    )
+    # Counting the hash leaves rows without one at zero; a filter before the aggregation would
+    # make Spark work out a computed hash twice.
+    groups = hashes.groupBy(hash_col).agg(F.min(key).alias("first_key"), F.count(hash_col).alias("n_keys"))
+    return groups.where(F.col("n_keys") > 1)
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

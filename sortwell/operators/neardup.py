@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from sortwell.functions.hashing import bit_bands, hamming64, signed64
 from sortwell.operators.groups import attach_to_members
-from sortwell.session import lookup_side, one_row, settled, small_table
+from sortwell.session import lookup_side, one_row, settled, small_table, widened
 
 PAIR_COUNT = "decimal(38,0)"  # n * (n - 1) / 2 leaves BIGINT from about 4e9 rows on
 
@@ -87,12 +87,15 @@ def block_scheme(bands: str | Blocks, n_hashes: int, max_distance: int) -> Block
     return scheme
 
 
+def _constant_rows(rows: list[tuple[int, int]], names: tuple[str, str]) -> Column:
+    """Array of (INT, BIGINT) structs as one parsed expression; there may be hundreds of them."""
+    items = (f"named_struct('{names[0]}', {i}, '{names[1]}', {signed64(v)}L)" for i, v in rows)
+    return F.expr(f"array({', '.join(items)})")
+
+
 def _keyed(hashes: DataFrame, scheme: Blocks) -> DataFrame:
-    keys = [
-        F.struct(F.lit(s).alias("block_set"), F.lit(signed64(m)).cast("bigint").alias("mask"))
-        for s, m in scheme.keys()
-    ]
-    return hashes.select("hash", F.inline(F.array(*keys))).select(
+    keys = _constant_rows(scheme.keys(), ("block_set", "mask"))
+    return hashes.select("hash", F.inline(keys)).select(
         "block_set", F.col("hash").bitwiseAND(F.col("mask")).alias("bucket"), "hash"
     )
 
@@ -173,7 +176,7 @@ def near_hash_pairs(
         return small_table(hashes.sparkSession, [], empty)
     masks = scheme.block_masks()
     on = ["block_set", "bucket"]
-    keyed = _keyed(hashes, scheme)
+    keyed = _keyed(widened(hashes, "hash"), scheme)
     if n <= bucket_rows:  # then no bucket can hold more
         return _join_buckets(keyed, on, max_distance, masks)
     crowded = settled(
@@ -190,12 +193,15 @@ def near_hash_pairs(
 
 
 def collapse_hashes(hashes: DataFrame, *, key: str, hash_col: str) -> DataFrame:
-    """One row per distinct hash: hash, its smallest key, its number of keys."""
-    return (
-        hashes.where(F.col(hash_col).isNotNull())
-        .groupBy(F.col(hash_col).alias("hash"))
-        .agg(F.min(key).alias("first_key"), F.count(F.lit(1)).alias("n_keys"))
+    """One row per distinct hash: hash, its smallest key, its number of keys.
+
+    Rows without a hash count zero and drop out after the aggregation; a filter before it would
+    make Spark work out a computed hash twice.
+    """
+    groups = hashes.groupBy(F.col(hash_col).alias("hash")).agg(
+        F.min(key).alias("first_key"), F.count(hash_col).alias("n_keys")
     )
+    return groups.where(F.col("n_keys") > 0)
 
 
 def near_duplicates(
@@ -206,11 +212,7 @@ def near_duplicates(
 
     Rows with a null hash (unreadable content) are left out.
     """
-    rows = settled(
-        hashes.where(F.col(hash_col).isNotNull()).select(
-            F.col(key).alias("_key"), F.col(hash_col).alias("hash")
-        )
-    )
+    rows = settled(hashes.select(F.col(key).alias("_key"), F.col(hash_col).alias("hash")))
     groups = settled(collapse_hashes(rows, key="_key", hash_col="hash"))
     stars = attach_to_members(
         rows, groups.where(F.col("n_keys") > 1), "hash", spread_by="_key", size_col="n_keys",
@@ -263,26 +265,19 @@ def candidate_pair_count(groups: DataFrame, n: int = 8) -> DataFrame:
     """Number of distinct key pairs that agree on at least one of `n` bands.
 
     By inclusion and exclusion over the band subsets: one aggregation over 2^n - 1 keys per hash,
-    without listing a single pair.
+    without listing a single pair. `groups` is the settled result of `collapse_hashes`.
     """
-    scheme = Blocks(n, 1)
-    masks = scheme.block_masks()
+    masks = Blocks(n, 1).block_masks()
     subsets = [
-        (size, sum(masks[b] for b in chosen))
+        (1 if size % 2 else -1, sum(chosen))
         for size in range(1, n + 1)
-        for chosen in itertools.combinations(range(n), size)
-    ]
-    keys = [
-        F.struct(
-            F.lit(i).alias("subset"),
-            F.lit(signed64(m)).cast("bigint").alias("mask"),
-            F.lit(1 if size % 2 else -1).alias("sign"),
-        )
-        for i, (size, m) in enumerate(subsets)
+        for chosen in itertools.combinations(masks, size)
     ]
+    keys = _constant_rows(subsets, ("sign", "mask"))
     buckets = (
-        groups.select("hash", "n_keys", F.inline(F.array(*keys)))
-        .groupBy("subset", "sign", F.col("hash").bitwiseAND(F.col("mask")).alias("bucket"))
+        widened(groups, "hash")
+        .select("hash", "n_keys", F.inline(keys))
+        .groupBy("sign", "mask", F.col("hash").bitwiseAND(F.col("mask")).alias("bucket"))
         .agg(F.sum("n_keys").alias("n"))
         .where(F.col("n") > 1)
     )
@@ -333,11 +328,11 @@ def near_dup_leakage(
     smallest key and its number of keys; n_a * n_b key pairs leak. `splits` has one row per key.
     """
     nodes = settled(
-        hashes.where(F.col(hash_col).isNotNull())
-        .select(key, F.col(hash_col).alias("hash"))
+        hashes.select(key, F.col(hash_col).alias("hash"))
         .join(splits.select(key, F.col(split).alias("split")), key)
         .groupBy("hash", "split")
-        .agg(F.min(key).alias("key"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min(key).alias("key"), F.count("hash").alias("n"))
+        .where(F.col("n") > 0)
     )
     a = nodes.toDF("hash_a", "split_a", "key_a", "n_a")
     b = nodes.toDF("hash_b", "split_b", "key_b", "n_b")

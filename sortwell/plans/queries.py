@@ -49,7 +49,7 @@ def documents(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
 
 def hashed(spark: SparkSession, sf: str) -> DataFrame:
     """doc_id, fp: the text hash of every document."""
-    docs = spread(documents(spark, sf, "doc_id", "text"))
+    docs = spread(documents(spark, sf, "doc_id", "text"), "doc_id")
     return docs.select("doc_id", hashing.text_hash64("text").alias("fp"))
 
 

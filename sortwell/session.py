@@ -49,6 +49,18 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def widened(settled_df: DataFrame, key: str) -> DataFrame:
+    """Give a settled table at least one partition per core before its rows are multiplied.
+
+    Small tables come out of a shuffle in one partition. Large ones have enough and stay as they
+    are.
+    """
+    cores = settled_df.sparkSession.sparkContext.defaultParallelism
+    if settled_df.rdd.getNumPartitions() >= cores:
+        return settled_df
+    return settled_df.repartition(cores, key)
+
+
 def small_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
     """A driver-known list (vocabulary, registry, label map) as a local relation."""
     if isinstance(schema, str):

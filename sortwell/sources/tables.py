@@ -105,7 +105,7 @@ def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
     return one_split(spark.read.parquet(path), split)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, key: str) -> DataFrame:
     """Give a small scan enough partitions for work that is heavy per row.
 
     A file is split at row groups only, so a few small files keep most cores idle. Inputs of at
@@ -114,4 +114,4 @@ def spread(df: DataFrame) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     split_bytes = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    return df if size >= cores * split_bytes else df.repartition(cores)
+    return df if size >= cores * split_bytes else df.repartition(cores, key)

@@ -66,10 +66,10 @@ def test_write_overwrites(spark, tmp_path, fmt):
 
 def test_spread_leaves_large_scans_alone(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    assert "RoundRobin" in plan_of(tables.spread(docs))
+    assert "hashpartitioning(doc_id" in plan_of(tables.spread(docs, "doc_id"))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
     try:
-        assert "Exchange" not in plan_of(tables.spread(docs))
+        assert "Exchange" not in plan_of(tables.spread(docs, "doc_id"))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
