@@ -98,8 +98,10 @@ def audit_summary(
     distinct digests.
     """
     dims = files if dimension_files is None else dimension_files
-    existing = manifest.select(key).join(files.select(key, digest), key)
-    per_digest = existing.where(F.col(digest).isNotNull()).groupBy(digest).agg(F.count(F.lit(1)).alias("n"))
+    # One row per key before the join, so that an often repeated manifest key is no hot key there.
+    mentions = manifest.groupBy(key).agg(F.count(F.lit(1)).alias("mentions"))
+    existing = mentions.join(files.select(key, digest), key)
+    per_digest = existing.where(F.col(digest).isNotNull()).groupBy(digest).agg(F.sum("mentions").alias("n"))
     return one_row(
         manifest.agg(F.count(F.lit(1)).alias("n_records")),
         files.agg(

@@ -128,7 +128,8 @@ def split_metadata(metadata: DataFrame, ratios: tuple = (70, 15, 15), seed: int
 
 def evaluation_batches(
     splits: DataFrame, images: DataFrame, *, split: str, batch_size: int = 32,
-    curation: Curation = Curation(), options: ImageOptions = ImageOptions(),
+    files: DataFrame | None = None, curation: Curation = Curation(),
+    options: ImageOptions = ImageOptions(),
 ) -> DataFrame:
     """image_id, label, vec, position and batch_id of an evaluation split.
 
@@ -140,5 +141,6 @@ def evaluation_batches(
         assign_batches(rows, key="image_id", batch_size=batch_size), "image_id"
     )
     return preprocess_eval(
-        placed, images.withColumnRenamed("key", "image_id"), split=split, key="image_id", options=options
+        placed, images.withColumnRenamed("key", "image_id"), split=split, key="image_id",
+        files=None if files is None else files.select(F.col("key").alias("image_id")), options=options,
     )

@@ -73,18 +73,24 @@ def small_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructTy
     return spark.createDataFrame(table, schema=schema)
 
 
-def lookup_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Prepare an aggregated table (one row per class) for a join with the base rows.
+def bounded_copy(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
+    """The table as a broadcast local relation, or None when it has more than `max_rows` rows.
 
-    At most `max_rows + 1` rows are fetched. A table within the bound comes back as a broadcast
-    local relation; a larger one is returned as it is, and the join shuffles.
+    At most `max_rows + 1` rows are fetched to find out.
     """
     head = df.limit(max_rows + 1).toArrow()
     if head.num_rows > max_rows:
-        return df
+        return None
     return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
 
 
+def lookup_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Prepare an aggregated table (one row per class) for a join with the base rows: broadcast
+    when it is within the bound, else as it is, and the join shuffles."""
+    small = bounded_copy(df, max_rows)
+    return df if small is None else small
+
+
 def one_row(*frames: DataFrame) -> DataFrame:
     """Put one-row aggregates side by side without a join."""
     merged = frames[0]

@@ -131,6 +131,18 @@ def test_evaluation_preprocessing(spark, tmp_path):
     )
 
 
+def test_long_manifests_join_crops(spark, tmp_path, monkeypatch):
+    for i in range(3):
+        (tmp_path / f"{i}.jpg").write_bytes(png_bytes(blobs(260, 300, i)))
+    decoded = images.decode_images(spark, [str(tmp_path)])
+    manifest = small_table(spark, [("0.jpg", 1), ("2.jpg", 0)], "key string, label int")
+    short = pixels.preprocess_eval(manifest, decoded, split="test")
+    assert "Exchange hashpartitioning" not in plan_of(short)
+    monkeypatch.setattr(pixels, "bounded_copy", lambda df: None)
+    long = pixels.preprocess_eval(manifest, decoded, split="test")
+    assert sorted(short.collect()) == sorted(long.collect())
+
+
 def test_preprocessing_rejects_bad_input(spark, folder):
     decoded = images.decode_images(spark, candidates(folder))
     manifest = small_table(spark, [("a.jpg", 1)], "key string, label int")
@@ -142,7 +154,6 @@ def test_preprocessing_rejects_bad_input(spark, folder):
         pixels.preprocess_eval(missing, decoded, split="test")
     broken = small_table(spark, [("broken.jpg", 1)], "key string, label int")
     with pytest.raises(Exception, match="cannot be decoded"):
-        pixels.preprocess_eval(broken, decoded, split="test").count()
         pixels.preprocess_eval(broken, decoded, split="test").collect()
 
 

@@ -37,7 +37,8 @@ def test_manifest_to_batches(spark, dataset, tmp_path):
     assert rows(splits.groupBy("split").count()) == [("test", 6), ("train", 28), ("validation", 6)]
 
     decoded = images.decode_images(spark, dirs)
-    batch = jobs.evaluation_batches(splits, decoded, split="test", batch_size=4)
+    files = images.scan_image_files(spark, dirs)
+    batch = jobs.evaluation_batches(splits, decoded, split="test", batch_size=4, files=files)
     assert rows(batch.groupBy("batch_id").count()) == [(0, 4), (1, 2)]
     checks = rules.validation_report(
         batch, [rules.vector_shape("vec", (3, 224, 224)), rules.finite("vec"), rules.label_range("label", 5), rules.column_type(batch, "vec", "float")]
