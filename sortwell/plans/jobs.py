@@ -1,4 +1,5 @@
-"""The four curation jobs from end to end: metadata, audit, splits, evaluation batches."""
+"""The curation jobs from end to end: metadata, dataset audit, near-duplicate audit, splits,
+training and evaluation batches."""
 
 from __future__ import annotations
 
@@ -9,16 +10,17 @@ from pyspark.sql import functions as F
 
 from sortwell.operators import rules
 from sortwell.operators.batches import assign_batches
-from sortwell.operators.duplicates import exact_duplicates
-from sortwell.operators.pixels import ImageOptions, preprocess_eval
+from sortwell.operators.duplicates import exact_duplicates, hash_groups
+from sortwell.operators.neardup import Blocks, near_dup_leakage, near_dup_summary, near_duplicates, sort_pairs
+from sortwell.operators.pixels import ImageOptions, augmentation_plan, image_hash64, preprocess_eval
 from sortwell.operators.profile import (
     audit_summary, class_percentages, dimension_stats, format_counts, top_combinations,
 )
 from sortwell.operators.project import canonicalise, encode_labels, with_provenance
 from sortwell.operators.reconcile import attach_file_metadata, extra_files, missing_refs
 from sortwell.operators.split import check_splits, stratified_split
-from sortwell.session import settled
-from sortwell.sources.images import image_integrity
+from sortwell.session import one_row, settled
+from sortwell.sources.images import decode_images, image_integrity
 from sortwell.sources.tables import METADATA_SCHEMA, one_split, scan_manifest
 
 # Class vocabulary in index order, as the source labels 0 to 4 map to it.
@@ -117,6 +119,33 @@ def audit_dataset(spark: SparkSession, manifest_path: str, image_dirs: list[str]
     }
 
 
+def audit_near_duplicates(
+    spark: SparkSession, metadata: DataFrame, image_dirs: list[str], *, max_distance: int = 5,
+    bands: str | Blocks = "auto", splits: DataFrame | None = None,
+) -> dict[str, DataFrame]:
+    """Hashes of the listed images and every table made of them. Images are decoded once.
+
+    `splits` (image_id, split) adds the near duplicates that straddle two splits. Candidates call
+    for a look at the pictures; nothing is removed here.
+    """
+    images = decode_images(spark, image_dirs).withColumnRenamed("key", "image_id")
+    hashes = settled(
+        metadata.select("image_id").join(image_hash64(images, key="image_id"), "image_id", "left")
+    )
+    named = {"key": "image_id", "hash_col": "hash"}
+    how = {**named, "max_distance": max_distance, "bands": bands}
+    unhashed = hashes.agg(F.count_if(F.col("hash").isNull()).alias("n_unhashed"))
+    found = {
+        "hashes": hashes,
+        "groups": hash_groups(hashes, **named),
+        "pairs": sort_pairs(near_duplicates(hashes, **how)),
+        "summary": one_row(near_dup_summary(hashes, **how), unhashed),
+    }
+    if splits is not None:
+        found["leakage"] = near_dup_leakage(hashes, splits, **how)
+    return found
+
+
 def split_metadata(metadata: DataFrame, ratios: tuple = (70, 15, 15), seed: int = 42) -> DataFrame:
     """Metadata with a checked `split` column, stratified by canonical label."""
     splits = stratified_split(
@@ -144,3 +173,22 @@ def evaluation_batches(
         placed, images.withColumnRenamed("key", "image_id"), split=split, key="image_id",
         files=None if files is None else files.select(F.col("key").alias("image_id")), options=options,
     )
+
+
+def training_batches(
+    splits: DataFrame, *, epoch: int = 0, seed: int = 42, batch_size: int = 32,
+    curation: Curation = Curation(), options: ImageOptions = ImageOptions(),
+) -> DataFrame:
+    """image_id, label, position, batch_id and augmentation draws of one training epoch.
+
+    Every epoch has its own order and its own draws, both reproducible.
+    """
+    rows = encode_labels(one_split(splits, "train"), "canonical_label", curation.classes, out="label")
+    rules.enforce(rules.check(rows, rules.label_range("label", len(curation.classes))))
+    placed = rows.select("image_id", "label").join(
+        assign_batches(
+            rows, key="image_id", batch_size=batch_size, shuffle=True, seed=seed, epoch=epoch
+        ),
+        "image_id",
+    )
+    return augmentation_plan(placed, key="image_id", seed=seed, epoch=epoch, options=options)

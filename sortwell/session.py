@@ -23,6 +23,8 @@ def build_session(app: str = "sortwell", master: str | None = None, **conf: str)
         .config("spark.sql.session.timeZone", "UTC")
         # Rows that go through Arrow here are whole images, so batches stay short.
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+        # Settled tables go when nothing refers to them any more.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.showConsoleProgress", "false")
     )
     if master:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from sortwell.operators import rules
 from sortwell.plans import jobs
+from sortwell.session import settled
 from sortwell.sources import images, tables
 
 
@@ -67,3 +68,30 @@ def test_audit(spark, dataset):
     assert rows(found["formats"]) == [("PNG", 40)]
     assert found["classes"].agg(F.sum("percentage")).first()[0] == pytest.approx(100)
     assert found["missing"].count() == found["extra"].count() == found["unreadable"].count() == 0
+
+
+def test_near_duplicate_audit(spark, dataset, tmp_path):
+    dirs = [str(dataset / "train_images")]
+    manifest = tables.scan_manifest(spark, str(dataset / "train.csv"))
+    lost = spark.createDataFrame([("lost.jpg", 1)], tables.MANIFEST_SCHEMA)
+    metadata = jobs.build_metadata(manifest.unionByName(lost), images.image_integrity(spark, dirs))
+    splits = jobs.split_metadata(metadata)
+    found = jobs.audit_near_duplicates(spark, metadata, dirs, splits=splits)
+    summary = found["summary"].first()
+    assert (summary.n_hashed, summary.n_unhashed) == (40, 1)
+    assert found["pairs"].count() > 0 and summary.n_near_pairs >= found["pairs"].count()
+    assert found["groups"].count() == summary.n_exact_groups
+    assert found["leakage"].where("split_a >= split_b").count() == 0
+
+
+def test_training_batches(spark, dataset):
+    manifest = tables.scan_manifest(spark, str(dataset / "train.csv"))
+    files = images.image_integrity(spark, [str(dataset / "train_images")])
+    splits = settled(jobs.split_metadata(jobs.build_metadata(manifest, files)))
+    first = jobs.training_batches(splits, batch_size=8)
+    assert rows(first.groupBy("batch_id").count()) == [(0, 8), (1, 8), (2, 8), (3, 4)]
+    assert rules.determinism(first, jobs.training_batches(splits, batch_size=8)).first().passed
+    other = jobs.training_batches(splits, batch_size=8, epoch=1)
+    assert rules.determinism(first, other, equal=False).first().passed
+    with pytest.raises(ValueError, match="label_range"):
+        jobs.training_batches(splits, curation=jobs.Curation(classes=["healthy"]))
