@@ -343,8 +343,11 @@ def near_dup_leakage(
         b, (F.col("hash_a") == F.col("hash_b")) & (F.col("split_a") < F.col("split_b"))
     ).withColumn("hash_distance", F.lit(0))
     pairs = near_hash_pairs(settled(nodes.select("hash").distinct()), max_distance=max_distance, bands=bands)
-    both_ways = pairs.unionByName(
-        pairs.select(F.col("hash_b").alias("hash_a"), F.col("hash_a").alias("hash_b"), "hash_distance")
-    )
+    # Both orders of a pair from one evaluation of the join.
+    orders = [
+        F.struct(F.col(x).alias("hash_a"), F.col(y).alias("hash_b"), "hash_distance")
+        for x, y in (("hash_a", "hash_b"), ("hash_b", "hash_a"))
+    ]
+    both_ways = pairs.select(F.inline(F.array(*orders)))
     close = both_ways.join(a, "hash_a").join(b, "hash_b").where(F.col("split_a") < F.col("split_b"))
     return same.select(*out).unionByName(close.select(*out))
