@@ -51,7 +51,7 @@ def vocabulary(col: str, values: list, *, mode: str = "equal", ignore_nulls: boo
         F.when(F.coalesce(F.max(F.col(col) == F.lit(v)), F.lit(False)), 0).otherwise(1)
         for v in values
     ]
-    n_absent = functools.reduce(operator.add, absent) if mode == "equal" else F.lit(0)
+    n_absent = functools.reduce(operator.add, absent, F.lit(0)) if mode == "equal" else F.lit(0)
     observed = F.concat(
         F.count_if(outside).cast("string"), F.lit(" rows outside, "),
         n_absent.cast("string"), F.lit(" values absent"),

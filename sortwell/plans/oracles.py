@@ -70,6 +70,20 @@ lab AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
 
 EN = "en AS (SELECT doc_id, lang, n_chars FROM documents WHERE lang = 'en')"
 
+PICTURES = """
+px AS (SELECT vec_id, (i - 1) // 8 AS y, (i - 1) % 8 AS x,
+    greatest(0, least(255, floor(128.0::DOUBLE + 64.0::DOUBLE * embedding[i]::DOUBLE))) AS v
+  FROM embeddings, (SELECT range AS i FROM range(1, 65)))"""
+
+# The same split again, ranks counted from rows in another order.
+SP_AGAIN = """
+again AS (
+  SELECT doc_id, r.lang,
+    CASE WHEN rn <= kx THEN 'test' WHEN rn <= kt THEN 'validation' ELSE 'train' END AS split
+  FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5('42:' || doc_id), doc_id) AS rn
+        FROM (SELECT * FROM documents ORDER BY reverse(doc_id::VARCHAR))) r
+  JOIN q4 ON r.lang = q4.lang)"""
+
 PRED = """
 p AS (SELECT quality AS truth, 1 - toxic AS prediction FROM labels),
 v AS (SELECT unnest([0, 1, 2])::INTEGER AS c),
@@ -274,6 +288,49 @@ ORACLES: dict[str, str] = {
     f"round({_between('angle', -15.0, 15.0)}, 6) AS angle, round({_between('brightness', 0.85, 1.15)}, 6) AS brightness, "
     f"round({_between('contrast', 0.85, 1.15)}, 6) AS contrast, round({_between('saturation', 0.9, 1.1)}, 6) AS saturation, "
     f"round({_between('hue', -0.02, 0.02)}, 6) AS hue FROM documents",
+    # pictures
+    "image_hash64": _with(
+        PICTURES,
+        """w0 AS (SELECT o, i, (i + 0.5::DOUBLE) - (o + 0.5::DOUBLE) / 4 AS d
+          FROM (SELECT range AS o FROM range(32)), (SELECT range AS i FROM range(8)))""",
+        """w1 AS (SELECT o, i, CASE WHEN d = 0 THEN 1 WHEN abs(d) < 3
+          THEN sin(pi() * d) / (pi() * d) * sin(pi() * d / 3) / (pi() * d / 3) ELSE 0 END AS w FROM w0)""",
+        "w AS (SELECT o, i, w / sum(w) OVER (PARTITION BY o) AS w FROM w1)",
+        "a AS (SELECT vec_id, o AS y, x, sum(w * v) AS v FROM px JOIN w ON w.i = px.y GROUP BY ALL)",
+        """small AS (SELECT vec_id, y, o AS x, greatest(0, least(255, round_even(sum(w * v), 0))) AS v
+          FROM a JOIN w ON w.i = a.x GROUP BY vec_id, y, o)""",
+        """c AS (SELECT k, i, 2 * cos(pi() * k * (2 * i + 1) / 64) AS c
+          FROM (SELECT range AS k FROM range(8)), (SELECT range AS i FROM range(32)))""",
+        "b AS (SELECT vec_id, k, x, sum(c * v) AS v FROM small JOIN c ON c.i = small.y GROUP BY ALL)",
+        "low AS (SELECT vec_id, b.k, c.k AS l, sum(c * v) AS v FROM b JOIN c ON c.i = b.x GROUP BY ALL)",
+        "bits AS (SELECT vec_id, 63 - (k * 8 + l) AS bit, v > median(v) OVER (PARTITION BY vec_id) AS is_set FROM low)",
+    )
+    + """SELECT vec_id, (sum(CASE WHEN is_set AND bit < 63 THEN (1::BIGINT << bit::INTEGER)::HUGEINT ELSE 0 END)
+      - max(CASE WHEN is_set AND bit = 63 THEN 9223372036854775808::HUGEINT ELSE 0 END))::BIGINT AS hash
+      FROM bits GROUP BY vec_id""",
+    "preprocess_eval": _with(
+        PICTURES,
+        """w AS (SELECT o, i, greatest(0, 1 - abs((i + 0.5::DOUBLE) - (o + 0.5::DOUBLE) / 32)) AS w
+          FROM (SELECT range AS o FROM range(16, 240)), (SELECT range AS i FROM range(8)))""",
+        "taps AS (SELECT o, list(w / s ORDER BY i) AS w FROM (SELECT *, sum(w) OVER (PARTITION BY o) AS s FROM w) GROUP BY o)",
+        "line AS (SELECT vec_id, y, list(v ORDER BY x) AS v FROM px GROUP BY vec_id, y)",
+        "pic AS (SELECT vec_id, list(v ORDER BY y) AS v FROM line GROUP BY vec_id)",
+        "tall AS (SELECT vec_id, ["
+        + ", ".join(" + ".join(f"w[{y}] * v[{y}][{x}]" for y in range(1, 9)) for x in range(1, 9))
+        + "] AS v FROM pic, taps)",
+        "full_size AS (SELECT vec_id, round_even("
+        + " + ".join(f"w[{x}] * v[{x}]" for x in range(1, 9))
+        + ", 0) AS p FROM tall, taps)",
+        "n AS (SELECT vec_id, p, count(*) AS n FROM full_size GROUP BY vec_id, p)",
+        """val AS (SELECT vec_id, n, ((p / 255.0::DOUBLE - m) / s)::FLOAT::DOUBLE AS v FROM n, (VALUES
+          (0.485::DOUBLE, 0.229::DOUBLE), (0.456, 0.224), (0.406, 0.225)) ch(m, s))""",
+        """mean AS (SELECT vec_id, sum(n) AS n, sum(n * v) / sum(n) AS mean, min(v) AS low, max(v) AS high
+          FROM val GROUP BY vec_id)""",
+    )
+    + """SELECT mean.vec_id, any_value(e.label) AS label, any_value(mean.n)::INTEGER AS n,
+      round(any_value(low), 6) AS min_value, round(any_value(high), 6) AS max_value, round(any_value(mean), 6) AS mean_value,
+      round(sqrt(sum(val.n * (v - mean) * (v - mean)) / (any_value(mean.n) - 1)), 6) AS std_value
+      FROM mean JOIN val ON mean.vec_id = val.vec_id JOIN embeddings e ON e.vec_id = mean.vec_id GROUP BY mean.vec_id""",
     # rules
     "rule_not_null": _with(LABELLED) + _none("not_null:quality", "quality IS NULL", "lab"),
     "rule_row_count": _rule("row_count", "1000", "count(*)", "count(*) = 1000", "documents"),
@@ -299,6 +356,12 @@ ORACLES: dict[str, str] = {
         _none(f"required_field:{f}", f"coalesce(NOT list_contains(json_keys(props), '{f}'), true)", "events") for f in ("k", "v")
     ),
     "rule_unique_key": _none("unique_key:doc_id", "n > 1", "(SELECT doc_id, count(*) AS n FROM documents GROUP BY doc_id)"),
+    "rule_determinism": _with(
+        SP, SP_AGAIN,
+        """diff AS (SELECT * FROM (SELECT doc_id, lang, split FROM sp EXCEPT ALL SELECT doc_id, lang, split FROM again)
+          UNION ALL SELECT * FROM (SELECT doc_id, lang, split FROM again EXCEPT ALL SELECT doc_id, lang, split FROM sp))""",
+    )
+    + _rule("determinism", "0", "count(*)", "count(*) = 0", "diff"),
     "validation_report": _with(LABELLED)
     + "SELECT seq::INTEGER AS seq, rule, expected, observed, passed FROM ("
     + " UNION ALL ".join(

@@ -408,6 +408,34 @@ def augmentation_plan(spark, sf):
     return plan.withColumns({c: r6(c) for c in doubles})
 
 
+def pictures(spark: SparkSession, sf: str) -> DataFrame:
+    """Every embedding as a grey picture of 8 x 8 pixels, in the shape of decoded images."""
+    pixel = lambda x: F.floor(F.lit(128.0) + F.lit(64.0) * x.cast("double"))
+    byte = lambda x: F.lpad(F.hex(F.least(F.greatest(pixel(x), F.lit(0)), F.lit(255))), 2, "0")
+    digits = F.array_join(F.transform("embedding", byte), "")
+    rows = spread(table(spark, sf, "embeddings").select("vec_id", "embedding"), "vec_id")
+    return rows.select(
+        "vec_id", F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("n_channels"),
+        F.unhex(digits).alias("data"),
+    )
+
+
+@query
+def image_hash64(spark, sf):
+    return pixels.image_hash64(pictures(spark, sf), key="vec_id")
+
+
+@query
+def preprocess_eval(spark, sf):
+    """Statistics of the 3 x 224 x 224 model input of every picture."""
+    rows = table(spark, sf, "embeddings").select("vec_id", "label")
+    inputs = pixels.preprocess_eval(rows, pictures(spark, sf), split="test", key="vec_id")
+    stats = inputs.select("vec_id", "label", F.size("vec").alias("n"), vectors.vector_stats("vec").alias("s"))
+    return stats.select(
+        "vec_id", "label", "n", *[r6(F.col(f"s.{c}")).alias(f"{c}_value") for c in ("min", "max", "mean", "std")]
+    )
+
+
 # --- rules ----------------------------------------------------------------------------------
 
 

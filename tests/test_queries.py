@@ -26,11 +26,7 @@ def in_order(columns, data):
 def test_query_equals_sql(spark, sf, oracle, name):
     df = entry.queries()[name](spark, sf)
     got = in_order(df.columns, [tuple(r) for r in df.collect()])
-    sql = entry.oracle_sql().get(name)
-    if sql is None:
-        assert name == "rule_determinism" and got[0][sorted(df.columns).index("passed")] is True
-        return
-    answer = oracle.sql(sql)
+    answer = oracle.sql(entry.oracle_sql()[name])
     assert sorted(df.columns) == sorted(answer.columns)
     assert got == in_order(answer.columns, answer.fetchall())
 
@@ -39,7 +35,10 @@ def test_entry_runs(spark):
     assert entry.entry(spark).columns == ["key_a", "key_b", "hash_distance"]
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+PIXEL_QUERIES = {"image_hash64", "preprocess_eval"}
+
+
+@pytest.mark.parametrize("name", sorted(set(entry.queries()) - PIXEL_QUERIES))
 def test_no_pairwise_join_and_no_python_worker(spark, sf, name):
     plan = plan_of(entry.queries()[name](spark, sf))
     for node in ("CartesianProduct", "NestedLoop", "Python", "InPandas"):
