@@ -42,7 +42,7 @@ def exact_duplicates(
 def hash_groups(hashes: DataFrame, *, key: str, hash_col: str) -> DataFrame:
     """Hashes shared by more than one key: the hash, its smallest key and the number of keys.
 
-    Members are not gathered into one cell; `exact_duplicates` on the hash column lists them.
+    Members are not gathered into one cell; `hash_group_members` lists them in rows.
     """
     # Counting the hash leaves rows without one at zero; a filter before the aggregation would
     # make Spark work out a computed hash twice.
@@ -50,6 +50,17 @@ def hash_groups(hashes: DataFrame, *, key: str, hash_col: str) -> DataFrame:
     return groups.where(F.col("n_keys") > 1)
 
 
+def hash_group_members(
+    hashes: DataFrame, *, key: str, hash_col: str, hot_rows: int = 1_000_000
+) -> DataFrame:
+    """One row per key whose hash is shared: the hash, the key and the number of keys with it."""
+    rows = settled(hashes.select(key, hash_col))
+    groups = hash_groups(rows, key=key, hash_col=hash_col).select(hash_col, "n_keys")
+    return attach_to_members(
+        rows, groups, hash_col, spread_by=key, size_col="n_keys", hot_rows=hot_rows
+    )
+
+
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)

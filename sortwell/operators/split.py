@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -28,38 +28,27 @@ def exact_ratios(ratios: tuple) -> tuple[Fraction, Fraction, Fraction]:
     return tuple(parts)
 
 
-def _whole(value: Column) -> Column:
-    return value.cast("decimal(38,0)")
-
-
-def _ceil_share(n: Column, share: Fraction) -> Column:
-    """ceil(n * share) in whole numbers."""
-    up = _whole(n * F.lit(share.numerator)) + F.lit(share.denominator - 1)
-    return _div(_whole(up), F.lit(share.denominator))
-
-
-def _div(a: Column, b: Column) -> Column:
-    return F.floor((a - a % b) / b).cast("bigint")
-
-
 def _quotas(classes: DataFrame, label: str, count: str, share: Fraction, out: str) -> DataFrame:
     """Largest-remainder quotas: ceil(share * total) places dealt to classes by their counts.
 
-    `classes` has one row per class, so its unpartitioned windows see class rows only.
+    All in whole numbers, DECIMAL where a product of counts may leave BIGINT. `classes` has one row
+    per class, so its unpartitioned windows see class rows only.
     """
-    everything = Window.partitionBy()
-    n = F.col(count).cast("decimal(18,0)")
-    total = F.sum(count).over(everything).cast("decimal(18,0)")
-    dealt = (
-        classes.withColumn("_total", total)
-        .withColumn("_places", _ceil_share(F.col("_total"), share).cast("decimal(18,0)"))
-        .withColumn("_floor", F.when(F.col("_total") > 0, _div(_whole(n * F.col("_places")), F.col("_total"))).otherwise(0))
-        .withColumn("_rest", F.when(F.col("_total") > 0, _whole(n * F.col("_places")) % F.col("_total")).otherwise(0))
-        .withColumn("_left", F.col("_places").cast("bigint") - F.sum("_floor").over(everything))
+    up, by = share.numerator, share.denominator
+    total = f"CAST(sum({count}) OVER () AS DECIMAL(18, 0)) AS _total"
+    places = f"CAST((_total * {up} + {by - 1}) div {by} AS DECIMAL(18, 0)) AS _places"
+    due = f"CAST({count} AS DECIMAL(18, 0)) * _places AS _due"
+    floor = "coalesce(_due div nullif(_total, 0), 0) AS _floor"
+    rest = "coalesce(_due % nullif(_total, 0), 0) AS _rest"
+    turn = f"row_number() OVER (ORDER BY _rest DESC, {label} ASC NULLS FIRST)"
+    left = "_places - sum(_floor) OVER ()"
+    return (
+        classes.selectExpr("*", total)
+        .selectExpr("*", places)
+        .selectExpr("*", due)
+        .selectExpr("*", floor, rest)
+        .selectExpr(*classes.columns, f"_floor + CASE WHEN {turn} <= {left} THEN 1 ELSE 0 END AS {out}")
     )
-    turn = F.row_number().over(everything.orderBy(F.desc("_rest"), F.col(label).asc_nulls_first()))
-    extra = F.when(turn <= F.col("_left"), 1).otherwise(0)
-    return dealt.withColumn(out, (F.col("_floor") + extra).cast("bigint")).select(*classes.columns, out)
 
 
 def split_cuts(

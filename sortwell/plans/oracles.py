@@ -103,12 +103,12 @@ def _band(i: int) -> str:
     return f"((fp >> {56 - 8 * i}) & 255)"
 
 
-def _uniform(name: str) -> str:
-    return f"(('0x' || substr(md5('42:0:{name}:' || doc_id), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0)"
+def _uniform(name: str, epoch: int = 0) -> str:
+    return f"(('0x' || substr(md5('42:{epoch}:{name}:' || doc_id), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0)"
 
 
-def _between(name: str, low: float, high: float) -> str:
-    return f"({low!r}::DOUBLE + {_uniform(name)} * {high - low!r}::DOUBLE)"
+def _between(name: str, low: float, high: float, epoch: int = 0) -> str:
+    return f"({low!r}::DOUBLE + {_uniform(name, epoch)} * {high - low!r}::DOUBLE)"
 
 
 def _rule(name: str, expected: str, observed: str, passed: str, source: str) -> str:
@@ -154,6 +154,8 @@ ORACLES: dict[str, str] = {
     " WHERE bit_count(xor(a.fp, b.fp)) <= 5)::DOUBLE AS n_near_pairs",
     "hash_groups": _with(FP)
     + "SELECT fp, min(doc_id) AS first_key, count(*) AS n_keys FROM fp GROUP BY fp HAVING count(*) > 1",
+    "hash_group_members": _with(FP, GROUPS)
+    + "SELECT fp.doc_id, fp.fp, n_keys FROM fp JOIN g ON fp.fp = g.fp WHERE n_keys > 1",
     "near_dup_leakage": _with(
         FP, SP,
         "n AS (SELECT fp.fp, sp.split, min(fp.doc_id) AS k, count(*) AS c"
@@ -362,6 +364,13 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT * FROM (SELECT doc_id, lang, split FROM again EXCEPT ALL SELECT doc_id, lang, split FROM sp))""",
     )
     + _rule("determinism", "0", "count(*)", "count(*) = 0", "diff"),
+    "rule_epochs_differ": _with(
+        f"a AS (SELECT doc_id, round({_between('angle', -15.0, 15.0)}, 6) AS angle FROM documents)",
+        f"b AS (SELECT doc_id, round({_between('angle', -15.0, 15.0, 1)}, 6) AS angle FROM documents)",
+        """diff AS (SELECT * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+          UNION ALL SELECT * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a))""",
+    )
+    + _rule("epochs_differ", "more than 0", "count(*)", "count(*) > 0", "diff"),
     "validation_report": _with(LABELLED)
     + "SELECT seq::INTEGER AS seq, rule, expected, observed, passed FROM ("
     + " UNION ALL ".join(

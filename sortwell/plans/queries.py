@@ -106,6 +106,11 @@ def hash_groups(spark, sf):
     return duplicates.hash_groups(hashed(spark, sf), key="doc_id", hash_col="fp")
 
 
+@query
+def hash_group_members(spark, sf):
+    return duplicates.hash_group_members(hashed(spark, sf), key="doc_id", hash_col="fp")
+
+
 @query
 def sort_pairs(spark, sf):
     return neardup.sort_pairs(near_duplicates(spark, sf))
@@ -500,6 +505,17 @@ def rule_determinism(spark, sf):
     return rules.determinism(*runs)
 
 
+@query
+def rule_epochs_differ(spark, sf):
+    """Augmentation draws of two epochs: the rows that are not in both."""
+    docs = documents(spark, sf, "doc_id")
+    draws = [
+        pixels.augmentation_plan(docs, key="doc_id", epoch=e).select("doc_id", r6("angle").alias("angle"))
+        for e in (0, 1)
+    ]
+    return rules.determinism(*draws, name="epochs_differ", equal=False)
+
+
 @query
 def validation_report(spark, sf):
     docs = labelled(spark, sf, "doc_id", "text", "lang", "source", "n_chars")

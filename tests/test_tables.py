@@ -198,6 +198,8 @@ def test_hot_digest_is_split_and_complete(spark):
 def test_groups_and_repeated_keys(spark):
     df = small_table(spark, [("a", 1), ("b", 1), ("c", 2), ("d", None), ("e", None)], "id string, h bigint")
     assert rows(duplicates.hash_groups(df, key="id", hash_col="h")) == [(1, "a", 2)]
+    members = duplicates.hash_group_members(df, key="id", hash_col="h")
+    assert rows(members.select("h", "id", "n_keys")) == [(1, "a", 2), (1, "b", 2)]
     assert rows(duplicates.duplicate_keys(small_table(spark, [("a",), ("b",), ("a",)], "id string"), "id")) == [("a", 2)]
 
 
