@@ -132,14 +132,45 @@ def _join_buckets(keyed: DataFrame, on: list[str], max_distance: int, masks: lis
     )
 
 
+def _join_in_cells(
+    keyed: DataFrame, on: list[str], max_distance: int, masks: list[int], bucket_rows: int
+) -> DataFrame:
+    """The same join, with overfull buckets dealt to many tasks.
+
+    Rows of such a bucket are numbered into parts by their hash. Part i meets part j >= i in cell
+    (i, j), so every pair of rows meets once and a cell holds about two parts.
+    """
+    sizes = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows)
+    parts = settled(sizes.select(*on, F.ceil(F.col("n") / bucket_rows).alias("parts")))
+    part = F.pmod(F.xxhash64("hash"), F.coalesce("parts", F.lit(1).cast("bigint")))
+    dealt = keyed.join(lookup_side(parts), on, "left").withColumn("part", part)
+    last = F.coalesce("parts", F.lit(1).cast("bigint")) - 1
+    a = dealt.withColumns({"i": F.col("part"), "j": F.explode(F.sequence("part", last))}).alias("a")
+    b = dealt.withColumns(
+        {"i": F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("part"))), "j": F.col("part")}
+    ).alias("b")
+    same_cell = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in [*on, "i", "j"]]
+    x = F.col("a.hash").bitwiseXOR(F.col("b.hash"))
+    close = (
+        ((F.col("a.part") < F.col("b.part")) | (F.col("a.hash") < F.col("b.hash")))
+        & (F.bit_count(x) <= max_distance)
+        & _found_here(x, F.col("a.block_set"), masks)
+    )
+    return a.join(b.hint("merge"), [*same_cell, close]).select(
+        F.least("a.hash", "b.hash").alias("hash_a"),
+        F.greatest("a.hash", "b.hash").alias("hash_b"),
+        hamming64("a.hash", "b.hash").alias("hash_distance"),
+    )
+
+
 def _join_hot_buckets(
-    hot: DataFrame, scheme: Blocks, max_distance: int, masks: list[int]
+    hot: DataFrame, scheme: Blocks, max_distance: int, masks: list[int], bucket_rows: int
 ) -> DataFrame:
     """Pairs inside overfull buckets.
 
     Members of a bucket agree on its bits, so all differences lie in the other bits. Those are cut
     into interleaved blocks, and the same argument gives longer keys. What is still crowded after
-    that is split on both sides by the adaptive skew join.
+    that is compared in cells. A pair may agree on several of the longer keys, hence the distinct.
     """
     inner = Blocks(max_distance + 3, 3)
     rows = []
@@ -157,8 +188,8 @@ def _join_hot_buckets(
         F.col("hash").bitwiseAND(F.col("longer_mask")).alias("bucket"),
         "hash",
     )
-    found = _join_buckets(keyed, ["block_set", "inner_set", "bucket"], max_distance, masks)
-    return found.distinct()
+    on = ["block_set", "inner_set", "bucket"]
+    return _join_in_cells(keyed, on, max_distance, masks, bucket_rows).distinct()
 
 
 def near_hash_pairs(
@@ -189,7 +220,7 @@ def near_hash_pairs(
     hot = keyed.join(crowded, on, "left_semi")
     light = keyed.join(crowded, on, "left_anti")
     return _join_buckets(light, on, max_distance, masks).unionByName(
-        _join_hot_buckets(hot, scheme, max_distance, masks)
+        _join_hot_buckets(hot, scheme, max_distance, masks, bucket_rows)
     )
 
 

@@ -100,11 +100,11 @@ def test_output_of_a_hot_hash_is_linear(spark):
     assert expanded(data, got) == all_pairs(data, 5)
 
 
-@pytest.mark.parametrize("bands", ["8", "t+1", "triples"])
-def test_crowded_buckets_are_refined_without_loss(spark, bands):
+@pytest.mark.parametrize("bands,bucket_rows", [("8", 20), ("t+1", 20), ("triples", 20), ("t+1", 3)])
+def test_crowded_buckets_are_refined_without_loss(spark, bands, bucket_rows):
     data = crowded_hashes()
     df = settled(small_table(spark, data, "key string, hash bigint").select("hash"))
-    found = rows(neardup.near_hash_pairs(df, bands=bands, bucket_rows=20))
+    found = rows(neardup.near_hash_pairs(df, bands=bands, bucket_rows=bucket_rows))
     expected = sorted(
         (min(a[1], b[1]), max(a[1], b[1]), distance(a[1], b[1]))
         for a, b in itertools.combinations(data, 2)
@@ -114,6 +114,19 @@ def test_crowded_buckets_are_refined_without_loss(spark, bands):
     assert sorted(found) == expected
 
 
+@pytest.mark.parametrize("bucket_rows", [1, 7, 50, 1000])
+def test_cells_meet_every_pair_once(spark, bucket_rows):
+    rng = random.Random(2)
+    base = rng.getrandbits(64)
+    values = sorted({signed64(flipped(base, rng.randrange(4), rng)) for _ in range(120)})
+    keyed = small_table(spark, [(1, 0, v) for v in values], "block_set int, bucket bigint, hash bigint")
+    found = neardup._join_in_cells(keyed, ["block_set", "bucket"], 5, [0], bucket_rows)
+    expected = [
+        (a, b, distance(a, b)) for a, b in itertools.combinations(values, 2) if distance(a, b) <= 5
+    ]
+    assert sorted(rows(found)) == expected
+
+
 def test_null_hashes_are_left_out(spark):
     df = small_table(spark, [("a", 1), ("b", None), ("c", 1)], "key string, hash bigint")
     assert rows(neardup.near_duplicates(df, key="key", hash_col="hash")) == [("a", "c", 0)]
