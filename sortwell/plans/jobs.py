@@ -21,7 +21,9 @@ from sortwell.operators.reconcile import attach_file_metadata, extra_files, miss
 from sortwell.operators.split import check_splits, stratified_split
 from sortwell.session import one_row, settled
 from sortwell.sources.images import decode_images, image_integrity
-from sortwell.sources.tables import METADATA_SCHEMA, one_split, scan_manifest
+from sortwell.sources.tables import (
+    METADATA_SCHEMA, dataset_registry, label_registry, one_split, scan_manifest,
+)
 
 # Class vocabulary in index order, as the source labels 0 to 4 map to it.
 LEAF_CLASSES = [
@@ -95,6 +97,21 @@ def metadata_report(metadata: DataFrame, curation: Curation = Curation(), n_rows
     return contract.unionByName(rules.unique_key(metadata, "image_id"))
 
 
+def registry_report(
+    spark: SparkSession, dataset_config: str, label_config: str, dataset_key: str,
+    curation: Curation = Curation(),
+) -> DataFrame:
+    """The dataset is registered with all required fields, and the registered labels of the crop
+    are the class vocabulary."""
+    record = dataset_registry(spark, dataset_config).where(F.col("dataset_key") == dataset_key)
+    labels = label_registry(spark, label_config).where(F.col("crop") == curation.provenance["crop"])
+    return (
+        rules.check(record, rules.row_count(1))
+        .unionByName(rules.required_fields(record, "record", REGISTRY_FIELDS))
+        .unionByName(rules.check(labels, rules.vocabulary("label", curation.classes)))
+    )
+
+
 def audit_dataset(spark: SparkSession, manifest_path: str, image_dirs: list[str]) -> dict[str, DataFrame]:
     """Every table of the dataset audit. Files are decoded once; all tables read that result."""
     manifest = scan_manifest(spark, manifest_path)

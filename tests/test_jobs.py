@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from conftest import rows
 from images import blobs, png_bytes
@@ -70,6 +72,23 @@ def test_audit(spark, dataset):
     assert found["missing"].count() == found["extra"].count() == found["unreadable"].count() == 0
 
 
+def test_registry_report(spark, tmp_path):
+    entry = {"display_name": "D", "abbreviation": "A", "category": "disease"}
+    labels, data = tmp_path / "labels.json", tmp_path / "data.json"
+    diseases = {name: entry for name in jobs.LEAF_CLASSES}
+    labels.write_text(json.dumps({"crops": {"cassava": {"diseases": diseases}}}))
+    record = {name: "x" for name in jobs.REGISTRY_FIELDS}
+    data.write_text(json.dumps({"datasets": {"leaves": record}}))
+    report = lambda key: jobs.registry_report(spark, str(data), str(labels), key)
+    assert report("leaves").count() == 11 and report("leaves").where("not passed").count() == 0
+    assert [r.rule for r in report("other").where("not passed").collect()] == ["row_count"]
+    del record["country"], diseases["healthy"]
+    labels.write_text(json.dumps({"crops": {"cassava": {"diseases": diseases}}}))
+    data.write_text(json.dumps({"datasets": {"leaves": record}}))
+    failed = {r.rule for r in report("leaves").where("not passed").collect()}
+    assert failed == {"required_field:country", "vocabulary:label"}
+
+
 def test_near_duplicate_audit(spark, dataset, tmp_path):
     dirs = [str(dataset / "train_images")]
     manifest = tables.scan_manifest(spark, str(dataset / "train.csv"))
