@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sortwell.llm import bpe, langid
+from sortwell.llm import bpe, exactdedup, langid, mixing, quality_rules
 from sortwell.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,31 @@ def op1_language_id(spark, sf_dir):
     return langid.language_id(documents(spark, sf_dir))
 
 
+@query
+def op3_exact_dedup(spark, sf_dir):
+    return exactdedup.exact_groups(documents(spark, sf_dir, "doc_id", "text"))
+
+
+ORACLES["op3_exact_dedup"] = r"""
+WITH t AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
+)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       doc_id = min(doc_id) OVER w AS kept, sha256(norm) AS text_sha256
+FROM t WINDOW w AS (PARTITION BY norm)
+"""
+
+
 @query
 def op8_bpe(spark, sf_dir):
     return bpe.bpe_digests(documents(spark, sf_dir, "doc_id", "text"), VOCABULARY)
+
+
+@query
+def op9_quality_rules(spark, sf_dir):
+    return quality_rules.quality_rules(documents(spark, sf_dir, "doc_id", "text", "lang", "source"))
+
+
+@query
+def op10_mixing(spark, sf_dir):
+    return mixing.mixing_plan(documents(spark, sf_dir, "doc_id", "source"))
