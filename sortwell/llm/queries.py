@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sortwell.llm import bpe, exactdedup, langid, mixing, quality_rules
+from sortwell.llm import bpe, exactdedup, langid, license_scan, mixing, quality_rules, secret_scan
 from sortwell.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,13 @@ def op9_quality_rules(spark, sf_dir):
 @query
 def op10_mixing(spark, sf_dir):
     return mixing.mixing_plan(documents(spark, sf_dir, "doc_id", "source"))
+
+
+@query
+def op4_license_scan(spark, sf_dir):
+    return license_scan.license_scan(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query
+def op5_secret_scan(spark, sf_dir):
+    return secret_scan.secret_scan(documents(spark, sf_dir, "doc_id", "text"))
