@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sortwell.llm import bpe, exactdedup, langid, license_scan, mixing, quality_rules, secret_scan
+from sortwell.llm import bpe, exactdedup, langid, license_scan, mixing, pii, quality_rules, secret_scan
 from sortwell.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,8 @@ def op4_license_scan(spark, sf_dir):
 @query
 def op5_secret_scan(spark, sf_dir):
     return secret_scan.secret_scan(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query
+def op7_pii(spark, sf_dir):
+    return pii.personal_data(documents(spark, sf_dir, "doc_id", "text"))
