@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sortwell.llm import bpe, exactdedup, langid, license_scan, mixing, pii, quality_rules, secret_scan
+from sortwell.llm import (
+    bpe, exactdedup, langid, license_scan, mixing, pii, quality_model, quality_rules, secret_scan,
+)
 from sortwell.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +71,9 @@ def op5_secret_scan(spark, sf_dir):
 @query
 def op7_pii(spark, sf_dir):
     return pii.personal_data(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query
+def op6_quality_classifier(spark, sf_dir):
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_model.quality_scores(documents(spark, sf_dir, "doc_id", "text"), labels)
