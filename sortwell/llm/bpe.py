@@ -253,7 +253,7 @@ def loaded(path: str) -> Bpe:
 
 
 def encode_texts(docs: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
-    """key, ids (array of int), decoded text: the operator's real output."""
+    """key, n_tokens, ids and the sha256 of the decoded text, for every row."""
     key_type = docs.schema[key].dataType.simpleString()
 
     def run(stream):
@@ -263,12 +263,28 @@ def encode_texts(docs: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
                 part = batch.slice(i, 256)
                 ids = [bpe.encode(t or "") for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),
-                     pa.array([bpe.decode(x).decode() for x in ids], pa.string())],
-                    names=[key, "ids", "decoded"],
+                    [part.column(0), pa.array([len(x) for x in ids], pa.int64()),
+                     pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),
+                     pa.array([hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids], pa.string())],
+                    names=[key, "n_tokens", "ids", "decoded_sha256"],
                 )
 
-    return docs.select(key, "text").mapInArrow(run, f"`{key}` {key_type}, ids array<int>, decoded string")
+    return docs.select(key, "text").mapInArrow(
+        run, f"`{key}` {key_type}, n_tokens bigint, ids array<int>, decoded_sha256 string"
+    )
+
+
+def decode_ids(rows: DataFrame, path: str, ids: str = "ids", key: str = "doc_id") -> DataFrame:
+    """key, text: the texts of arrays of ids; null stays null."""
+    key_type = rows.schema[key].dataType.simpleString()
+
+    def run(stream):
+        bpe = loaded(path)
+        for batch in stream:
+            texts = [None if x is None else bpe.decode(np.array(x, dtype=np.uint32)).decode() for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[key, "text"])
+
+    return rows.select(key, ids).mapInArrow(run, f"`{key}` {key_type}, text string")
 
 
 def bpe_digests(docs: DataFrame, path: str) -> DataFrame:

@@ -42,6 +42,23 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{sc.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+# A group of more than this part of all rows is broadcast in `looked_up`.
+HOT_SHARE = 1000
+
+
+def looked_up(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """Join settled rows with a table that has one row per group and the group's number of rows.
+
+    Groups with more than a thousandth of all `total` rows are fewer than a thousand, so these are
+    broadcast; the others are joined.
+    """
+    large = F.col(size) > total // HOT_SHARE
+    hot = F.broadcast(groups.where(large))
+    return rows.join(hot, keys).unionByName(
+        rows.join(hot.select(*keys), keys, "left_anti").join(groups.where(~large), keys)
+    )
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component (smallest node reachable) for every node of an undirected edge list.
 

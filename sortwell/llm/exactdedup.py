@@ -22,13 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sortwell.llm.common import SPACE_RUN, settled, shared_folder, whole_text
+from sortwell.llm.common import SPACE_RUN, looked_up, settled, shared_folder, whole_text
 
 MAX_DEPTH = 16
 BUCKET_BYTES = 32 << 20
 # Text that a task holds at once while it collapses equal rows.
 HELD_BYTES = 24 << 20
-HOT_SHARE = 1000
 
 
 def normalised(text: str = "text"):
@@ -165,11 +164,7 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", bucket_bytes: int = BUCKE
     ))
     index, total = build_index(docs, keys, key, bucket_bytes, max_depth)
     groups = index.select("h", "sha", "keep_id", "group_size")
-    large = F.col("group_size") > total // HOT_SHARE
-    hot = F.broadcast(groups.where(large))
-    found = keys.join(hot, ["h", "sha"]).unionByName(
-        keys.join(hot.select("h", "sha"), ["h", "sha"], "left_anti").join(groups.where(~large), ["h", "sha"])
-    )
+    found = looked_up(keys, groups, ["h", "sha"], "group_size", total)
     return found.select(
         key, "keep_id", "group_size", F.col("keep_id").eqNullSafe(F.col(key)).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sortwell.llm import (
-    bpe, exactdedup, langid, license_scan, mixing, pii, quality_model, quality_rules, secret_scan,
+    bpe, exactdedup, jaccard_join, langid, license_scan, mixing, pii, quality_model, quality_rules,
+    secret_scan,
 )
 from sortwell.llm.common import documents
 
@@ -77,3 +78,8 @@ def op7_pii(spark, sf_dir):
 def op6_quality_classifier(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality_model.quality_scores(documents(spark, sf_dir, "doc_id", "text"), labels)
+
+
+@query
+def op2_ngram_jaccard(spark, sf_dir):
+    return jaccard_join.jaccard_components(documents(spark, sf_dir, "doc_id", "text"))
