@@ -42,6 +42,15 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{sc.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+def rows_with(docs: DataFrame, kept: DataFrame, key: str) -> DataFrame:
+    """The rows of `docs` whose key is in the one column of `kept`, nulls alike, with their own
+    columns; names may clash."""
+    name = kept.columns[0]
+    packed = docs.select(F.struct("*").alias("row"))
+    found = packed.join(kept.distinct(), F.col("row").getField(key).eqNullSafe(F.col(name)), "left_semi")
+    return found.select("row.*")
+
+
 # A group of more than this part of all rows is broadcast in `looked_up`.
 HOT_SHARE = 1000
 

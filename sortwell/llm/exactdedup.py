@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sortwell.llm.common import SPACE_RUN, looked_up, settled, shared_folder, whole_text
+from sortwell.llm.common import SPACE_RUN, looked_up, rows_with, settled, shared_folder, whole_text
 
 MAX_DEPTH = 16
 BUCKET_BYTES = 32 << 20
@@ -173,5 +173,4 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", bucket_bytes: int = BUCKE
 
 def without_copies(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of `docs` that stay, with their own columns."""
-    kept = exact_groups(docs, key).where("kept").select(F.col(key).alias("kept_id")).distinct()
-    return docs.join(kept, F.col(key).eqNullSafe(F.col("kept_id")), "left_semi")
+    return rows_with(docs, exact_groups(docs, key).where("kept").select(F.col(key).alias("kept_id")), key)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sortwell.llm.common import components, looked_up, settled
+from sortwell.llm.common import components, looked_up, rows_with, settled
 
 WORDS = 4
 PERCENT = 85
@@ -364,5 +364,4 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, block_nodes: int
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay when each component keeps its smallest id."""
     kept = jaccard_components(docs).where(F.col("component_id").eqNullSafe(F.col("doc_id")))
-    kept = kept.select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return rows_with(docs, kept.select(F.col("doc_id").alias("kept_id")), "doc_id")

@@ -171,11 +171,14 @@ def thresholds(measured: DataFrame, min_rows: int = MIN_ROWS, spread: float = SP
     fine = limits.where("level = 0").select("lang", "source", "n", F.col("limits").alias("own"))
     by_lang = limits.where("level = 1").select(
         F.col("lang").alias("lang_1"), F.col("n").alias("n_1"), F.col("limits").alias("of_lang"))
-    overall = limits.where("level = 2").select(F.lit(True).alias("always"), F.col("limits").alias("of_all"))
     joined = fine.join(by_lang, F.col("lang").eqNullSafe(F.col("lang_1")), "left")
-    joined = joined.withColumn("always", F.lit(True)).join(F.broadcast(overall), "always", "left")  # one row
+    overall = limits.where("level = 2").first()  # one row
+    of_all = F.create_map(*[
+        x for rate, limit in sorted(overall.limits.items())
+        for x in (F.lit(rate), F.struct(F.lit(limit.low).alias("low"), F.lit(limit.high).alias("high")))
+    ]) if overall else F.lit(None)
     return joined.select("lang", "source", F.when(F.col("n") >= min_rows, F.col("own")).when(
-        F.col("n_1") >= min_rows, F.col("of_lang")).otherwise(F.col("of_all")).alias("limits"))
+        F.col("n_1") >= min_rows, F.col("of_lang")).otherwise(of_all).alias("limits"))
 
 
 def quality_rules(docs: DataFrame, min_rows: int = MIN_ROWS, spread: float = SPREAD) -> DataFrame:
