@@ -52,14 +52,17 @@ def batches(texts: list[str]) -> Iterator[tuple[int, int]]:
 def prepared(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of the lower-cased texts with spaces for all but letters, and each text's start.
 
-    Two spaces follow every text, so no n-gram without a double space crosses a border.
+    A zero follows every text; no n-gram holds one.
     """
     low = [t.lower() for t in texts]
     points = np.frombuffer(
-        ("  ".join(low) + "  ").encode("utf-32-le", "surrogatepass"), dtype=np.uint32
+        ("\0".join(low) + "\0").encode("utf-32-le", "surrogatepass"), dtype=np.uint32
     )
-    lengths = np.fromiter(map(len, low), dtype=np.int64, count=len(low)) + 2
-    return np.where(letters()[points], points, np.uint32(32)), np.cumsum(lengths) - lengths
+    lengths = np.fromiter(map(len, low), dtype=np.int64, count=len(low)) + 1
+    points = np.where(letters()[points], points, np.uint32(32))
+    ends = np.cumsum(lengths)
+    points[ends - 1] = 0
+    return points, ends - lengths
 
 
 def gram_hashes(points: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -67,20 +70,19 @@ def gram_hashes(points: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.
     longest = max(ORDERS)
     for at in range(0, len(points), WINDOW):
         part = points[at : at + WINDOW + longest - 1]
-        blank = part == 32
-        bad = np.zeros(len(part), dtype=bool)  # a double space starts before the gram's end
+        blank, end = part == 32, part == 0
+        bad = blank | end  # a lone space tells nothing, a double space no more than one
         value = np.zeros(len(part), dtype=np.uint32)
         for n in range(1, longest + 1):
             size = min(WINDOW, len(part) - n + 1)
             if size <= 0:
                 break
             value = value[:size] * np.uint32(0x01000193) + part[n - 1 : n - 1 + size]
-            if n == 1:
-                bad = blank[:size].copy()  # a lone space tells nothing
-            elif n == 2:
-                bad = blank[:size] & blank[1 : 1 + size]
-            else:
-                bad = bad[:size] | (blank[n - 2 : n - 2 + size] & blank[n - 1 : n - 1 + size])
+            if n == 2:
+                bad = end[:size]
+            if n > 1:
+                last = slice(n - 1, n - 1 + size)
+                bad = bad[:size] | end[last] | (blank[n - 2 : n - 2 + size] & blank[last])
             if n in ORDERS:
                 starts = np.flatnonzero(~bad)
                 mixed = (value[starts] ^ np.uint32(n * 0x9E3779B1 & 0xFFFFFFFF)) * np.uint32(0x85EBCA6B)
