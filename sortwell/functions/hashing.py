@@ -59,7 +59,7 @@ def text_tokens(text: Column | str) -> Column:
 
 def text_hash64(text: Column | str) -> Column:
     """SimHash over the distinct tokens of the whole text: a bit is set when more than half of
-    the token hashes have it set.
+    the token hashes have it set. Null for a text without any token, and for a null text.
 
     Runs inside one row, without explode or shuffle. Eight BIGINT sums per block of tokens carry
     eight byte-wide counters each; the counters of all blocks are then added per bit.
@@ -105,4 +105,4 @@ def text_hash64(text: Column | str) -> Column:
         )
 
     hashes = F.transform(text_tokens(text), lambda t: parse_hash64(F.substring(F.md5(t), 1, 16)))
-    return F.when(_col(text).isNotNull(), _bind(hashes, assemble))
+    return _bind(hashes, lambda found: F.when(F.size(found) > 0, assemble(found)))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sortwell.session import lookup_side
+
 
 def attach_to_members(
     members: DataFrame, groups: DataFrame, on: str, *, spread_by: str, size_col: str,
@@ -13,13 +15,13 @@ def attach_to_members(
     """Inner join `groups` (one row per `on`, with its row count) to all member rows.
 
     A group above `hot_rows` is cut into ceil(size / hot_rows) parts by the hash of `spread_by`,
-    and its group row is repeated once per part, so no task receives a whole hot group. There are
-    at most rows / hot_rows such groups, which bounds the broadcast list of them.
+    and its group row is repeated once per part, so no task receives a whole hot group. The list of
+    such groups is broadcast only within the bound that `lookup_side` checks.
     """
     parts = F.ceil(F.col(size_col) / F.lit(hot_rows)).cast("int")
-    hot = groups.where(F.col(size_col) > hot_rows).select(on, parts.alias("_parts"))
+    hot = lookup_side(groups.where(F.col(size_col) > hot_rows).select(on, parts.alias("_parts")))
     salted_members = (
-        members.join(F.broadcast(hot), on, "left")
+        members.join(hot, on, "left")
         .withColumn(
             "_part",
             F.coalesce(F.pmod(F.xxhash64(spread_by), F.col("_parts").cast("bigint")), F.lit(0)),
@@ -31,3 +33,20 @@ def attach_to_members(
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(parts, F.lit(1)).cast("bigint") - 1)),
     )
     return salted_members.join(salted_groups, [on, "_part"]).drop("_part")
+
+
+def looked_up(
+    members: DataFrame, groups: DataFrame, on: str, *, how: str = "left", hot_rows: int = 1_000_000
+) -> DataFrame:
+    """Left or left-semi join of rows with a table of unique keys, where rows may repeat a key very
+    often. Such keys are counted first (counts combine before their shuffle), their rows dealt into
+    parts and their row of `groups` repeated once per part."""
+    sizes = members.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
+    parts = F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_parts")
+    hot = lookup_side(sizes.where(F.col("_n") > hot_rows).select(on, parts))
+    salt = F.floor(F.rand(11) * F.coalesce("_parts", F.lit(1))).cast("int")
+    dealt = members.join(hot, on, "left").withColumn("_part", salt).drop("_parts")
+    repeated = groups.join(hot, on, "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
+    ).drop("_parts")
+    return dealt.join(repeated, [on, "_part"], how).drop("_part")

@@ -10,33 +10,38 @@ from sortwell.session import small_table
 
 
 def confusion_matrix(df: DataFrame, *, truth: str, pred: str, vocab: list) -> DataFrame:
-    """Rows per (truth, prediction), every pair of vocabulary classes, zeros included."""
+    """Rows per (truth, prediction): every pair of vocabulary classes, zeros included, and every
+    other pair that occurs. Nulls and unlisted values have cells of their own, so all rows count."""
     dtype = df.schema[truth].dataType
     schema = T.StructType([T.StructField("truth", dtype), T.StructField("prediction", dtype)])
     grid = small_table(df.sparkSession, [(t, p) for t in vocab for p in vocab], schema)
-    counts = (
-        df.groupBy(F.col(truth).alias("truth"), F.col(pred).alias("prediction"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    return grid.join(counts, ["truth", "prediction"], "left").select(
-        "truth", "prediction", F.coalesce("_n", F.lit(0)).alias("n")
+    zeros = grid.withColumn("n", F.lit(0).cast("bigint"))
+    counts = df.groupBy(F.col(truth).alias("truth"), F.col(pred).alias("prediction")).agg(
+        F.count(F.lit(1)).alias("n")
     )
+    return zeros.unionByName(counts).groupBy("truth", "prediction").agg(F.sum("n").alias("n"))
 
 
 def accuracy(df: DataFrame, *, truth: str, pred: str) -> DataFrame:
-    hit = (F.col(truth) == F.col(pred)).cast("double")
+    """Share of all rows whose prediction is the truth; a null on either side is a miss."""
+    hit = F.coalesce(F.col(truth) == F.col(pred), F.lit(False)).cast("double")
     return df.agg(F.avg(hit).alias("accuracy"))
 
 
 def precision_recall(df: DataFrame, *, truth: str, pred: str, vocab: list) -> DataFrame:
-    """Per class: support, precision, recall and F1; an undefined value is 0."""
+    """Per vocabulary class: support, precision, recall and F1; an undefined value is 0.
+
+    Support counts all rows with that truth, whatever their prediction; a row with null or unlisted
+    truth lowers the precision of the class it is predicted as.
+    """
     cells = confusion_matrix(df, truth=truth, pred=pred, vocab=vocab)
     roles = cells.select(
         F.inline(
             F.array(
                 F.struct(
                     F.col("truth").alias("class"), F.lit(1).alias("is_true"),
-                    (F.col("truth") == F.col("prediction")).cast("int").alias("is_hit"), F.col("n"),
+                    F.coalesce(F.col("truth") == F.col("prediction"), F.lit(False)).cast("int").alias("is_hit"),
+                    F.col("n"),
                 ),
                 F.struct(
                     F.col("prediction").alias("class"), F.lit(0).alias("is_true"),
@@ -46,7 +51,8 @@ def precision_recall(df: DataFrame, *, truth: str, pred: str, vocab: list) -> Da
         )
     )
     n = F.col("n")
-    sums = roles.groupBy("class").agg(
+    listed = F.col("class").isin(vocab)
+    sums = roles.where(listed).groupBy("class").agg(
         F.sum(n * F.col("is_hit")).alias("hits"),
         F.sum(n * F.col("is_true")).alias("support"),
         F.sum(n * (1 - F.col("is_true"))).alias("predicted"),

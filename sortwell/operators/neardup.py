@@ -1,10 +1,10 @@
 """Near duplicates: 64-bit hashes within a Hamming distance, found by exact blocking.
 
-Output stays linear in the input. Keys with equal hashes form one group, represented by its
-smallest key; the result holds one row per further member (distance 0) and one row per pair of
-groups whose hashes are close. Two keys are near duplicates exactly when they are in one group or
-their groups are paired, so nothing is lost, and a hash held by a third of all rows does not turn
-into n^2 rows.
+Keys with equal hashes form one group, represented by its smallest key; the result holds one row per
+further member (distance 0) and one row per pair of groups whose hashes are close. Two keys are near
+duplicates exactly when they are in one group or their groups are paired, so nothing is lost, and a
+hash held by a third of all rows does not turn into n^2 rows. Pairs of different hashes are listed
+one by one: m hashes that are all close to each other still give up to m * (m - 1) / 2 rows.
 
 Blocking: cut the 64 bits into `blocks` parts. Two hashes at distance d differ in at most d parts,
 so at least `blocks - d` parts agree, and every choice of that many parts is one join key. More
@@ -24,6 +24,8 @@ from sortwell.functions.hashing import bit_bands, hamming64, signed64
 from sortwell.operators.groups import attach_to_members
 from sortwell.session import lookup_side, one_row, settled, small_table, widened
 
+# Hashes of a just crowded bucket that its sample holds on average.
+SAMPLED_PER_BUCKET = 50
 PAIR_COUNT = "decimal(38,0)"  # n * (n - 1) / 2 leaves BIGINT from about 4e9 rows on
 
 
@@ -209,10 +211,13 @@ def near_hash_pairs(
     masks = scheme.block_masks()
     on = ["block_set", "bucket"]
     keyed = _keyed(widened(hashes, "hash"), scheme)
-    if n <= bucket_rows:  # then no bucket can hold more
-        return _join_buckets(keyed, on, max_distance, masks)
+    # Crowded buckets show in a fixed sample of the hashes, which is small enough to be counted by
+    # bucket. A bucket that it misses is still joined in full, only less evenly.
+    rate = max(1, bucket_rows // SAMPLED_PER_BUCKET)
+    sample = hashes.where(F.pmod(F.xxhash64("hash"), F.lit(rate)) == 0)
     crowded = settled(
-        keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows).select(*on)
+        _keyed(sample, scheme).groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
+        .where(F.col("n") * rate > bucket_rows).select(*on)
     )
     if crowded.isEmpty():
         return _join_buckets(keyed, on, max_distance, masks)
@@ -320,13 +325,17 @@ def candidate_pair_count(groups: DataFrame, n: int = 8) -> DataFrame:
 
 
 def near_dup_summary(
-    hashes: DataFrame, *, key: str, hash_col: str, max_distance: int = 5, bands: str | Blocks = "auto"
+    hashes: DataFrame, *, key: str, hash_col: str, max_distance: int = 5, bands: str | Blocks = "auto",
+    candidates: bool = False,
 ) -> DataFrame:
-    """One row: keys hashed, groups of equal hashes, candidate pairs under 8 bands, near pairs.
+    """One row: keys hashed and not hashed, groups of equal hashes, near pairs, and on demand the
+    candidate pairs under 8 bands, a diagnostic that takes 255 keys per hash.
 
     Pair counts are those of all key pairs, worked out from group sizes.
     """
-    groups = settled(collapse_hashes(hashes, key=key, hash_col=hash_col))
+    every = settled(hashes.groupBy(F.col(hash_col).alias("hash")).agg(F.count(F.lit(1)).alias("n_keys")))
+    groups = every.where(F.col("hash").isNotNull())
+    unhashed = every.where(F.col("hash").isNull()).agg(F.coalesce(F.sum("n_keys"), F.lit(0)).alias("n_unhashed"))
     sizes = groups.select("hash", "n_keys")
     product = (
         F.col("n_a").cast("decimal(18,0)") * F.col("n_b").cast("decimal(18,0)")
@@ -342,10 +351,12 @@ def near_dup_summary(
         F.count_if(F.col("n_keys") > 1).alias("n_exact_groups"),
         F.coalesce(F.sum(_pairs(F.col("n_keys"))), F.lit(0)).cast(PAIR_COUNT).alias("pairs_within"),
     )
-    return one_row(within, candidate_pair_count(groups), across).select(
+    parts = [within, unhashed, across, *([candidate_pair_count(groups)] if candidates else [])]
+    return one_row(*parts).select(
         "n_hashed",
+        "n_unhashed",
         "n_exact_groups",
-        "n_candidates",
+        *(["n_candidates"] if candidates else []),
         (F.col("pairs_within") + F.col("pairs_across")).cast(PAIR_COUNT).alias("n_near_pairs"),
     )
 

@@ -7,6 +7,7 @@ import operator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sortwell.operators.reconcile import reconcile_summary
 from sortwell.session import one_row
@@ -32,13 +33,19 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
     return df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
-def class_percentages(df: DataFrame, label: str, *, include_nulls: bool = False) -> DataFrame:
-    """Share of each non-null label in percent, of all rows or of the labelled rows."""
+def class_percentages(df: DataFrame, label: str) -> DataFrame:
+    """Rows of each non-null label and their share in percent, of the labelled rows and of all.
+
+    One aggregation; the totals are windows over its rows, one per class.
+    """
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    counted = counts if include_nulls else counts.where(F.col(label).isNotNull())
-    total = counted.agg(F.sum("n").alias("total")).scalar()
-    share = F.lit(100.0) * F.col("n") / total
-    return counts.where(F.col(label).isNotNull()).withColumn("percentage", share)
+    every = Window.partitionBy()
+    known = F.sum(F.when(F.col(label).isNotNull(), F.col("n"))).over(every)
+    share = lambda total: F.lit(100.0) * F.col("n") / total
+    found = counts.select(
+        label, "n", share(known).alias("pct_of_labelled"), share(F.sum("n").over(every)).alias("pct_of_all")
+    )
+    return found.where(F.col(label).isNotNull())
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

@@ -33,7 +33,7 @@ def canonicalise(
         return mapped.where(F.col(out).isNull()).drop(out)
     if on_unknown == "error":
         label = F.coalesce(F.col(label_col).cast("string"), F.lit("null"))
-        unknown = F.raise_error(F.concat(F.lit("unknown source label: "), label))
+        unknown = F.raise_error(F.concat(F.lit("no canonical label is mapped to "), label))
         mapped = mapped.withColumn(out, F.coalesce(F.col(out), unknown.cast("string")))
     return mapped
 

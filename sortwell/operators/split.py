@@ -24,7 +24,7 @@ def exact_ratios(ratios: tuple) -> tuple[Fraction, Fraction, Fraction]:
     if all(isinstance(r, int) for r in ratios) and sum(parts) == 100:
         parts = [p / 100 for p in parts]
     if abs(sum(parts) - 1) > Fraction(1, 10**9):
-        raise ValueError("split ratios must sum to 1")
+        raise ValueError(f"shares of the splits add up to {float(sum(parts))}, not 1")
     return tuple(parts)
 
 
@@ -125,30 +125,28 @@ def stratified_split(
     )
 
 
-def _split_pairs(names: tuple[str, ...]) -> list[tuple[str, str]]:
-    return [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
-
-
 def split_overlap(df: DataFrame, *, key: str, split: str = "split", names: tuple[str, ...] = SPLITS) -> DataFrame:
-    """Distinct keys shared by each pair of splits, zeros included.
+    """Distinct keys shared by each pair of splits: zeros included for `names`, and any other pair
+    that occurs. A null split counts as a split called "(none)".
 
-    One aggregation by key with a flag per split; hot keys combine before the shuffle.
+    One aggregation by key to the set of its splits; hot keys combine before the shuffle.
     """
-    flags = df.groupBy(key).agg(
-        *[F.max((F.col(split) == name).cast("int")).alias(f"in_{i}") for i, name in enumerate(names)]
-    )
-    pairs = _split_pairs(tuple(range(len(names))))
-    shared = flags.agg(
-        *[F.count_if((F.col(f"in_{a}") == 1) & (F.col(f"in_{b}") == 1)).alias(f"n_{a}_{b}") for a, b in pairs]
+    rank = F.coalesce(F.array_position(F.array(*[F.lit(n) for n in names]), F.col("_split")), F.lit(0))
+    place = F.when(rank == 0, len(names) + 1).otherwise(rank)
+    per_key = (
+        df.select(F.col(key).alias("_key"), F.coalesce(F.col(split).cast("string"), F.lit("(none)")).alias("_split"))
+        .groupBy("_key")
+        .agg(F.array_sort(F.collect_set(F.struct(place.alias("place"), F.col("_split").alias("name")))).alias("_in"))
+        .where(F.size("_in") > 1)
     )
-    rows = [
-        F.struct(
-            F.lit(names[a]).alias("split_a"), F.lit(names[b]).alias("split_b"),
-            F.col(f"n_{a}_{b}").alias("n_shared"),
-        )
-        for a, b in pairs
-    ]
-    return shared.select(F.inline(F.array(*rows)))
+    pairs = F.flatten(F.transform("_in", lambda a, i: F.transform(
+        F.slice("_in", i + 2, F.size("_in")),
+        lambda b: F.struct(a["name"].alias("split_a"), b["name"].alias("split_b"), F.lit(1).cast("bigint").alias("n")),
+    )))
+    found = per_key.where(F.col("_key").isNotNull()).select(F.inline(pairs))
+    known = [(a, b, 0) for i, a in enumerate(names) for b in names[i + 1 :]]
+    zeros = small_table(df.sparkSession, known, "split_a string, split_b string, n bigint")
+    return found.unionByName(zeros).groupBy("split_a", "split_b").agg(F.sum("n").alias("n_shared"))
 
 
 def split_coverage(df: DataFrame, *, key: str) -> DataFrame:
@@ -159,8 +157,12 @@ def split_coverage(df: DataFrame, *, key: str) -> DataFrame:
     ).withColumn("complete", F.col("n_rows") == F.col("n_keys"))
 
 
-def check_splits(df: DataFrame, *, key: str, split: str = "split") -> None:
-    """Fail when a key sits in two splits or occurs twice."""
+def check_splits(df: DataFrame, *, key: str, split: str = "split", names: tuple[str, ...] = SPLITS) -> None:
+    """Fail when a row's split is none of `names`, or a key sits in two splits or occurs twice."""
+    known = F.coalesce(F.col(split).isin(*names), F.lit(False))
+    unknown = df.where(~known).select(split).distinct().limit(10).collect()
+    if unknown:
+        raise ValueError(f"unexpected split names: {[r[0] for r in unknown]}")
     shared = split_overlap(df, key=key, split=split).where("n_shared > 0").collect()
     if shared:
         raise ValueError(f"keys shared across splits: {[tuple(r) for r in shared]}")
@@ -184,13 +186,39 @@ def split_distribution(df: DataFrame, *, label: str, split: str = "split", names
 def class_coverage(
     df: DataFrame, *, label: str, vocab: list, split: str = "split", names: tuple[str, ...] = SPLITS
 ) -> DataFrame:
-    """Rows per split and vocabulary class, zero-filled, with `covered` = at least one row."""
+    """Rows per split and class, with `covered` = at least one row and `listed` = the split and the
+    class are among `names` and `vocab`.
+
+    Zero-filled for listed ones; whatever else occurs, nulls too, has rows of its own, so `n` adds
+    up to all rows.
+    """
     schema = T.StructType(
-        [T.StructField("_split", T.StringType()), T.StructField("_label", df.schema[label].dataType)]
+        [T.StructField("split", T.StringType()), T.StructField("label", df.schema[label].dataType)]
     )
     grid = small_table(df.sparkSession, [(s, v) for s in names for v in vocab], schema)
-    counts = df.groupBy(split, label).agg(F.count(F.lit(1)).alias("n"))
-    n = F.coalesce(F.col("n"), F.lit(0))
-    return grid.join(
-        counts, (F.col("_split") == F.col(split)) & (F.col("_label") == F.col(label)), "left"
-    ).select(F.col("_split").alias("split"), F.col("_label").alias("label"), n.alias("n"), (n > 0).alias("covered"))
+    counts = df.groupBy(F.col(split).alias("split"), F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    both = counts.withColumn("listed", F.lit(False)).unionByName(
+        grid.withColumns({"n": F.lit(0).cast("bigint"), "listed": F.lit(True)})
+    )
+    found = both.groupBy("split", "label").agg(F.sum("n").alias("n"), F.max("listed").alias("listed"))
+    return found.select("split", "label", "n", (F.col("n") > 0).alias("covered"), "listed")
+
+
+def check_coverage(
+    df: DataFrame, *, label: str, vocab: list, expected_rows: int, split: str = "split",
+    names: tuple[str, ...] = SPLITS,
+) -> None:
+    """Fail on a listed class without rows, an unlisted split or class, or a wrong total."""
+    cells = class_coverage(df, label=label, vocab=vocab, split=split, names=names)
+    at = F.struct("split", "label")
+    found = cells.agg(
+        F.slice(F.collect_list(F.when(~F.col("covered"), at)), 1, 10).alias("empty"),
+        F.slice(F.collect_list(F.when(~F.col("listed"), at)), 1, 10).alias("unlisted"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+    ).first()
+    if found.empty:
+        raise ValueError(f"classes without rows: {[tuple(r) for r in found.empty]}")
+    if found.unlisted:
+        raise ValueError(f"splits or classes outside the lists: {[tuple(r) for r in found.unlisted]}")
+    if found.total != expected_rows:
+        raise ValueError(f"{found.total} rows where {expected_rows} were expected")

@@ -22,12 +22,12 @@ packed AS (
   FROM vote GROUP BY doc_id),
 fp AS (
   SELECT d.doc_id,
-    CASE WHEN p.doc_id IS NULL THEN 0
-         WHEN sign = 1 THEN low63 - 9223372036854775808::HUGEINT ELSE low63 END::BIGINT AS fp
-  FROM documents d LEFT JOIN packed p ON d.doc_id = p.doc_id)"""
+    CASE WHEN sign = 1 THEN low63 - 9223372036854775808::HUGEINT ELSE low63 END::BIGINT AS fp
+  FROM documents d LEFT JOIN packed p ON d.doc_id = p.doc_id),
+hashed AS (SELECT doc_id, fp FROM fp WHERE fp IS NOT NULL)"""
 
 GROUPS = """
-g AS (SELECT fp, min(doc_id) AS first_key, count(*) AS n_keys FROM fp GROUP BY fp)"""
+g AS (SELECT fp, min(doc_id) AS first_key, count(*) AS n_keys FROM hashed GROUP BY fp)"""
 
 PAIRS = """
 near AS (
@@ -68,7 +68,6 @@ LABELLED = """
 lab AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 
-EN = "en AS (SELECT doc_id, lang, n_chars FROM documents WHERE lang = 'en')"
 
 PICTURES = """
 px AS (SELECT vec_id, (i - 1) // 8 AS y, (i - 1) % 8 AS x,
@@ -85,8 +84,11 @@ again AS (
   JOIN q4 ON r.lang = q4.lang)"""
 
 PRED = """
-p AS (SELECT quality AS truth, 1 - toxic AS prediction FROM labels),
-v AS (SELECT unnest([0, 1, 2])::INTEGER AS c),
+p AS (
+  SELECT quality AS truth,
+    CASE WHEN lang = 'fr' THEN 2 WHEN lang <> 'de' THEN 1 - coalesce(toxic, 0) END AS prediction
+  FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id),
+v AS (SELECT unnest([0, 1])::INTEGER AS c),
 f AS (
   SELECT v.c AS class,
     (SELECT count(*) FROM p WHERE truth = v.c) AS support,
@@ -144,22 +146,25 @@ ORACLES: dict[str, str] = {
     + "SELECT key_a, key_b, hash_distance FROM rel ORDER BY hash_distance, key_a, key_b",
     "near_dup_candidates": _with(FP)
     + "SELECT band, chunk, count(*) AS n_keys, (count(*) * (count(*) - 1) / 2)::DOUBLE AS n_pairs FROM ("
-    + " UNION ALL ".join(f"SELECT {i}::INTEGER AS band, {_band(i)} AS chunk FROM fp" for i in range(8))
+    + " UNION ALL ".join(f"SELECT {i}::INTEGER AS band, {_band(i)} AS chunk FROM hashed" for i in range(8))
     + ") GROUP BY band, chunk",
     "near_dup_summary": _with(FP)
-    + "SELECT (SELECT count(*) FROM fp) AS n_hashed,"
-    " (SELECT count(*) FROM (SELECT fp FROM fp GROUP BY fp HAVING count(*) > 1)) AS n_exact_groups,"
-    f" (SELECT count(*) FROM fp a JOIN fp b ON a.doc_id < b.doc_id WHERE {ALL_BANDS_PAIR})::DOUBLE AS n_candidates,"
-    " (SELECT count(*) FROM fp a JOIN fp b ON a.doc_id < b.doc_id"
+    + "SELECT (SELECT count(*) FROM hashed) AS n_hashed,"
+    " (SELECT count(*) FROM fp WHERE fp IS NULL) AS n_unhashed,"
+    " (SELECT count(*) FROM (SELECT fp FROM hashed GROUP BY fp HAVING count(*) > 1)) AS n_exact_groups,"
+    " (SELECT count(*) FROM hashed a JOIN hashed b ON a.doc_id < b.doc_id"
     " WHERE bit_count(xor(a.fp, b.fp)) <= 5)::DOUBLE AS n_near_pairs",
+    "near_dup_candidate_pairs": _with(FP)
+    + "SELECT count(*)::DOUBLE AS n_candidates"
+    f" FROM hashed a JOIN hashed b ON a.doc_id < b.doc_id WHERE {ALL_BANDS_PAIR}",
     "hash_groups": _with(FP)
-    + "SELECT fp, min(doc_id) AS first_key, count(*) AS n_keys FROM fp GROUP BY fp HAVING count(*) > 1",
+    + "SELECT fp, min(doc_id) AS first_key, count(*) AS n_keys FROM hashed GROUP BY fp HAVING count(*) > 1",
     "hash_group_members": _with(FP, GROUPS)
     + "SELECT fp.doc_id, fp.fp, n_keys FROM fp JOIN g ON fp.fp = g.fp WHERE n_keys > 1",
     "near_dup_leakage": _with(
         FP, SP,
         "n AS (SELECT fp.fp, sp.split, min(fp.doc_id) AS k, count(*) AS c"
-        " FROM fp JOIN sp ON fp.doc_id = sp.doc_id GROUP BY fp.fp, sp.split)",
+        " FROM hashed fp JOIN sp ON fp.doc_id = sp.doc_id GROUP BY fp.fp, sp.split)",
     )
     + "SELECT a.split AS split_a, a.k AS key_a, a.c AS n_a, b.split AS split_b, b.k AS key_b, b.c AS n_b,"
     " bit_count(xor(a.fp, b.fp))::INTEGER AS hash_distance"
@@ -212,20 +217,21 @@ ORACLES: dict[str, str] = {
     " (SELECT count(*) - count(DISTINCT md5(text)) FROM labels JOIN documents USING (doc_id)) AS n_duplicate_pairs,"
     " (SELECT count(*) FROM (SELECT DISTINCT p_size, p_type FROM part)) AS n_dimensions",
     # reconciliation
-    "missing_refs": _with(EN)
-    + "SELECT DISTINCT doc_id FROM labels WHERE NOT EXISTS (SELECT 1 FROM en WHERE en.doc_id = labels.doc_id)",
-    "extra_files": _with(EN)
-    + "SELECT DISTINCT doc_id FROM en WHERE NOT EXISTS (SELECT 1 FROM labels WHERE en.doc_id = labels.doc_id)",
-    "existing_refs": _with(EN)
-    + "SELECT doc_id, quality, toxic FROM labels WHERE EXISTS (SELECT 1 FROM en WHERE en.doc_id = labels.doc_id)",
+    "missing_refs": "SELECT DISTINCT o_orderkey AS order_key FROM orders"
+    " WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)",
+    "extra_files": "SELECT DISTINCT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
+    "existing_refs": "SELECT o_orderkey AS order_key, o_orderpriority FROM orders"
+    " WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)",
+    "existing_refs_hot": "SELECT l_orderkey AS order_key FROM lineitem"
+    " WHERE EXISTS (SELECT 1 FROM orders WHERE l_orderkey = o_orderkey)",
     "reconcile_summary": _with(
-        EN, "m AS (SELECT DISTINCT doc_id FROM labels)", "j AS (SELECT m.doc_id AS m, en.doc_id AS f FROM m FULL JOIN en ON m.doc_id = en.doc_id)"
+        "m AS (SELECT DISTINCT o_orderkey AS k FROM orders)", "f AS (SELECT DISTINCT l_orderkey AS k FROM lineitem)",
+        "j AS (SELECT m.k AS m, f.k AS f FROM m FULL JOIN f ON m.k = f.k)",
     )
     + "SELECT count(m) AS n_referenced, count(f) AS n_files, count(*) FILTER (WHERE f IS NULL) AS n_missing,"
     " count(*) FILTER (WHERE m IS NULL) AS n_extra FROM j",
-    "attach_metadata": _with(EN)
-    + "SELECT l.doc_id, quality, toxic, lang, n_chars, en.doc_id IS NOT NULL AS verified"
-    " FROM labels l LEFT JOIN en ON l.doc_id = en.doc_id",
+    "attach_metadata": "SELECT d.doc_id, lang, n_chars, quality, toxic, l.doc_id IS NOT NULL AS verified"
+    " FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id",
     "vocabulary_diff": "WITH v AS (SELECT unnest(['en', 'fr', 'de', 'it']) AS value)"
     " SELECT DISTINCT lang AS value, 'unexpected' AS status FROM documents WHERE lang NOT IN (SELECT value FROM v)"
     " UNION ALL SELECT value, 'absent' FROM v WHERE value NOT IN (SELECT lang FROM documents)",
@@ -262,11 +268,13 @@ ORACLES: dict[str, str] = {
     + ", round(count(*)::DOUBLE / (SELECT sum(n) FROM n), 6) AS overall_share FROM sp GROUP BY lang",
     "class_coverage": _with(
         SP, "s AS (SELECT unnest(['train', 'validation', 'test']) AS split)",
-        "v AS (SELECT unnest(['de', 'en', 'es', 'fr', 'it']) AS label)",
+        "v AS (SELECT unnest(['de', 'en', 'fr', 'it']) AS label)",
         "n AS (SELECT split, lang, count(*) AS n FROM sp GROUP BY split, lang)",
+        "g AS (SELECT split, label FROM s CROSS JOIN v)",
     )
-    + "SELECT s.split, v.label, coalesce(n.n, 0) AS n, n.n IS NOT NULL AS covered"
-    " FROM s CROSS JOIN v LEFT JOIN n ON n.split = s.split AND n.lang = v.label",
+    + "SELECT coalesce(g.split, n.split) AS split, coalesce(g.label, n.lang) AS label, coalesce(n.n, 0) AS n,"
+    " n.n IS NOT NULL AS covered, g.split IS NOT NULL AS listed"
+    " FROM g FULL JOIN n ON n.split = g.split AND n.lang = g.label",
     "sample_per_class": "SELECT vec_id, label, place::INTEGER AS place FROM (SELECT vec_id, label,"
     " row_number() OVER (PARTITION BY label ORDER BY md5('42:' || vec_id), vec_id) AS place FROM embeddings) WHERE place <= 8",
     "assign_batches": "SELECT doc_id, position, position // 32 AS batch_id, train_position, train_position // 32 AS train_batch_id"
@@ -392,8 +400,9 @@ ORACLES: dict[str, str] = {
     + ")",
     # metrics
     "confusion_matrix": _with(PRED)
-    + "SELECT t.c AS truth, q.c AS prediction, (SELECT count(*) FROM p WHERE truth = t.c AND prediction = q.c) AS n FROM v t, v q",
-    "accuracy": _with(PRED) + "SELECT round(avg((truth = prediction)::INTEGER::DOUBLE), 6) AS accuracy FROM p",
+    + "SELECT truth, prediction, sum(n)::BIGINT AS n FROM ("
+    "SELECT truth, prediction, 1 AS n FROM p UNION ALL SELECT t.c, q.c, 0 FROM v t, v q) GROUP BY truth, prediction",
+    "accuracy": _with(PRED) + "SELECT round(avg(coalesce(truth = prediction, false)::INTEGER::DOUBLE), 6) AS accuracy FROM p",
     "precision_recall": _with(PRED)
     + "SELECT class, support, CASE WHEN predicted > 0 THEN round(hits::DOUBLE / predicted, 6) ELSE 0.0::DOUBLE END AS precision,"
     " CASE WHEN support > 0 THEN round(hits::DOUBLE / support, 6) ELSE 0.0::DOUBLE END AS recall,"
@@ -401,3 +410,7 @@ ORACLES: dict[str, str] = {
     "macro_f1": _with(PRED)
     + "SELECT round(avg(CASE WHEN support + predicted > 0 THEN 2 * hits::DOUBLE / (support + predicted) ELSE 0 END), 6) AS macro_f1 FROM f",
 }
+
+# The same answers by the ways for crowded buckets and hot groups.
+ORACLES["near_duplicates_crowded"] = ORACLES["near_duplicates"]
+ORACLES["exact_duplicates_hot"] = ORACLES["exact_duplicates"]

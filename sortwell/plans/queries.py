@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sortwell.functions import hashing, vectors
 from sortwell.operators import batches, duplicates, metrics, neardup, pixels, profile, project
 from sortwell.operators import reconcile, rules, sampling, split
+from sortwell.session import settled
 from sortwell.sources import tables
 from sortwell.sources.tables import spread
 
@@ -64,8 +65,10 @@ def labelled(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     return docs.join(table(spark, sf, "labels"), "doc_id", "left")
 
 
-def english(spark: SparkSession, sf: str) -> DataFrame:
-    return documents(spark, sf, "doc_id", "lang", "n_chars").where(F.col("lang") == "en")
+def order_refs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Orders as a manifest, the orders that line items name as files."""
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_key"), "o_orderpriority")
+    return orders, table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("order_key"))
 
 
 def r6(value: Column | str) -> Column:
@@ -85,6 +88,12 @@ def near_duplicates(spark, sf):
     return neardup.near_duplicates(hashed(spark, sf), key="doc_id", hash_col="fp")
 
 
+@query
+def near_duplicates_crowded(spark, sf):
+    """The same with bounds so low that the ways for crowded buckets and hot groups are taken."""
+    return neardup.near_duplicates(hashed(spark, sf), key="doc_id", hash_col="fp", bucket_rows=3, hot_rows=2)
+
+
 @query
 def near_dup_candidates(spark, sf):
     found = neardup.band_buckets(hashed(spark, sf), key="doc_id", hash_col="fp")
@@ -94,11 +103,13 @@ def near_dup_candidates(spark, sf):
 @query
 def near_dup_summary(spark, sf):
     found = neardup.near_dup_summary(hashed(spark, sf), key="doc_id", hash_col="fp")
-    return found.select(
-        "n_hashed", "n_exact_groups",
-        F.col("n_candidates").cast("double").alias("n_candidates"),
-        F.col("n_near_pairs").cast("double").alias("n_near_pairs"),
-    )
+    return found.withColumn("n_near_pairs", F.col("n_near_pairs").cast("double"))
+
+
+@query
+def near_dup_candidate_pairs(spark, sf):
+    groups = settled(neardup.collapse_hashes(hashed(spark, sf), key="doc_id", hash_col="fp"))
+    return neardup.candidate_pair_count(groups).withColumn("n_candidates", F.col("n_candidates").cast("double"))
 
 
 @query
@@ -162,6 +173,12 @@ def exact_duplicates(spark, sf):
     return duplicates.exact_duplicates(content_digest(spark, sf), key="doc_id", digest="digest")
 
 
+@query
+def exact_duplicates_hot(spark, sf):
+    """The same with every group of more than two dealt into parts."""
+    return duplicates.exact_duplicates(content_digest(spark, sf), key="doc_id", digest="digest", hot_rows=2)
+
+
 @query
 def duplicate_keys(spark, sf):
     return duplicates.duplicate_keys(table(spark, sf, "lineitem"), "l_orderkey")
@@ -188,12 +205,8 @@ def class_counts(spark, sf):
 @query
 def class_percentages(spark, sf):
     """Both denominators side by side."""
-    rows = labelled(spark, sf, "doc_id")
-    of_all = profile.class_percentages(rows, "quality", include_nulls=True)
-    of_labelled = profile.class_percentages(rows, "quality")
-    return of_labelled.select("quality", "n", r6("percentage").alias("pct_of_labelled")).join(
-        of_all.select("quality", r6("percentage").alias("pct_of_all")), "quality"
-    )
+    found = profile.class_percentages(labelled(spark, sf, "doc_id"), "quality")
+    return found.withColumns({c: r6(c) for c in ("pct_of_labelled", "pct_of_all")})
 
 
 @query
@@ -251,28 +264,35 @@ def audit_summary(spark, sf):
 
 @query
 def missing_refs(spark, sf):
-    return reconcile.missing_refs(table(spark, sf, "labels"), english(spark, sf), key="doc_id")
+    return reconcile.missing_refs(*order_refs(spark, sf), key="order_key")
 
 
 @query
 def extra_files(spark, sf):
-    return reconcile.extra_files(table(spark, sf, "labels"), english(spark, sf), key="doc_id")
+    return reconcile.extra_files(table(spark, sf, "labels"), documents(spark, sf, "doc_id"), key="doc_id")
 
 
 @query
 def existing_refs(spark, sf):
-    return reconcile.existing_refs(table(spark, sf, "labels"), english(spark, sf), key="doc_id")
+    return reconcile.existing_refs(*order_refs(spark, sf), key="order_key")
+
+
+@query
+def existing_refs_hot(spark, sf):
+    """Line items whose order exists, with keys of more than five rows dealt into parts."""
+    orders, lines = order_refs(spark, sf)
+    return reconcile.existing_refs(lines, orders, key="order_key", hot_rows=5)
 
 
 @query
 def reconcile_summary(spark, sf):
-    return reconcile.reconcile_summary(table(spark, sf, "labels"), english(spark, sf), key="doc_id")
+    return reconcile.reconcile_summary(*order_refs(spark, sf), key="order_key")
 
 
 @query
 def attach_metadata(spark, sf):
-    files = english(spark, sf).withColumn("verified", F.lit(True))
-    return reconcile.attach_file_metadata(table(spark, sf, "labels"), files, key="doc_id")
+    files = table(spark, sf, "labels").withColumn("verified", F.lit(True))
+    return reconcile.attach_file_metadata(documents(spark, sf, "doc_id", "lang", "n_chars"), files, key="doc_id")
 
 
 @query
@@ -360,7 +380,7 @@ def split_distribution(spark, sf):
 
 @query
 def class_coverage(spark, sf):
-    return split.class_coverage(split_documents(spark, sf), label="lang", vocab=[*LANGS, "it"])
+    return split.class_coverage(split_documents(spark, sf), label="lang", vocab=["de", "en", "fr", "it"])
 
 
 @query
@@ -539,15 +559,15 @@ def validation_report(spark, sf):
 
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
-    """Quality as truth, absence of toxicity as its prediction."""
-    return table(spark, sf, "labels").select(
-        F.col("quality").alias("truth"), (F.lit(1) - F.col("toxic")).alias("prediction")
-    )
+    """Quality as truth, null for documents without labels. Its prediction is absence of toxicity,
+    null for one language and a class of its own for another."""
+    guess = F.when(F.col("lang") == "fr", 2).when(F.col("lang") != "de", 1 - F.coalesce("toxic", F.lit(0)))
+    return labelled(spark, sf).select(F.col("quality").alias("truth"), guess.alias("prediction"))
 
 
 @query
 def confusion_matrix(spark, sf):
-    return metrics.confusion_matrix(predictions(spark, sf), truth="truth", pred="prediction", vocab=[0, 1, 2])
+    return metrics.confusion_matrix(predictions(spark, sf), truth="truth", pred="prediction", vocab=[0, 1])
 
 
 @query
@@ -558,11 +578,11 @@ def accuracy(spark, sf):
 
 @query
 def precision_recall(spark, sf):
-    found = metrics.precision_recall(predictions(spark, sf), truth="truth", pred="prediction", vocab=[0, 1, 2])
+    found = metrics.precision_recall(predictions(spark, sf), truth="truth", pred="prediction", vocab=[0, 1])
     return found.withColumns({c: r6(c) for c in ("precision", "recall", "f1")})
 
 
 @query
 def macro_f1(spark, sf):
-    found = metrics.macro_f1(predictions(spark, sf), truth="truth", pred="prediction", vocab=[0, 1, 2])
+    found = metrics.macro_f1(predictions(spark, sf), truth="truth", pred="prediction", vocab=[0, 1])
     return found.select(r6("macro_f1").alias("macro_f1"))

@@ -78,19 +78,23 @@ def small_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructTy
 def bounded_copy(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame | None:
     """The table as a broadcast local relation, or None when it has more than `max_rows` rows.
 
-    At most `max_rows + 1` rows are fetched to find out.
+    take() reads a few partitions first and stops as soon as the bound is passed, so a long table
+    costs no full scan.
     """
-    head = df.limit(max_rows + 1).toArrow()
-    if head.num_rows > max_rows:
+    rows = df.take(max_rows + 1)
+    if len(rows) > max_rows:
         return None
-    return F.broadcast(df.sparkSession.createDataFrame(head, schema=df.schema))
+    return F.broadcast(df.sparkSession.createDataFrame([tuple(r) for r in rows], schema=df.schema))
 
 
 def lookup_side(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Prepare an aggregated table (one row per class) for a join with the base rows: broadcast
-    when it is within the bound, else as it is, and the join shuffles."""
-    small = bounded_copy(df, max_rows)
-    return df if small is None else small
+    """Prepare an aggregated table (one row per class) for a join with the base rows.
+
+    It is worked out once and settled; then it is broadcast when it is within the bound, and joined
+    as it is otherwise.
+    """
+    kept = settled(df)
+    return F.broadcast(kept) if kept.count() <= max_rows else kept
 
 
 def one_row(*frames: DataFrame) -> DataFrame:

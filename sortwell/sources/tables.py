@@ -106,12 +106,10 @@ def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a small scan enough partitions for work that is heavy per row.
+    """Give a scan of few partitions enough of them for work that is heavy per row.
 
-    A file is split at row groups only, so a few small files keep most cores idle. Inputs of at
-    least one split size per core are left as they are: nothing is shuffled at scale.
+    A file is split at row groups only, so a few small files keep most cores idle. An input with at
+    least one partition per core is left as it is: nothing is shuffled at scale.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    split_bytes = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    return df if size >= cores * split_bytes else df.repartition(cores, key)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)

@@ -13,6 +13,8 @@ from sortwell.session import small_table
 def simhash(text):
     """The same vote, token by token and bit by bit."""
     tokens = {t for t in re.split(r"[\W_]+", text.lower()) if t}
+    if not tokens:
+        return None
     hashes = [int(hashlib.md5(t.encode()).hexdigest()[:16], 16) for t in tokens]
     bits = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
     return hashing.signed64(bits)

@@ -184,7 +184,7 @@ def test_more_hashes_get_longer_keys():
 def test_summary_counts_pairs_without_listing_them(spark):
     data = sample_hashes()
     df = small_table(spark, data, "key string, hash bigint")
-    got = neardup.near_dup_summary(df, key="key", hash_col="hash").first()
+    got = neardup.near_dup_summary(df, key="key", hash_col="hash", candidates=True).first()
     pairs = list(itertools.combinations(data, 2))
     share = lambda a, b: any((a ^ b) >> 8 * i & 255 == 0 for i in range(8))
     assert got["n_hashed"] == len(data)

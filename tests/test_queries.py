@@ -5,8 +5,9 @@ import pytest
 from conftest import plan_of
 
 import __spark_entry__ as entry
+from sortwell.plans.queries import QUERIES
 
-TABLES = "part lineitem events documents embeddings labels".split()
+TABLES = "part orders lineitem events documents embeddings labels".split()
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +23,7 @@ def in_order(columns, data):
     return sorted((tuple(r[i] for i in pick) for r in data), key=lambda r: [(v is None, str(v)) for v in r])
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, sf, oracle, name):
     df = entry.queries()[name](spark, sf)
     got = in_order(df.columns, [tuple(r) for r in df.collect()])
@@ -38,7 +39,7 @@ def test_entry_runs(spark):
 PIXEL_QUERIES = {"image_hash64", "preprocess_eval"}
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - PIXEL_QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - PIXEL_QUERIES))
 def test_no_pairwise_join_and_no_python_worker(spark, sf, name):
     plan = plan_of(entry.queries()[name](spark, sf))
     for node in ("CartesianProduct", "NestedLoop", "Python", "InPandas"):

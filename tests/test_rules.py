@@ -119,3 +119,18 @@ def test_metrics(spark):
     f1 = [2 * 3 / (4 + 5), 2 * 2 / (4 + 3), 0.0]
     assert metrics.macro_f1(df, truth="t", pred="p", vocab=vocab).first()[0] == pytest.approx(sum(f1) / 3)
     assert df.select(F.lit(1)).count() == 8
+
+
+def test_metrics_count_every_row(spark):
+    data = [(0, 0), (0, None), (0, 7), (1, 1)]
+    df = small_table(spark, data, "t int, p int")
+    got = {r["class"]: r for r in metrics.precision_recall(df, truth="t", pred="p", vocab=[0, 1]).collect()}
+    assert set(got) == {0, 1}
+    assert (got[0].support, got[0].recall, got[0].precision) == (3, 1 / 3, 1.0)
+    assert metrics.accuracy(df, truth="t", pred="p").first()[0] == 0.5
+    cells = rows(metrics.confusion_matrix(df, truth="t", pred="p", vocab=[0, 1]))
+    assert cells == [(0, 0, 1), (0, 1, 0), (0, 7, 1), (0, None, 1), (1, 0, 0), (1, 1, 1)]
+    null_truth = small_table(spark, [(None, 0), (0, 0)], "t int, p int")
+    found = metrics.precision_recall(null_truth, truth="t", pred="p", vocab=[0]).first()
+    assert (found.support, found.precision) == (1, 0.5)
+    assert metrics.accuracy(null_truth, truth="t", pred="p").first()[0] == 0.5

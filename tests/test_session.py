@@ -31,8 +31,22 @@ def test_bounded_copy(spark):
     df = spark.range(10)
     assert session.bounded_copy(df, 9) is None
     assert rows(session.bounded_copy(df, 10)) == [(i,) for i in range(10)]
-    assert "LocalTableScan" in plan_of(session.lookup_side(df, 10))
-    assert "LocalTableScan" not in plan_of(session.lookup_side(df, 9))
+    other = spark.range(20)
+    assert "BroadcastHashJoin" in plan_of(other.join(session.lookup_side(df, 10), "id"))
+    assert "Broadcast" not in plan_of(other.hint("merge").join(session.lookup_side(df, 9), "id"))
+
+
+def test_bound_of_a_long_table_reads_few_partitions(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(stream):
+        read.add(1)
+        yield from stream
+
+    df = spark.range(0, 100_000, 1, 200)
+    counted = df.mapInArrow(count, df.schema)
+    assert session.bounded_copy(counted, 900) is None
+    assert read.value < 50
 
 
 def test_small_table_types_and_empty(spark):

@@ -124,6 +124,18 @@ def test_coverage_and_check(spark):
     split.check_splits(df.where("key in ('c', 'd')"), key="key")
     with pytest.raises(ValueError):
         split.check_splits(df.where("key = 'a' and split = 'train'"), key="key")
+    other = small_table(spark, [("a", "train"), ("b", "holdout"), ("c", None)], "key string, split string")
+    with pytest.raises(ValueError, match="unexpected split names"):
+        split.check_splits(other, key="key")
+
+
+def test_overlap_shows_other_split_names(spark):
+    data = [("a", "train"), ("a", "holdout"), ("a", "dev"), ("b", "dev"), ("b", None), (None, "train"), (None, "dev")]
+    got = rows(split.split_overlap(small_table(spark, data, "key string, split string"), key="key"))
+    assert got == [
+        ("(none)", "dev", 1), ("dev", "holdout", 1), ("train", "dev", 1), ("train", "holdout", 1), ("train", "test", 0),
+        ("train", "validation", 0), ("validation", "test", 0),
+    ]
 
 
 def test_distribution_fills_zeros_and_has_true_overall(spark):
@@ -134,4 +146,20 @@ def test_distribution_fills_zeros_and_has_true_overall(spark):
 
 def test_class_coverage(spark):
     got = rows(split.class_coverage(splits_table(spark), label="label", vocab=["x", "z"]))
-    assert ("test", "z", 0, False) in got and ("train", "x", 3, True) in got and len(got) == 6
+    assert ("test", "z", 0, False, True) in got and ("train", "x", 3, True, True) in got and len(got) == 8
+    assert ("test", "y", 1, True, False) in got and sum(r[2] for r in got) == 7
+
+
+def test_check_coverage(spark):
+    data = [(s, c) for s in split.SPLITS for c in ("x", "y")]
+    check = lambda more, n: split.check_coverage(
+        small_table(spark, data + more, "split string, label string"), label="label", vocab=["x", "y"], expected_rows=n
+    )
+    check([], 6)
+    check([("train", "x")], 7)
+    for more, n, text in (([], 7, "expected"), ([("train", "w")], 7, "outside"), ([("dev", "x")], 7, "outside"),
+                          ([("train", None)], 7, "outside")):
+        with pytest.raises(ValueError, match=text):
+            check(more, n)
+    with pytest.raises(ValueError, match="without rows"):
+        split.check_coverage(small_table(spark, data[1:], "split string, label string"), label="label", vocab=["x", "y"], expected_rows=5)

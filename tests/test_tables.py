@@ -69,9 +69,11 @@ def test_spread_leaves_large_scans_alone(spark, sf):
     assert "hashpartitioning(doc_id" in plan_of(tables.spread(docs, "doc_id"))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
     try:
+        docs = spark.read.parquet(f"{sf}/documents.parquet")
         assert "Exchange" not in plan_of(tables.spread(docs, "doc_id"))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert "Exchange" not in plan_of(tables.spread(spark.range(0, 10, 1, 200), "id"))
 
 
 # --- labels ---------------------------------------------------------------------------------
@@ -80,7 +82,7 @@ def test_spread_leaves_large_scans_alone(spark, sf):
 def test_canonicalise_modes(spark):
     df = small_table(spark, [("a", 0), ("b", 7), ("c", None)], "id string, label int")
     names = {0: "zero", 1: "one"}
-    with pytest.raises(Exception, match="unknown source label"):
+    with pytest.raises(Exception, match="no canonical label"):
         project.canonicalise(df, "label", names).collect()
     assert rows(project.canonicalise(df, "label", names, on_unknown="null")) == [
         ("a", 0, "zero"), ("b", 7, None), ("c", None, None),
@@ -160,9 +162,12 @@ def test_vocabulary_modes(spark):
 
 def test_percent_denominators(spark):
     df = small_table(spark, [("a",), ("a",), ("b",), (None,)], "v string")
-    share = lambda **kw: {r.v: r.percentage for r in profile.class_percentages(df, "v", **kw).collect()}
-    assert share() == pytest.approx({"a": 200 / 3, "b": 100 / 3})
-    assert share(include_nulls=True) == {"a": 50.0, "b": 25.0}
+    found = profile.class_percentages(df, "v")
+    share = {r.v: r for r in found.collect()}
+    assert {k: r.pct_of_labelled for k, r in share.items()} == pytest.approx({"a": 200 / 3, "b": 100 / 3})
+    assert {k: (r.n, r.pct_of_all) for k, r in share.items()} == {"a": (2, 50.0), "b": (1, 25.0)}
+    plan = plan_of(profile.class_percentages(df, "v"))
+    assert plan.count("Exchange ") <= 2 and "Subquery" not in plan and "Join" not in plan
     assert rows(profile.class_counts(df, "v")) == [("a", 2), ("b", 1)]
     weights = {r.v: r.weight for r in profile.class_weights(df, "v").collect()}
     assert weights == pytest.approx({"a": (3 / 4) ** 0.5, "b": (3 / 2) ** 0.5})
@@ -256,3 +261,13 @@ def test_batch_summary(spark):
     assert rows(batches.batch_summary(df, split="split")) == [("test", 32, 1, 32), ("train", 65, 3, 1)]
     with pytest.raises(ValueError):
         batches.batch_summary(df, split="split", batch_size=0)
+
+
+def test_hot_manifest_keys_are_dealt_out(spark):
+    manifest = small_table(spark, [("a", i) for i in range(50)] + [("b", 1), ("x", 2), (None, 3)], "k string, v int")
+    files = small_table(spark, [("a", 7, True), ("b", 8, True), ("c", 9, True)], "k string, w int, verified boolean")
+    got = rows(reconcile.attach_file_metadata(manifest, files, key="k", hot_rows=4))
+    assert got == rows(reconcile.attach_file_metadata(manifest, files, key="k"))
+    assert len(got) == 53 and ("x", 2, None, False) in got and (None, 3, None, False) in got
+    kept = rows(reconcile.existing_refs(manifest, files, key="k", hot_rows=4))
+    assert kept == [("a", i) for i in sorted(range(50), key=str)] + [("b", 1)]
