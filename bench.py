@@ -21,7 +21,7 @@ HEADLINE = [
     "reconcile_summary", "missing_refs", "attach_metadata", "vocabulary_diff", "null_counts",
     "class_percentages", "top_combinations", "canonicalise_labels", "encode_labels",
     "stratified_split", "split_overlap", "split_distribution", "sample_per_class", "assign_batches",
-    "vector_stats", "channel_normalise", "augmentation_plan", "validation_report", "precision_recall",
+    "image_hash64", "preprocess_eval", "vector_stats", "channel_normalise", "augmentation_plan", "validation_report", "precision_recall",
 ]
 
 

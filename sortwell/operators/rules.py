@@ -70,7 +70,21 @@ def label_range(col: str, n_classes: int) -> Rule:
     return _zero(f"label_range:{col}", ~inside)
 
 
+def array_shape(col: str, shape: tuple[int, ...]) -> Rule:
+    """Nested arrays have these lengths, level by level, so (3, 224, 224) isn't (224, 3, 224)."""
+
+    def fits(value: Column, lengths: tuple[int, ...]) -> Column:
+        here = F.coalesce(F.size(value) == lengths[0], F.lit(False))
+        if len(lengths) == 1:
+            return here
+        return here & F.coalesce(F.forall(value, lambda part: fits(part, lengths[1:])), F.lit(False))
+
+    return _zero(f"array_shape:{col}:{'x'.join(map(str, shape))}", ~fits(F.col(col), shape))
+
+
 def vector_shape(col: str, shape: tuple[int, ...]) -> Rule:
+    """Length of a flat vector that holds `shape` with the first dimension outermost. The order of
+    the dimensions can't be seen in it; `array_shape` checks nested arrays."""
     size = functools.reduce(operator.mul, shape, 1)
     return _zero(f"vector_shape:{col}", ~F.coalesce(F.size(col) == size, F.lit(False)))
 

@@ -209,3 +209,32 @@ def training_batches(
         "image_id",
     )
     return augmentation_plan(placed, key="image_id", seed=seed, epoch=epoch, options=options)
+
+
+def validate_batches(
+    batches: DataFrame, *, expected_rows: int, batch_size: int = 32, curation: Curation = Curation(),
+    options: ImageOptions = ImageOptions(),
+) -> DataFrame:
+    """Report on the output of `evaluation_batches`: size, type, shape, finite values, label range,
+    every class covered, and full batches but the last. One scan of the rows and one of the batches.
+    """
+    classes = range(len(curation.classes))
+    of_rows = rules.validation_report(batches, [
+        rules.row_count(expected_rows),
+        rules.column_type(batches, "vec", "float"),
+        rules.column_type(batches, "label", "int"),
+        rules.vector_shape("vec", (3, options.size, options.size)),
+        rules.finite("vec"),
+        rules.label_range("label", len(curation.classes)),
+        rules.vocabulary("label", list(classes)),
+        rules.not_null("batch_id"),
+    ])
+    full, rest = divmod(expected_rows, batch_size)
+    sizes = batches.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+    due = F.when(F.col("batch_id").between(0, full - 1), batch_size).when(F.col("batch_id") == full, rest).otherwise(0)
+    of_batches = rules.validation_report(
+        sizes.withColumn("full_batches", F.col("n") == due),
+        [rules.row_count(full + (rest > 0)), rules.all_true("full_batches")],
+    )
+    of_batches = of_batches.withColumn("rule", F.when(F.col("seq") == 1, "batch_count").otherwise(F.col("rule")))
+    return of_rows.drop("seq").unionByName(of_batches.drop("seq"))

@@ -414,3 +414,5 @@ ORACLES: dict[str, str] = {
 # The same answers by the ways for crowded buckets and hot groups.
 ORACLES["near_duplicates_crowded"] = ORACLES["near_duplicates"]
 ORACLES["exact_duplicates_hot"] = ORACLES["exact_duplicates"]
+ORACLES["preprocess_eval_long"] = ORACLES["preprocess_eval"]
+ORACLES["read_split_csv"] = ORACLES["read_split"]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sortwell.functions import hashing, vectors
 from sortwell.operators import batches, duplicates, metrics, neardup, pixels, profile, project
 from sortwell.operators import reconcile, rules, sampling, split
-from sortwell.session import settled
+from sortwell.session import settled, shared_folder
 from sortwell.sources import tables
 from sortwell.sources.tables import spread
 
@@ -357,7 +357,17 @@ def stratified_split(spark, sf):
 
 @query
 def read_split(spark, sf):
-    return tables.one_split(split_documents(spark, sf), "train").drop("split")
+    path = shared_folder(spark, "splits")
+    tables.write_splits(split_documents(spark, sf), path)
+    return tables.read_split(spark, path, "train").drop("split")
+
+
+@query
+def read_split_csv(spark, sf):
+    path = shared_folder(spark, "splits")
+    tables.write_splits(split_documents(spark, sf), path, fmt="csv")
+    schema = "doc_id bigint, lang string"
+    return tables.read_split(spark, path, "train", fmt="csv", schema=schema).drop("split")
 
 
 @query
@@ -450,17 +460,29 @@ def image_hash64(spark, sf):
     return pixels.image_hash64(pictures(spark, sf), key="vec_id")
 
 
-@query
-def preprocess_eval(spark, sf):
+def model_inputs(spark: SparkSession, sf: str, **options) -> DataFrame:
     """Statistics of the 3 x 224 x 224 model input of every picture."""
     rows = table(spark, sf, "embeddings").select("vec_id", "label")
-    inputs = pixels.preprocess_eval(rows, pictures(spark, sf), split="test", key="vec_id")
+    inputs = pixels.preprocess_eval(
+        rows, pictures(spark, sf), split="test", key="vec_id", files=rows.select("vec_id"), **options
+    )
     stats = inputs.select("vec_id", "label", F.size("vec").alias("n"), vectors.vector_stats("vec").alias("s"))
     return stats.select(
         "vec_id", "label", "n", *[r6(F.col(f"s.{c}")).alias(f"{c}_value") for c in ("min", "max", "mean", "std")]
     )
 
 
+@query
+def preprocess_eval(spark, sf):
+    return model_inputs(spark, sf)
+
+
+@query
+def preprocess_eval_long(spark, sf):
+    """The same by the way for manifests above the broadcast bound."""
+    return model_inputs(spark, sf, max_broadcast_rows=0)
+
+
 # --- rules ----------------------------------------------------------------------------------
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -51,6 +52,13 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder beside the settled tables, which driver and executors share."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        settled(spark.range(0))
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def widened(settled_df: DataFrame, key: str) -> DataFrame:
     """Give a settled table at least one partition per core before its rows are multiplied.
 

@@ -33,7 +33,7 @@ def scan_image_files(spark: SparkSession, candidates: list[str], glob: str = "*.
     these are added from the listing that the scan holds anyway.
     """
     folder = find_image_dir(spark, candidates, glob).rstrip("/")
-    files = spark.read.format("binaryFile").load(f"{folder}/{glob}")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
     rows = files.select(file_key(F.col("path")).alias("key"), "path", "length", "content")
     listed = _listed_files(spark, files).withColumn("key", file_key(F.col("path")))
     empty = listed.join(rows.select("key"), "key", "left_anti").select(
@@ -54,7 +54,7 @@ def _listed_files(spark: SparkSession, files: DataFrame) -> DataFrame:
 def decode_images(spark: SparkSession, candidates: list[str], glob: str = "*.jpg") -> DataFrame:
     """key, height, width, n_channels, data (BGR rows); sizes are -1 when decoding fails."""
     folder = find_image_dir(spark, candidates, glob).rstrip("/")
-    images = spark.read.format("image").load(f"{folder}/{glob}")
+    images = spark.read.format("image").option("pathGlobFilter", glob).load(folder)
     i = F.col("image")
     return images.select(
         file_key(from_uri(i["origin"])).alias("key"),

@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sortwell.operators.split import SPLITS
 from sortwell.session import small_table
@@ -71,11 +72,35 @@ def label_registry(spark: SparkSession, path: str) -> DataFrame:
     return small_table(spark, rows, ", ".join(f"{n} string" for n in names))
 
 
+REGISTRY_SCHEMA = (
+    "dataset_key string, source_dataset string, source_host string, source_url string, "
+    "original_owner array<string>, country string, annotation_source string, source_license string, "
+    "license_status string, provenance_status string, citation_required boolean"
+)
+
+
 def dataset_registry(spark: SparkSession, path: str) -> DataFrame:
-    """One row per dataset: its key and its record as JSON, ready for `rules.required_fields`."""
+    """One row per dataset: typed columns, null where a field is absent, and the record as JSON in
+    `record`, ready for `rules.required_fields`. A single owner becomes a list of one."""
     records = _read_config(path).get("datasets") or {}
-    rows = [(k, json.dumps(v, ensure_ascii=False)) for k, v in records.items()]
-    return small_table(spark, rows, "dataset_key string, record string")
+    schema = T.StructType.fromDDL(REGISTRY_SCHEMA)
+
+    def typed(key: str, body: dict, field: T.StructField):
+        value = key if field.name == "dataset_key" else body.get(field.name)
+        if value is None:
+            return None
+        if isinstance(field.dataType, T.ArrayType):
+            return [str(v) for v in (value if isinstance(value, list) else [value])]
+        if isinstance(field.dataType, T.BooleanType):
+            if not isinstance(value, bool):
+                raise ValueError(f"{key}: {field.name} is not true or false")
+            return value
+        return str(value)
+
+    rows = [
+        (*[typed(k, v or {}, f) for f in schema], json.dumps(v, ensure_ascii=False)) for k, v in records.items()
+    ]
+    return small_table(spark, rows, f"{REGISTRY_SCHEMA}, record string")
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -100,9 +125,19 @@ def one_split(df: DataFrame, split: str, *, column: str = "split") -> DataFrame:
     return df.where(F.col(column) == split)
 
 
-def read_split(spark: SparkSession, path: str, split: str) -> DataFrame:
-    """Rows of one split; only its folder is read."""
-    return one_split(spark.read.parquet(path), split)
+def read_split(
+    spark: SparkSession, path: str, split: str, *, fmt: str = "parquet", schema: str | None = None
+) -> DataFrame:
+    """Rows of one split as `write_splits` wrote it; only its folder is read.
+
+    CSV needs the `schema` of the rows, without the split column; values that don't fit are errors.
+    """
+    if fmt == "csv":
+        if schema is None:
+            raise ValueError("a schema is needed to read CSV")
+        reader = spark.read.schema(f"{schema}, split string").option("header", True).option("mode", "FAILFAST")
+        return one_split(reader.csv(path), split)
+    return one_split(spark.read.format(fmt).load(path), split)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

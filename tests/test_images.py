@@ -138,7 +138,7 @@ def test_long_manifests_join_crops(spark, tmp_path, monkeypatch):
     manifest = small_table(spark, [("0.jpg", 1), ("2.jpg", 0)], "key string, label int")
     short = pixels.preprocess_eval(manifest, decoded, split="test")
     assert "Exchange hashpartitioning" not in plan_of(short)
-    monkeypatch.setattr(pixels, "bounded_copy", lambda df: None)
+    monkeypatch.setattr(pixels, "bounded_copy", lambda df, n: None)
     long = pixels.preprocess_eval(manifest, decoded, split="test")
     assert sorted(short.collect()) == sorted(long.collect())
 

@@ -47,6 +47,12 @@ def test_manifest_to_batches(spark, dataset, tmp_path):
         batch, [rules.vector_shape("vec", (3, 224, 224)), rules.finite("vec"), rules.label_range("label", 5), rules.column_type(batch, "vec", "float")]
     )
     assert all(r.passed for r in checks.collect())
+    report = {r.rule: r.passed for r in jobs.validate_batches(batch, expected_rows=6, batch_size=4).collect()}
+    failed = {rule for rule, passed in report.items() if not passed}
+    missing = batch.select("label").distinct().count() < 5
+    assert failed == ({"vocabulary:label"} if missing else set()) and "batch_sizes" not in failed
+    short = {r.rule for r in jobs.validate_batches(batch, expected_rows=9, batch_size=4).collect() if not r.passed}
+    assert {"row_count", "batch_count"} <= short
 
 
 def test_report_names_what_failed(spark, dataset):
@@ -68,7 +74,7 @@ def test_audit(spark, dataset):
     assert summary["n_dimensions"] == 3 == found["top_dimensions"].count()
     assert found["duplicates"].count() == summary["n_duplicate_pairs"]
     assert rows(found["formats"]) == [("PNG", 40)]
-    assert found["classes"].agg(F.sum("percentage")).first()[0] == pytest.approx(100)
+    assert found["classes"].agg(F.sum("pct_of_all")).first()[0] == pytest.approx(100)
     assert found["missing"].count() == found["extra"].count() == found["unreadable"].count() == 0
 
 

@@ -36,7 +36,7 @@ def test_entry_runs(spark):
     assert entry.entry(spark).columns == ["key_a", "key_b", "hash_distance"]
 
 
-PIXEL_QUERIES = {"image_hash64", "preprocess_eval"}
+PIXEL_QUERIES = {"image_hash64", "preprocess_eval", "preprocess_eval_long"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - PIXEL_QUERIES))

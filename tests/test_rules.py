@@ -134,3 +134,11 @@ def test_metrics_count_every_row(spark):
     found = metrics.precision_recall(null_truth, truth="t", pred="p", vocab=[0]).first()
     assert (found.support, found.precision) == (1, 0.5)
     assert metrics.accuracy(null_truth, truth="t", pred="p").first()[0] == 0.5
+
+
+def test_array_shape_sees_the_order_of_dimensions(spark):
+    df = small_table(spark, [([[1.0, 2.0], [3.0, 4.0], [5.0, 6.0]],)], "v array<array<double>>")
+    assert rules.check(df, rules.array_shape("v", (3, 2))).first().passed
+    assert not rules.check(df, rules.array_shape("v", (2, 3))).first().passed
+    ragged = small_table(spark, [([[1.0], [2.0, 3.0]],), (None,)], "v array<array<double>>")
+    assert rules.check(ragged, rules.array_shape("v", (2, 1))).first().observed == "2"

@@ -42,6 +42,7 @@ def test_registries(spark, tmp_path):
     data = tmp_path / "data.yaml"
     data.write_text("datasets:\n  one:\n    source_url: x\n    original_owner:\n      - a\n      - b\n")
     got = tables.dataset_registry(spark, str(data)).first()
+    assert (got.source_url, got.original_owner, got.citation_required, got.country) == ("x", ["a", "b"], None, None)
     assert got.dataset_key == "one" and json.loads(got.record) == {"source_url": "x", "original_owner": ["a", "b"]}
 
 
@@ -56,6 +57,16 @@ def test_split_folders_are_pruned(spark, tmp_path):
         tables.read_split(spark, path, "dev")
 
 
+def test_csv_splits(spark, tmp_path):
+    df = small_table(spark, [("a", 1, "train"), ("b", 2, "test"), ("c", None, "train")], "key string, n int, split string")
+    path = str(tmp_path / "splits")
+    tables.write_splits(df, path, fmt="csv")
+    train = tables.read_split(spark, path, "train", fmt="csv", schema="key string, n int")
+    assert rows(train) == [("a", 1, "train"), ("c", None, "train")] and train.schema["n"].dataType.simpleString() == "int"
+    with pytest.raises(ValueError):
+        tables.read_split(spark, path, "train", fmt="csv")
+
+
 @pytest.mark.parametrize("fmt", ["csv", "parquet"])
 def test_write_overwrites(spark, tmp_path, fmt):
     path = str(tmp_path / "new" / "table")
