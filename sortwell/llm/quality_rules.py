@@ -38,7 +38,7 @@ ACCURACY = 0.02
 MIN_ROWS = 100
 SPREAD = 4.0
 # Least interquartile range of each rate.
-LEAST_RANGE = {"symbol_rate": 0.05, "dup_line_rate": 0.1, "repeat_rate": 0.05, "chars_per_word": 1.0}
+LEAST_RANGE = {"symbol_rate": 0.05, "dup_line_rate": 0.1, "repeat_rate": 0.075, "chars_per_word": 1.0}
 TWO_SIDED = ("chars_per_word",)
 SALTS = 32
 
