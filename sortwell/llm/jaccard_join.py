@@ -4,18 +4,21 @@ A text's set holds its distinct shingles of four words (all its words as one, if
 link when 100 * shared >= PERCENT * all. The result is the connected components of all links.
 
 1. Texts with equal sets form one class; a class has one node from here on.
-2. Size bounds give a prefix: of n shingles in a common order, the first n - ceil(0.85 n) + 1 of two
-   linked texts share at least one. The order puts shingles of rarely used counters first, so that
+2. Size bounds give a prefix. In any common order of shingles, the first n - ceil(0.85 n) + m of
+   two linked texts share at least m. The order puts shingles of rarely used counters first, so that
    passages many texts share come last; counters are a table of fixed size, filled by all texts.
-3. Nodes that share a prefix shingle are chained in sorted order, so a shingle of very many nodes
-   gives as many edges as it has nodes. Components of the chains bound where links can be.
-4. Each such part is split into blocks of bounded size. A block is one product of its rows with its
-   n-gram columns: overlaps are counted row by row, rows whose sizes rule out a link are left out,
-   and a link inside a part already joined isn't written.
-5. Parts of several blocks go on: two or three nodes of each piece found so far are compared in
-   blocks of their own. Then all nodes that share a prefix shingle with a node of another piece are
-   compared completely, in cells of two blocks each. So nothing is lost, and a large group of copies
-   costs one pass over its blocks and little more.
+3. First product, over prefixes: nodes are dealt by shingle, overlap counts of pairs are added up,
+   and pairs of unlike sizes or with fewer than m shared shingles are discarded. Only lists of at
+   most `LIST_NODES` nodes give pairs. The nodes of a longer list are tied to its first one instead,
+   and what a pair may share in long lists is allowed for in its bound.
+4. Components of these ties bound where links can be. Each is split into blocks of bounded size, and
+   a block is one product of its rows with all its n-gram columns: overlaps are counted row by row,
+   rows whose sizes rule out a link are left out, and a link inside a piece already joined isn't
+   written.
+5. Components of several blocks go on: two or three nodes of each piece found so far are compared in
+   blocks of their own. Then nodes of different pieces that are still tied are compared completely,
+   in cells of two blocks each. So nothing is lost, and a large group of copies costs one pass over
+   its blocks and little more.
 
 Shingles are 64-bit hashes, compared within one pair of texts. Defined results: null or empty text
 has an empty set and is its own component; rows without an id don't count for the smallest id, and
@@ -31,12 +34,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sortwell.llm.common import components, looked_up, rows_with, settled
 
 WORDS = 4
 PERCENT = 85
+# Shingles beyond the first that linked texts must share in their prefixes, in percent of the set.
+EXTRA = 3
+LIST_NODES = 64
 COUNTER_BITS = 20
 SLICE = 1 << 14
 BLOCK_NODES = 2_000
@@ -104,8 +109,12 @@ def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
         first = last
 
 
+def shared_in_prefix(n):
+    return 1 + EXTRA * n // 100
+
+
 def prefix_size(n: int, percent: int = PERCENT) -> int:
-    return n - (percent * n + 99) // 100 + 1
+    return min(n, n - (percent * n + 99) // 100 + shared_in_prefix(n))
 
 
 def counters(docs: DataFrame, bits: int = COUNTER_BITS) -> np.ndarray:
@@ -170,42 +179,92 @@ def node_key():
     return F.xxhash64("doc_id", "text")
 
 
-def chains(postings: DataFrame) -> DataFrame:
-    """a, b: edges between neighbours among the nodes of each shingle, in sorted order.
+def pairs_in_lists(h: np.ndarray, node: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """Rows (smaller node, larger node, lists shared, least to share) for lists sorted by h and n."""
+    found = []
+    for d in range(1, len(h)):
+        at = np.flatnonzero(h[d:] == h[:-d])
+        if not len(at):
+            break
+        at = at[100 * n[at] >= percent * n[at + d]]
+        x, y = node[at], node[at + d]
+        found.append(np.stack([np.minimum(x, y), np.maximum(x, y), shared_in_prefix(n[at])], axis=1))
+    if not found:
+        return np.zeros((0, 4), dtype=np.int64)
+    pairs, counts = np.unique(np.concatenate(found), axis=0, return_counts=True)
+    return np.column_stack([pairs[:, :2], counts, pairs[:, 2]])
+
+
+def candidates(postings: DataFrame, percent: int, list_nodes: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) that may be linked by short lists, and the long lists as (h, node).
 
-    A shingle may fill several range partitions: the ends of each partition are handed on and
-    chained among themselves.
+    Lists are dealt by ranges of (shingle, size, node), so a very long one fills several partitions.
+    The first and last list of a partition count as long, as they may go on next door.
     """
 
     def run(stream):
-        first_row = last_h = last_node = None
+        long_h, carry, started = None, None, False
+
+        def long_rows(h, node):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(h), pa.array(node), pa.nulls(len(h), pa.int64()), pa.nulls(len(h), pa.int64()), pa.nulls(len(h), pa.int64())],
+                names=["h", "a", "b", "shared", "least"],
+            )
+
         for batch in stream:
-            h = batch.column(0).to_numpy(zero_copy_only=False)
-            node = batch.column(1).to_numpy(zero_copy_only=False)
+            h, node, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
             if not len(h):
                 continue
-            if first_row is None:
-                first_row = (h[0], node[0])
-            same = np.flatnonzero((h[1:] == h[:-1]) & (node[1:] != node[:-1]))
-            a, b = node[same], node[same + 1]
-            if last_h is not None and last_h == h[0] and last_node != node[0]:
-                a, b = np.append(a, last_node), np.append(b, node[0])
-            last_h, last_node = h[-1], node[-1]
-            if len(a):
-                pair = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
+            if not started:
+                long_h, started = h[0], True
+            if carry is not None:
+                h, node, n = (np.concatenate(x) for x in zip(carry, (h, node, n)))
+                carry = None
+            if long_h is not None:
+                k = np.searchsorted(h, long_h, side="right")
+                yield long_rows(h[:k], node[:k])
+                h, node, n = h[k:], node[k:], n[k:]
+                if not len(h):
+                    continue
+                long_h = None
+            k = np.searchsorted(h, h[-1])
+            if len(h) - k > list_nodes:
+                long_h = h[-1]
+                yield long_rows(h[k:], node[k:])
+            else:
+                carry = (h[k:], node[k:], n[k:])
+            h, node, n = h[:k], node[:k], n[:k]
+            if not len(h):
+                continue
+            heads = np.flatnonzero(np.diff(h, prepend=h[0] - 1))
+            sizes = np.diff(np.append(heads, len(h)))
+            is_long = np.repeat(sizes > list_nodes, sizes)
+            if is_long.any():
+                yield long_rows(h[is_long], node[is_long])
+            short = np.repeat((sizes > 1) & (sizes <= list_nodes), sizes)
+            pairs = pairs_in_lists(h[short], node[short], n[short], percent)
+            if len(pairs):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(pair), pa.int64()), pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["h", "a", "b"]
+                    [pa.nulls(len(pairs), pa.int64()), *[pa.array(pairs[:, i].copy()) for i in range(4)]],
+                    names=["h", "a", "b", "shared", "least"],
                 )
-        if first_row is not None:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([first_row[0], last_h], pa.int64()), pa.array([first_row[1], last_node], pa.int64()),
-                 pa.nulls(2, pa.int64())], names=["h", "a", "b"],
-            )
+        if carry is not None:
+            yield long_rows(*carry[:2])
 
     dealt = postings.select("h", "node", "n").repartitionByRange("h", "n", "node").sortWithinPartitions("h", "n", "node")
-    found = settled(dealt.mapInArrow(run, "h bigint, a bigint, b bigint").distinct())
-    ends = found.where("b is null").select("h", "a", F.lead("a").over(Window.partitionBy("h").orderBy("a")).alias("b"))
-    return found.where("b is not null").select("a", "b").unionByName(ends.where("b is not null").select("a", "b"))
+    found = settled(dealt.mapInArrow(run, "h bigint, a bigint, b bigint, shared bigint, least bigint"))
+    lists = found.where("h is not null").select("h", F.col("a").alias("node"))
+    in_long = lists.groupBy("node").count()
+    pairs = found.where("h is null").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("least").alias("least"))
+    pairs = pairs.join(in_long.toDF("a", "long_a"), "a", "left").join(in_long.toDF("b", "long_b"), "b", "left")
+    allowed = F.coalesce(F.least(F.coalesce("long_a", F.lit(0)), F.coalesce("long_b", F.lit(0))), F.lit(0))
+    return settled(pairs.where(F.col("shared") + allowed >= F.col("least")).select("a", "b")), lists
+
+
+def ties(lists: DataFrame, *more: str) -> DataFrame:
+    """a, b: every node of a long list and the smallest one of the list."""
+    first = lists.groupBy("h").agg(F.min("node").alias("a"), *[F.expr(x) for x in more])
+    return lists.select("h", F.col("node").alias("b")).join(first, "h").where("a <> b")
 
 
 def block_links(sets: list[np.ndarray], nodes: list[int], labels: list[int], percent: int) -> list[tuple[int, int]]:
@@ -257,9 +316,8 @@ def block_links(sets: list[np.ndarray], nodes: list[int], labels: list[int], per
     return links
 
 
-def verified(docs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def verified(texts: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """a, b: links between the nodes of each block. `members` has block, node, label."""
-    texts = docs.select(node_key().alias("node"), "text")
     placed = members.join(texts, "node").select("block", "node", "label", "text")
 
     def run(stream):
@@ -305,13 +363,16 @@ def labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(pieces, "node", "left").withColumn("label", F.coalesce("piece", "node")).drop("piece")
 
 
-def all_links(docs: DataFrame, classes: DataFrame, percent: int, block_nodes: int, block_entries: int) -> DataFrame:
+def all_links(docs: DataFrame, classes: DataFrame, percent: int, block_nodes: int, block_entries: int,
+              list_nodes: int) -> DataFrame:
     """a, b: enough links between classes to give the components of all links."""
     postings = classes.select("node", "n", F.explode("prefix").alias("h"))
-    parts = components(chains(postings))
-    parts = parts.join(classes.select("node", "n"), "node")
+    pairs, lists = candidates(postings, percent, list_nodes)
+    sizes = classes.select("node", "n")
+    parts = components(pairs.unionByName(ties(lists).select("a", "b"))).join(sizes, "node")
     placed = settled(in_blocks(parts, block_nodes, block_entries))
-    links = settled(verified(docs, placed.select("block", "node", F.col("node").alias("label")), percent))
+    texts = settled(placed.select("node").join(docs.select(node_key().alias("node"), "text"), "node"))
+    links = settled(verified(texts, placed.select("block", "node", F.col("node").alias("label")), percent))
     large = placed.where("blocks > 1").select("component", "node", "n")
     if large.isEmpty():
         return links
@@ -320,25 +381,27 @@ def all_links(docs: DataFrame, classes: DataFrame, percent: int, block_nodes: in
     few = pieces.groupBy("component", "label").agg(F.array_distinct(F.array(
         F.min_by("node", F.struct("n", "node")), F.max_by("node", F.struct("n", "node")), F.min("node")
     )).alias("few")).select("component", "label", F.explode("few").alias("node"))
-    few = in_blocks(few.join(classes.select("node", "n"), "node"), block_nodes, block_entries)
-    links = settled(links.unionByName(verified(docs, few.select("block", "node", "label"), percent)))
-    # Whatever shares a prefix shingle with another piece is compared completely.
+    few = in_blocks(few.join(sizes, "node"), block_nodes, block_entries)
+    links = settled(links.unionByName(verified(texts, few.select("block", "node", "label"), percent)))
+    # Nodes of different pieces that are still tied are compared completely.
     pieces = settled(labelled(large, links))
-    own = postings.join(pieces.select("node", "label"), "node")
-    mixed = own.groupBy("h").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("first"))
-    open_ = settled(own.join(mixed.where("low <> high"), "h").select("first", "node").distinct())
+    label = pieces.select("node", "label")
+    apart = pairs.join(label.toDF("a", "label_a"), "a").join(label.toDF("b", "label_b"), "b").where("label_a <> label_b")
+    mixed = ties(lists.join(label, "node").select("h", "node", "label"), "min(label) AS low", "max(label) AS high").where("low <> high")
+    open_ = settled(apart.select("a", "b").unionByName(mixed.select("a", "b")))
     if open_.isEmpty():
         return links
-    rest = components(open_.toDF("a", "b")).join(pieces.select("node", "n", "label"), "node")
+    rest = components(open_).join(pieces.select("node", "n", "label"), "node")
     rest = in_blocks(rest, block_nodes // 2, block_entries // 2)
     cells = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     cells = cells.where((F.col("blocks") == 1) | (F.col("sub") != F.col("other")))
     cell = F.xxhash64("component", F.least("sub", "other"), F.greatest("sub", "other"))
-    return links.unionByName(verified(docs, cells.select(cell.alias("block"), "node", "label"), percent))
+    return links.unionByName(verified(texts, cells.select(cell.alias("block"), "node", "label"), percent))
 
 
 def jaccard_components(docs: DataFrame, percent: int = PERCENT, block_nodes: int = BLOCK_NODES,
-                       block_entries: int = BLOCK_ENTRIES, counter_bits: int = COUNTER_BITS) -> DataFrame:
+                       block_entries: int = BLOCK_ENTRIES, list_nodes: int = LIST_NODES,
+                       counter_bits: int = COUNTER_BITS) -> DataFrame:
     """doc_id, n_shingles, component_id, class_size (rows with the same set)."""
     docs = docs.select("doc_id", "text")
     sets = shingled(docs, counters(docs, counter_bits), percent)
@@ -346,7 +409,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, block_nodes: int
     classes = settled(sets.where("n > 0").groupBy(*key).agg(
         F.min("k").alias("node"), F.min("id").alias("low"), F.count("*").alias("members"), F.first("prefix").alias("prefix")
     ))
-    links = all_links(docs, classes, percent, block_nodes, block_entries)
+    links = all_links(docs, classes, percent, block_nodes, block_entries, list_nodes)
     found = components(links)
     light = classes.select(*key, "node", "low", "members")
     joined = light.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))

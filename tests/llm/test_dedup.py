@@ -81,11 +81,12 @@ def near_copies(n, seed, words=120, changes=6):
     return [" ".join(t) for t in texts]
 
 
-@pytest.mark.parametrize("blocks", [(2000, 1_500_000), (12, 1_500_000), (2000, 900)])
+@pytest.mark.parametrize("blocks", [(2000, 1_500_000, 64), (12, 1_500_000, 64), (12, 1_500_000, 3), (2000, 900, 1)])
 def test_jaccard_components(spark, blocks):
     texts = near_copies(220, 5)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
-    found = jaccard_join.jaccard_components(docs, block_nodes=blocks[0], block_entries=blocks[1], counter_bits=10)
+    found = jaccard_join.jaccard_components(docs, block_nodes=blocks[0], block_entries=blocks[1],
+                                              list_nodes=blocks[2], counter_bits=10)
     got = {r.doc_id: (r.component_id, r.n_shingles) for r in found.collect()}
     component, sizes = jaccard_components(texts)
     assert got == {i: (component[i], sizes[i]) for i in range(len(texts))}
@@ -111,8 +112,8 @@ def test_chain_of_links_is_one_component(spark):
     words = [f"t{i}" for i in range(160)]
     texts = [" ".join(words[k : k + 100]) for k in range(0, 60, 4)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    for nodes in (4, 2000):
-        found = jaccard_join.jaccard_components(docs, block_nodes=nodes)
+    for nodes, lists in ((4, 64), (4, 1), (2000, 64)):
+        found = jaccard_join.jaccard_components(docs, block_nodes=nodes, list_nodes=lists)
         assert {r.component_id for r in found.collect()} == {0}
 
 
