@@ -71,20 +71,19 @@ def gram_hashes(points: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.
     for at in range(0, len(points), WINDOW):
         part = points[at : at + WINDOW + longest - 1]
         blank, end = part == 32, part == 0
-        bad = blank | end  # a lone space tells nothing, a double space no more than one
         value = np.zeros(len(part), dtype=np.uint32)
         for n in range(1, longest + 1):
             size = min(WINDOW, len(part) - n + 1)
             if size <= 0:
                 break
             value = value[:size] * np.uint32(0x01000193) + part[n - 1 : n - 1 + size]
-            if n == 2:
-                bad = end[:size]
-            if n > 1:
-                last = slice(n - 1, n - 1 + size)
-                bad = bad[:size] | end[last] | (blank[n - 2 : n - 2 + size] & blank[last])
+            last = slice(n - 1, n - 1 + size)
+            if n == 1:
+                bad, skipped = end[:size], blank[:size] | end[:size]  # a lone space tells nothing
+            else:
+                bad = skipped = bad[:size] | end[last] | (blank[n - 2 : n - 2 + size] & blank[last])
             if n in ORDERS:
-                starts = np.flatnonzero(~bad)
+                starts = np.flatnonzero(~skipped)
                 mixed = (value[starts] ^ np.uint32(n * 0x9E3779B1 & 0xFFFFFFFF)) * np.uint32(0x85EBCA6B)
                 mixed ^= mixed >> np.uint32(15)
                 yield starts + at, (mixed * np.uint32(0xC2B2AE35)) >> np.uint32(32 - bits)

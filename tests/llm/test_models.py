@@ -33,7 +33,8 @@ def grams(text, bits):
 def test_language_id_equals_naive_bayes_by_hand(spark, sf, monkeypatch):
     monkeypatch.setattr(langid, "WINDOW", 5000)  # several windows and pieces
     rows = [tuple(r) for r in documents(spark, sf, "doc_id", "text", "lang").limit(60).collect()]
-    rows += [(900, "", "en"), (901, None, "de"), (902, "12 - 3", "en"), (903, "xyz", None)]
+    rows += [(900, "", "en"), (901, None, "de"), (902, "12 - 3", "en"), (903, "xyz", None),
+             (904, "das ist - ein langer  text, 12 " * 500, "de")]  # several windows
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     bits = langid.BITS
     counts, n_docs = defaultdict(Counter), Counter()
