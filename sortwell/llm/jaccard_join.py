@@ -263,8 +263,9 @@ def candidates(postings: DataFrame, percent: int, list_nodes: int) -> tuple[Data
 
 def ties(lists: DataFrame, *more: str) -> DataFrame:
     """a, b: every node of a long list and the smallest one of the list."""
-    first = lists.groupBy("h").agg(F.min("node").alias("a"), *[F.expr(x) for x in more])
-    return lists.select("h", F.col("node").alias("b")).join(first, "h").where("a <> b")
+    first = lists.groupBy("h").agg(F.min("node").alias("a"), F.count("*").alias("size"), *[F.expr(x) for x in more])
+    nodes = lists.select("h", F.col("node").alias("b"))
+    return looked_up(nodes, settled(first), ["h"], "size", lists.count()).where("a <> b")
 
 
 def block_links(sets: list[np.ndarray], nodes: list[int], labels: list[int], percent: int) -> list[tuple[int, int]]:
