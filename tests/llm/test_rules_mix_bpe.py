@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import public_tokenizers
 import pytest
 from odd import no_documents, odd_documents, odd_rows, space_words
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sortwell.llm import bpe, mixing, quality_rules
@@ -121,6 +122,55 @@ def test_mix_odd_rows(spark):
         mixing.pfair_slots(docs, weights={"a": 1.0})
 
 
+@pytest.mark.parametrize("weights", [
+    {"s00": 0.5} | {f"s{i:02}": 0.5 / 19 for i in range(1, 20)},
+    {"s000": 0.5} | {f"s{i:03}": 0.5 / 127 for i in range(1, 128)},
+    {"s00": (1 / 3) ** 0.5} | {f"s{i:02}": (2 / 3 / 19) ** 0.5 for i in range(1, 20)},
+    {"a": 1 / 3, "b": 0.6, "c": 1e-4},
+])
+def test_lag_against_given_weights(weights):
+    total = sum(weights.values())
+    units = mixing.units_of(weights)
+    slots, done = 10_000, Counter()
+    blocks = {s: math.ceil(slots * w / total) + 1 for s, w in weights.items()}
+    for at, (s, i, release, deadline, slot) in enumerate(mixing.pfair_blocks(units, blocks)):
+        if at == slots:
+            break
+        assert slot == at and release <= slot < deadline and i == done[s]
+        done[s] += 1
+        if at % 7 == 0 or at > slots - 200:
+            assert all(abs(w / total * (at + 1) - done[x]) < 1 for x, w in weights.items())
+
+
+def test_mix_follows_weights_over_long_inputs(spark, monkeypatch):
+    names = ["big"] * 19 + [f"s{i}" for i in range(19)]
+    docs = spark.range(19_000).select(
+        F.col("id").alias("doc_id"), F.element_at(F.array(*map(F.lit, names)), (F.col("id") % 38 + 1).cast("int")).alias("source"))
+    weights = {s: 0.5 if s == "big" else 0.5 / 19 for s in names}
+    plan = mixing.mixing_plan(docs, weights=weights, block_rows=1)
+    rows = sorted(map(tuple, plan.collect()), key=lambda r: r[-1])
+    done = Counter()
+    for slot, r in enumerate(rows):
+        done[r[1]] += 1
+        assert r[-1] == slot
+        assert all(abs(weights[s] * (slot + 1) - done[s]) < 1.000001 for s in weights)
+    monkeypatch.setattr(mixing, "MAX_BROADCAST_BLOCKS", 0)  # the joined way, in several pieces
+    monkeypatch.setattr(mixing, "PIECE", 6_000)
+    again = mixing.mixing_plan(docs, weights=weights, block_rows=1)
+    assert sorted(map(tuple, again.collect()), key=lambda r: r[-1]) == rows
+
+
+def test_mix_odd_weights(spark):
+    docs = spark.createDataFrame([(i, "abc"[i % 3]) for i in range(30)], "doc_id bigint, source string")
+    plan = mixing.mixing_plan(docs, weights={"a": 0.9, "b": 1e-15, "c": 0}, block_rows=2).collect()
+    slot = {(r.source, r.block): r.slot for r in plan}
+    assert len(plan) == 30 and len(set(slot.values())) == 15
+    assert min(slot["c", i] for i in range(5)) > max(slot["b", i] for i in range(5)) > 10**14
+    for wrong in (-1.0, math.inf, math.nan):
+        with pytest.raises(ValueError, match="weight of"):
+            mixing.mixing_plan(docs, weights={"a": 0.9, "b": 1, "c": wrong})
+
+
 def bpe_texts():
     rnd = random.Random(3)
     letters = "abcdeABCΣσςİıßﬁé éİ \t\n\x1c\x85 '’stre19½Ⅷ٣漢字कि​\U0001F600<|>._-#@"
