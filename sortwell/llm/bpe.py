@@ -252,26 +252,25 @@ def loaded(path: str) -> Bpe:
     return Bpe(path)
 
 
-def encode_texts(docs: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
-    """key, n_tokens, ids and the sha256 of the decoded text, for every row."""
-    key_type = docs.schema[key].dataType.simpleString()
+def encode_texts(docs: DataFrame, path: str, key: str = "doc_id", carried: list[str] | None = None) -> DataFrame:
+    """key, the `carried` columns, n_tokens, ids and the sha256 of the decoded text, for every row."""
+    first = [key, *(carried or [])]
+    types = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in first)
 
     def run(stream):
         bpe = loaded(path)
         for batch in stream:
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
-                ids = [bpe.encode(t or "") for t in part.column(1).to_pylist()]
+                ids = [bpe.encode(t or "") for t in part.column(len(first)).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) for x in ids], pa.int64()),
+                    [*part.columns[: len(first)], pa.array([len(x) for x in ids], pa.int64()),
                      pa.array([x.astype(np.int32) for x in ids], pa.list_(pa.int32())),
                      pa.array([hashlib.sha256(bpe.decode(x)).hexdigest() for x in ids], pa.string())],
-                    names=[key, "n_tokens", "ids", "decoded_sha256"],
+                    names=[*first, "n_tokens", "ids", "decoded_sha256"],
                 )
 
-    return docs.select(key, "text").mapInArrow(
-        run, f"`{key}` {key_type}, n_tokens bigint, ids array<int>, decoded_sha256 string"
-    )
+    return docs.select(*first, "text").mapInArrow(run, f"{types}, n_tokens bigint, ids array<int>, decoded_sha256 string")
 
 
 def decode_ids(rows: DataFrame, path: str, ids: str = "ids", key: str = "doc_id") -> DataFrame:

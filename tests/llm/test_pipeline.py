@@ -7,6 +7,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from sortwell.llm import mixing
 from sortwell.llm.common import documents
 from sortwell.llm.queries import QUERIES, VOCABULARY
 from sortwell.session import settled
@@ -51,6 +52,35 @@ def test_stages_keep_columns_of_odd_documents(spark):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == number
 
 
+def test_position_is_order_of_the_mix(spark, sf, tmp_path):
+    docs = documents(spark, sf)
+    plan = mixing.pfair_slots(docs).select("row.doc_id", "slot", "place").collect()
+    want = [r.doc_id for r in sorted(plan, key=lambda r: (r.slot, r.place))]
+    order = mixing.pfair_slots(docs).repartitionByRange(5, "slot", "place").sortWithinPartitions("slot", "place").select("row.*")
+    for name, at_most in (("parts", 0), ("pieces", 7)):  # also partitions of several files
+        order.write.option("maxRecordsPerFile", at_most).parquet(f"{tmp_path}/{name}")
+        files = spark.read.parquet(f"{tmp_path}/{name}")
+        assert len(files.inputFiles()) >= 5
+        found = corpus_pipeline.encoded(spark, files, sf).collect()
+        assert sorted(r.position for r in found) == list(range(len(want)))
+        assert [r.doc_id for r in sorted(found, key=lambda r: r.position)] == want
+    found = corpus_pipeline.encoded(spark, settled(order), sf).collect()
+    assert [r.doc_id for r in sorted(found, key=lambda r: r.position)] == want
+
+
+def test_pipeline_gives_positions(spark, sf, monkeypatch):
+    kept = {}
+
+    def watched(spark, docs, sf_dir):
+        kept["plan"] = mixing.pfair_slots(docs).select("row.doc_id", "slot", "place").collect()
+        return corpus_pipeline.mixed(spark, docs, sf_dir)
+
+    stages = [(name, watched if name == "mixing" else stage) for name, stage in corpus_pipeline.STAGES]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", stages)
+    found = sorted(corpus_pipeline.run(spark, sf).collect(), key=lambda r: r.position)
+    assert [r.doc_id for r in found] == [r.doc_id for r in sorted(kept["plan"], key=lambda r: (r.slot, r.place))]
+
+
 def test_registered_queries():
     names = set(entry.queries())
     assert {"pipeline", *QUERIES} <= names and {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
