@@ -1,11 +1,17 @@
 """License scan: set-similarity join of text blocks with license templates.
 
-A block is a line, a template a short notice; both are sets of words. A block matches when it holds
-at least `THRESHOLD` of a template's words. All words of templates are ordered by the number of
-blocks they occur in, rarest first. By this order a block and a template that match share a word
-among their first ones (prefix filter), the block has enough template words at all (length filter),
-and the places of a shared word leave enough words on both sides (positional filter). What passes is
-counted exactly. Only blocks that hold enough words of all templates together leave their row.
+A block is a run of words, a template a short notice; both are sets of words. A block matches when it
+holds at least `THRESHOLD` of a template's words. Blocks are all runs of twice a template's length,
+whatever the line breaks, and lines as a whole up to three times the longest template's length; words
+that are spread out further are never put together. The runs of all templates lie whole in windows of
+that length which start at every third of it, and these are what is joined.
+
+All words of templates are ordered by the number of texts they
+occur in, rarest first. By this order a block and a template that match share a word among their
+first ones (prefix filter), the block has enough template words at all (length filter), and the
+places of a shared word leave enough words on both sides (positional filter). What passes is counted
+exactly, run by run. Only blocks with enough template words and one of some template's first words leave their
+row.
 
 Templates are a parameter with a bounded vocabulary (`MAX_WORDS`, checked), so their order and the
 template side are broadcast. Base phrases are searched in the text as runs of words.
@@ -25,6 +31,7 @@ from pyspark.sql import functions as F
 from sortwell.llm.common import let, settled, whole_text
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+SEPARATED = re.compile(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 THRESHOLD = 0.85
 MAX_WORDS = 5_000
 
@@ -47,7 +54,11 @@ TEMPLATES = [
 
 
 def words_of(text: str) -> list[str]:
-    return sorted(set(re.findall(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", text.lower())))
+    return sorted(set(SEPARATED.findall(text.lower())))
+
+
+def length(text: str) -> int:
+    return len(SEPARATED.findall(text))
 
 
 def needed(size: int, threshold: float) -> int:
@@ -72,52 +83,78 @@ def phrase_places(phrase: str) -> Column:
     return F.when(F.col("norm").contains(f" {phrase} "), let(F.split("norm", f" {phrase}(?= )", -1), places))
 
 
-def scanned(docs: DataFrame, vocabulary: list[str], least: int, key: str = "doc_id") -> DataFrame:
+def word_order(docs: DataFrame, vocabulary: list[str]) -> list[str]:
+    """The vocabulary by the number of texts a word occurs in, rarest first."""
+    found = F.array_intersect(F.array(*[F.lit(w) for w in vocabulary]), F.split(F.lower(whole_text()), SEPARATORS))
+    # One count per template word: bounded by the vocabulary.
+    counts = {r.word: r.n for r in docs.select(F.explode(found).alias("word")).groupBy("word").agg(
+        F.count("*").alias("n")).toLocalIterator()}
+    return sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
+
+
+def first_words(words: list[str], rank: dict[str, int], threshold: float) -> list[str]:
+    """A template's words of which every match has one."""
+    return sorted(words, key=rank.get)[: len(words) - needed(len(words), threshold) + 1]
+
+
+def blocks_of(words: Column, lines: Column, known: Column, width: int) -> Column:
+    """words (those of `known`, in its order) and run (all words, empty for a line) of every window
+    of `width` words and of every line up to this length."""
+    step = width // 3
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - width + step), F.lit(step))
+    none = F.array().cast("array<string>")
+
+    def block(words: Column, run: Column) -> Column:
+        return F.struct(F.array_intersect(known, words).alias("words"), run.alias("run"))
+
+    windows = F.transform(starts, lambda at: let(F.slice(words, at, F.lit(width)), lambda run: block(run, run)))
+    split = F.transform(lines, lambda line: F.array_remove(F.split(line, SEPARATORS), ""))
+    return F.concat(windows, F.transform(F.filter(split, lambda own: F.size(own) <= width), lambda own: block(own, none)))
+
+
+def scanned(docs: DataFrame, order: list[str], firsts: list[str], least: int, width: int, key: str = "doc_id") -> DataFrame:
     """rid, key, n_words, base places and the blocks' template words: settled, without texts."""
     lowered = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(key).alias("key"), F.lower(whole_text()).alias("low"))
     norm = F.trim(F.regexp_replace("low", SEPARATORS, " "))
     split = lowered.select("rid", "key", "low", F.concat(F.lit(" "), norm, F.lit(" ")).alias("norm"))
     split = split.withColumn("n_words", F.when(F.col("norm") == "  ", 0).otherwise(spaces(F.col("norm")) - 1).cast("bigint"))
-    known = F.array(*[F.lit(w) for w in vocabulary])
+    known, needs = F.array(*[F.lit(w) for w in order]), F.array(*[F.lit(w) for w in firsts])
     blocks = F.filter(
-        F.transform(F.split("low", "\n"), lambda line: F.array_intersect(known, F.split(line, SEPARATORS))),
-        lambda block: F.size(block) >= least,
+        let(F.split(F.trim("norm"), " "), lambda words: blocks_of(words, F.split("low", "\n"), known, width)),
+        lambda block: (F.size(block["words"]) >= least) & F.arrays_overlap(block["words"], needs),
     )
     return settled(split.select(
         "rid", "key", "n_words", F.array(*[phrase_places(p) for p in PHRASES]).alias("base"), blocks.alias("blocks")
     ))
 
 
-def matched(rows: DataFrame, templates: list[tuple[str, str]], threshold: float) -> DataFrame:
+def matched(rows: DataFrame, templates: list[tuple[str, str]], threshold: float, rank: dict[str, int]) -> DataFrame:
     """rid, label, containment of the best template of each label, for all blocks that match."""
     spark = rows.sparkSession
-    sets = [(label, words_of(text)) for label, text in templates]
-    least = min(needed(len(words), threshold) for _, words in sets)
-    blocks = rows.where(F.size("blocks") > 0).select("rid", F.explode("blocks").alias("words"))
-    # One count per template word: bounded by the vocabulary.
-    counts = {r.word: r.n for r in blocks.select(F.explode("words").alias("word")).groupBy("word").agg(
-        F.count("*").alias("n")).toLocalIterator()}
-    order = sorted({w for _, words in sets for w in words}, key=lambda w: (counts.get(w, 0), w))
-    rank = {w: i for i, w in enumerate(order)}
+    sets = [(label, words_of(text), 2 * length(text)) for label, text in templates]
+    least = min(needed(len(words), threshold) for _, words, _ in sets)
+    # Words of a block come rarest first.
+    blocks = rows.where(F.size("blocks") > 0).select("rid", F.inline("blocks"))
     prefixes = []
-    for number, (label, words) in enumerate(sets):
+    for number, (label, words, span) in enumerate(sets):
         ranked = sorted(words, key=rank.get)
         alpha = needed(len(ranked), threshold)
-        for place, word in enumerate(ranked[: len(ranked) - alpha + 1]):
-            prefixes.append((word, number, label, place, alpha, ranked))
+        for place, word in enumerate(first_words(words, rank, threshold)):
+            prefixes.append((word, number, label, place, alpha, span, ranked))
     side = spark.createDataFrame(
-        prefixes, "word string, template int, label string, place int, alpha int, template_words array<string>"
+        prefixes, "word string, template int, label string, place int, alpha int, span int, template_words array<string>"
     )
-    # array_intersect keeps the order of its first argument, so blocks come out rarest word first.
-    ordered = blocks.select("rid", F.array_intersect(F.array(*[F.lit(w) for w in order]), "words").alias("words"))
     size = F.size("words")
-    prefix = ordered.select("rid", "words", F.posexplode(F.slice("words", F.lit(1), size - (least - 1))).alias("at", "word"))
+    prefix = blocks.select("rid", "words", "run", F.posexplode(F.slice("words", F.lit(1), size - (least - 1))).alias("at", "word"))
     pairs = prefix.join(F.broadcast(side), "word")
     total = F.size("template_words")
     possible = F.least("at", "place") + 1 + F.least(size - F.col("at") - 1, total - F.col("place") - 1)
     pairs = pairs.where((size >= F.col("alpha")) & (possible >= F.col("alpha")))
     overlap = F.size(F.array_intersect("words", "template_words"))
-    found = pairs.withColumn("overlap", overlap).where(F.col("overlap") >= F.col("alpha"))
+    starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("run") - F.col("span") + 1))
+    closest = F.array_max(F.transform(starts, lambda at: F.size(F.array_intersect(F.slice("run", at, F.col("span")), "template_words"))))
+    pairs = pairs.where(overlap >= F.col("alpha"))
+    found = pairs.withColumn("overlap", F.when(F.size("run") == 0, overlap).otherwise(closest)).where(F.col("overlap") >= F.col("alpha"))
     return found.groupBy("rid", "label").agg(F.max(F.col("overlap") / total).alias("containment"))
 
 
@@ -127,8 +164,13 @@ def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
     vocabulary = sorted({w for words in sets for w in words})
     if len(vocabulary) > MAX_WORDS:
         raise ValueError(f"templates hold more than {MAX_WORDS} words")
-    rows = scanned(docs.select("doc_id", "text"), vocabulary, min(needed(len(w), threshold) for w in sets))
-    labels = matched(rows, templates, threshold).groupBy("rid").agg(
+    docs = docs.select("doc_id", "text")
+    order = word_order(docs, vocabulary)
+    rank = {w: i for i, w in enumerate(order)}
+    firsts = sorted({w for words in sets for w in first_words(words, rank, threshold)})
+    width = 3 * max(length(text) for _, text in templates)
+    rows = scanned(docs, order, firsts, min(needed(len(w), threshold) for w in sets), width)
+    labels = matched(rows, templates, threshold, rank).groupBy("rid").agg(
         F.collect_set("label").alias("found"), F.max("containment").alias("containment")
     )
     base = [F.element_at("base", i + 1) for i in range(len(PHRASES))]

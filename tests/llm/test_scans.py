@@ -158,6 +158,49 @@ def test_license_scan(spark, sf):
         assert 0 <= r.score <= 1 and (r.score > 0) == bool(r.labels)
 
 
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:"""
+GPL = """This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or"""
+
+
+def test_license_notices_over_several_lines(spark):
+    lead = [f"w{i}" for i in range(80)]
+    texts = {i: (f"{' '.join(lead[:i])}\n{notice}\n{' '.join(lead[i:])}", label)
+             for i in range(0, 80, 3) for notice, label in [((BSD, "bsd"), (GPL, "gpl"))[i % 2]]}
+    texts |= {100: (BSD, "bsd"), 101: (GPL, "gpl"), 102: ("\n".join(BSD.split()), "bsd"),
+              103: (" ".join(lead * 300) + "\n" + GPL, "gpl")}
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in texts.items()], "doc_id bigint, text string")
+    found = {r.doc_id: (r.labels, r.score) for r in license_scan.license_scan(docs).collect()}
+    assert found == {i: (label, 1.0) for i, (_, label) in texts.items()}
+
+
+def test_scattered_words_are_no_license(spark):
+    spread = [" ".join(w + f" x{i}" * 14 for i, w in enumerate(t.split())) for _, t in license_scan.TEMPLATES]
+    long = " ".join(w for i in range(40) for _, t in license_scan.TEMPLATES for w in (t.split() * 40)[i : i + 1] + [f"x{i}"] * 9)
+    docs = spark.createDataFrame(list(enumerate([*spread, long])), "doc_id bigint, text string")
+    assert {r.labels for r in license_scan.license_scan(docs).collect()} == {""}
+
+
+def test_license_runs_by_hand(spark):
+    """Every run of words of the whole text, one by one."""
+    rnd = random.Random(11)
+    pool = [w for _, t in license_scan.TEMPLATES[:4] for w in t.split()] + ["x"] * 9
+    texts = ["".join(rnd.choice(pool) + rnd.choice("   \n") for _ in range(rnd.randint(0, 150))) for _ in range(60)]
+    texts += ["\n".join(["x"] * i + t.split() + ["x"] * 45) for i in range(40) for _, t in license_scan.TEMPLATES[:4]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in license_scan.license_scan(docs, threshold=0.6).collect():
+        words, labels = texts[r.doc_id].split(), set(r.base_labels.split(",")) - {""}
+        lines = [line.split() for line in texts[r.doc_id].split("\n")]
+        for label, template in license_scan.TEMPLATES:
+            need, span = set(template.split()), 2 * len(template.split())
+            runs = [words[at : at + span] for at in range(len(words))] + [line for line in lines if len(line) <= 54]
+            if any(len(need & set(run)) >= 0.6 * len(need) for run in runs):
+                labels.add(label)
+        assert r.labels == ",".join(sorted(labels)), texts[r.doc_id]
+
+
 def test_reliable_labelers_are_found():
     """Two labelers follow the truth, three vote at random."""
     rnd = random.Random(1)
