@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sortwell.llm import (
-    bpe, exactdedup, jaccard_join, langid, license_scan, mixing, pii, quality_model, quality_rules,
-    secret_scan,
+    bpe, exactdedup, jaccard_join, langid, license_scan, line_dedup, mixing, periodic_runs, pii, quality_model,
+    quality_rules, secret_scan, whitening,
 )
 from sortwell.llm.common import documents
 
@@ -83,3 +83,39 @@ def op6_quality_classifier(spark, sf_dir):
 @query
 def op2_ngram_jaccard(spark, sf_dir):
     return jaccard_join.jaccard_components(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query
+def op11_line_dedup(spark, sf_dir):
+    return line_dedup.line_dedup(documents(spark, sf_dir, "doc_id", "text"))
+
+
+ORACLES["op11_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
+  FROM documents
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), shared AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), marked AS (
+  SELECT doc_id, line, pos, coalesce(keeper <> doc_id, false) AS dropped FROM keyed LEFT JOIN shared USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    return periodic_runs.run_report(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query
+def op13_embedding_whitening(spark, sf_dir):
+    return whitening.whitening_report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
