@@ -38,15 +38,35 @@ def attach_to_members(
 def looked_up(
     members: DataFrame, groups: DataFrame, on: str, *, how: str = "left", hot_rows: int = 1_000_000
 ) -> DataFrame:
-    """Left or left-semi join of rows with a table of unique keys, where rows may repeat a key very
-    often. Such keys are counted first (counts combine before their shuffle), their rows dealt into
-    parts and their row of `groups` repeated once per part."""
-    sizes = members.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
-    parts = F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_parts")
-    hot = lookup_side(sizes.where(F.col("_n") > hot_rows).select(on, parts))
-    salt = F.floor(F.rand(11) * F.coalesce("_parts", F.lit(1))).cast("int")
-    dealt = members.join(hot, on, "left").withColumn("_part", salt).drop("_parts")
-    repeated = groups.join(hot, on, "left").withColumn(
-        "_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
-    ).drop("_parts")
-    return dealt.join(repeated, [on, "_part"], how).drop("_part")
+    """Left or left-semi join of rows with a table of unique keys, where rows may repeat a key (null
+    too) very often.
+
+    Keys are counted first (counts combine before their shuffle). Rows of keys above `hot_rows` stay
+    where they are and get their row of `groups` by a broadcast, within the bound that `lookup_side`
+    checks; the others are joined.
+    """
+    sizes = members.groupBy(on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    hot = lookup_side(sizes.select(F.col(on).alias("_hot")))
+    if hot.isEmpty():
+        return members.join(groups, on, how)
+    same = F.col(on).eqNullSafe(F.col("_hot"))
+    often = members.join(hot, same, "left_semi").join(lookup_side(groups.join(hot, same, "left_semi")), on, how)
+    return often.unionByName(members.join(hot, same, "left_anti").join(groups, on, how))
+
+
+# A group of more than this part of all rows is broadcast in `joined_by_size`.
+HOT_SHARE = 1000
+
+
+def joined_by_size(rows: DataFrame, groups: DataFrame, on: str, *, size: str, total: int) -> DataFrame:
+    """Inner join of settled rows with a settled table of one row per group, which has its number of
+    rows in `size`.
+
+    Groups of more than a thousandth of all `total` rows are fewer than a thousand, so these are
+    broadcast; the others are joined.
+    """
+    large = F.col(size) > total // HOT_SHARE
+    hot = F.broadcast(groups.where(large))
+    return rows.join(hot, on).unionByName(
+        rows.join(hot.select(on), on, "left_anti").join(groups.where(~large), on)
+    )

@@ -5,6 +5,7 @@ further member (distance 0) and one row per pair of groups whose hashes are clos
 duplicates exactly when they are in one group or their groups are paired, so nothing is lost, and a
 hash held by a third of all rows does not turn into n^2 rows. Pairs of different hashes are listed
 one by one: m hashes that are all close to each other still give up to m * (m - 1) / 2 rows.
+`clusters.near_dup_clusters` has one row per key instead.
 
 Blocking: cut the 64 bits into `blocks` parts. Two hashes at distance d differ in at most d parts,
 so at least `blocks - d` parts agree, and every choice of that many parts is one join key. More
@@ -97,12 +98,12 @@ def _constant_rows(rows: list[tuple[int, int]], names: tuple[str, str]) -> Colum
 
 def _keyed(hashes: DataFrame, scheme: Blocks) -> DataFrame:
     keys = _constant_rows(scheme.keys(), ("block_set", "mask"))
-    return hashes.select("hash", F.inline(keys)).select(
-        "block_set", F.col("hash").bitwiseAND(F.col("mask")).alias("bucket"), "hash"
+    return hashes.select("*", F.inline(keys)).select(
+        "block_set", F.col("hash").bitwiseAND(F.col("mask")).alias("bucket"), *hashes.columns
     )
 
 
-def _found_here(x: Column, block_set: Column, masks: list[int]) -> Column:
+def _found_here(x: Column, block_set: Column, masks: list[int] | list[Column]) -> Column:
     """True only for the first of the keys on which a pair agrees, so each pair appears once.
 
     That is the key for which every block before its last one either belongs to it or differs.
@@ -111,12 +112,27 @@ def _found_here(x: Column, block_set: Column, masks: list[int]) -> Column:
     for j, mask in enumerate(masks):
         later = F.shiftright(block_set, j)
         skipped = (later != 0) & (later.bitwiseAND(F.lit(1)) == 0)
-        differs = x.bitwiseAND(F.lit(signed64(mask)).cast("bigint")) != 0
+        bits = F.lit(signed64(mask)).cast("bigint") if isinstance(mask, int) else mask
+        differs = x.bitwiseAND(bits) != 0
         cond = cond & (~skipped | differs)
     return cond
 
 
-def _join_buckets(keyed: DataFrame, on: list[str], max_distance: int, masks: list[int]) -> DataFrame:
+def _pair(carried: list[str]) -> list[Column]:
+    """hash_a < hash_b, their distance, and the carried columns of both, from joined sides a and b."""
+    ordered = F.col("a.hash") < F.col("b.hash")
+    other = {"a": "b", "b": "a"}
+    return [
+        F.least("a.hash", "b.hash").alias("hash_a"),
+        F.greatest("a.hash", "b.hash").alias("hash_b"),
+        hamming64("a.hash", "b.hash").alias("hash_distance"),
+        *[F.when(ordered, F.col(f"{s}.{c}")).otherwise(F.col(f"{other[s]}.{c}")).alias(f"{c}_{s}") for c in carried for s in "ab"],
+    ]
+
+
+def _join_buckets(
+    keyed: DataFrame, on: list[str], max_distance: int, masks: list[int], carried: list[str]
+) -> DataFrame:
     # Both sides are the very same plan, so the keys are shuffled once and read twice. A merge join
     # walks a bucket row after row; looking a bucket up in a hash table took five times as long.
     a, b = keyed.alias("a"), keyed.alias("b").hint("merge")
@@ -127,20 +143,18 @@ def _join_buckets(keyed: DataFrame, on: list[str], max_distance: int, masks: lis
         & (F.bit_count(x) <= max_distance)
         & _found_here(x, F.col("a.block_set"), masks)
     )
-    return a.join(b, [*same_bucket, close]).select(
-        F.col("a.hash").alias("hash_a"),
-        F.col("b.hash").alias("hash_b"),
-        hamming64("a.hash", "b.hash").alias("hash_distance"),
-    )
+    return a.join(b, [*same_bucket, close]).select(*_pair(carried))
 
 
 def _join_in_cells(
-    keyed: DataFrame, on: list[str], max_distance: int, masks: list[int], bucket_rows: int
+    keyed: DataFrame, on: list[str], max_distance: int, masks: list[int], bucket_rows: int,
+    carried: list[str] = [], inner_masks: list[Column] | None = None,
 ) -> DataFrame:
     """The same join, with overfull buckets dealt to many tasks.
 
     Rows of such a bucket are numbered into parts by their hash. Part i meets part j >= i in cell
-    (i, j), so every pair of rows meets once and a cell holds about two parts.
+    (i, j), so every pair of rows meets once and a cell holds about two parts. With `inner_masks` the
+    buckets have an `inner_set` as well, and a pair counts for the first of these only.
     """
     sizes = keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket_rows)
     parts = settled(sizes.select(*on, F.ceil(F.col("n") / bucket_rows).alias("parts")))
@@ -158,40 +172,46 @@ def _join_in_cells(
         & (F.bit_count(x) <= max_distance)
         & _found_here(x, F.col("a.block_set"), masks)
     )
-    return a.join(b.hint("merge"), [*same_cell, close]).select(
-        F.least("a.hash", "b.hash").alias("hash_a"),
-        F.greatest("a.hash", "b.hash").alias("hash_b"),
-        hamming64("a.hash", "b.hash").alias("hash_distance"),
-    )
+    if inner_masks:
+        close = close & _found_here(x, F.col("a.inner_set"), inner_masks)
+    return a.join(b.hint("merge"), [*same_cell, close]).select(*_pair(carried))
 
 
 def _join_hot_buckets(
-    hot: DataFrame, scheme: Blocks, max_distance: int, masks: list[int], bucket_rows: int
+    hot: DataFrame, scheme: Blocks, max_distance: int, masks: list[int], bucket_rows: int, carried: list[str]
 ) -> DataFrame:
     """Pairs inside overfull buckets.
 
     Members of a bucket agree on its bits, so all differences lie in the other bits. Those are cut
     into interleaved blocks, and the same argument gives longer keys. What is still crowded after
-    that is compared in cells. A pair may agree on several of the longer keys, hence the distinct.
+    that is compared in cells. A pair that agrees on several of the longer keys counts for the first.
     """
     inner = Blocks(max_distance + 3, 3)
-    rows = []
-    for block_set, mask in scheme.keys():
+    rows, inner_masks = [], []
+    for number, (block_set, mask) in enumerate(scheme.keys()):
         rest = [b for b in range(64) if not mask >> b & 1]
+        inner_masks.append([signed64(m) for m in inner.block_masks(rest)])
         rows += [
-            (block_set, inner_set, signed64(mask | m)) for inner_set, m in inner.keys(rest)
+            (block_set, number, inner_set, signed64(mask | m)) for inner_set, m in inner.keys(rest)
         ]
     longer = small_table(
-        hot.sparkSession, rows, "block_set int, inner_set int, longer_mask bigint"
+        hot.sparkSession, rows, "block_set int, outer_key int, inner_set int, longer_mask bigint"
     )
     keyed = hot.join(F.broadcast(longer), "block_set").select(
         "block_set",
+        "outer_key",
         "inner_set",
         F.col("hash").bitwiseAND(F.col("longer_mask")).alias("bucket"),
         "hash",
+        *carried,
     )
+    # The masks of a bucket's blocks, found by the number of its key.
+    table = ", ".join(f"array({', '.join(f'{m}L' if m > -(1 << 63) else 'long(-9223372036854775808)' for m in row)})" for row in inner_masks)
+    of_bucket = F.get(F.expr(f"array({table})"), F.col("a.outer_key"))
     on = ["block_set", "inner_set", "bucket"]
-    return _join_in_cells(keyed, on, max_distance, masks, bucket_rows).distinct()
+    return _join_in_cells(
+        keyed, on, max_distance, masks, bucket_rows, carried, [F.get(of_bucket, F.lit(j)) for j in range(inner.blocks)]
+    )
 
 
 def near_hash_pairs(
@@ -200,32 +220,35 @@ def near_hash_pairs(
 ) -> DataFrame:
     """Pairs of distinct hashes within the distance: hash_a < hash_b, hash_distance.
 
-    `hashes` has one BIGINT column `hash` without repeats, already settled. Buckets above
-    `bucket_rows` are refined; no pair is skipped.
+    `hashes` has one BIGINT column `hash` without repeats, already settled; each of its other columns
+    comes along twice, as `<name>_a` and `<name>_b`. Buckets above `bucket_rows` are refined; no pair
+    is skipped or found twice, so pairs can be aggregated as they come out of the join.
     """
     n = hashes.count()
     scheme = block_scheme(bands, n, max_distance)
+    carried = [c for c in hashes.columns if c != "hash"]
     if max_distance == 0:
-        empty = "hash_a bigint, hash_b bigint, hash_distance int"
-        return small_table(hashes.sparkSession, [], empty)
+        types = dict(hashes.dtypes)
+        own = "".join(f", {c}_{s} {types[c]}" for c in carried for s in "ab")
+        return small_table(hashes.sparkSession, [], f"hash_a bigint, hash_b bigint, hash_distance int{own}")
     masks = scheme.block_masks()
     on = ["block_set", "bucket"]
     keyed = _keyed(widened(hashes, "hash"), scheme)
     # Crowded buckets show in a fixed sample of the hashes, which is small enough to be counted by
     # bucket. A bucket that it misses is still joined in full, only less evenly.
     rate = max(1, bucket_rows // SAMPLED_PER_BUCKET)
-    sample = hashes.where(F.pmod(F.xxhash64("hash"), F.lit(rate)) == 0)
+    sample = hashes.select("hash").where(F.pmod(F.xxhash64("hash"), F.lit(rate)) == 0)
     crowded = settled(
         _keyed(sample, scheme).groupBy(*on).agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") * rate > bucket_rows).select(*on)
     )
     if crowded.isEmpty():
-        return _join_buckets(keyed, on, max_distance, masks)
+        return _join_buckets(keyed, on, max_distance, masks, carried)
     crowded = lookup_side(crowded)
     hot = keyed.join(crowded, on, "left_semi")
     light = keyed.join(crowded, on, "left_anti")
-    return _join_buckets(light, on, max_distance, masks).unionByName(
-        _join_hot_buckets(hot, scheme, max_distance, masks, bucket_rows)
+    return _join_buckets(light, on, max_distance, masks, carried).unionByName(
+        _join_hot_buckets(hot, scheme, max_distance, masks, bucket_rows, carried)
     )
 
 

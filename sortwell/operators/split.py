@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from sortwell.functions.draws import stable_order
-from sortwell.session import lookup_side, small_table
+from sortwell.operators.groups import attach_to_members
+from sortwell.session import lookup_side, settled, small_table
 
 SPLITS = ("train", "validation", "test")
 _BUCKET_DIGITS = 4  # 65,536 buckets per class
@@ -125,6 +126,91 @@ def stratified_split(
     )
 
 
+def _weighed_groups(df: DataFrame, key: str, label: str, group: str) -> DataFrame:
+    """_group, _label (of most of its rows, the smallest of equally frequent ones) and _weight (rows).
+
+    A row whose group is null is a group of its own, named by its key.
+    """
+    name = F.coalesce(F.concat(F.lit("g:"), F.col(group).cast("string")), F.concat(F.lit("k:"), F.col(key).cast("string")))
+    per_label = df.groupBy(name.alias("_group"), F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
+    most = F.min(F.struct((-F.col("_n")).alias("_less"), "_label"))
+    return per_label.groupBy("_group").agg(most.getField("_label").alias("_label"), F.sum("_n").alias("_weight"))
+
+
+def group_cuts(groups: DataFrame, *, ratios: tuple = (70, 15, 15), seed: int = 42) -> DataFrame:
+    """Per class _cap, the last place that falls into test and into the holdout, and the quotas.
+
+    `groups` has _group, _label and _weight. A class's groups are in order of their hashes; those that
+    weigh more than `_cap`, the smaller quota of test and validation, come after all others. A group
+    belongs to the part in which its first row falls, so the rows of the test set and those of the
+    holdout are at least their quotas, and less than one group more. As in `split_cuts`, a histogram
+    of weights over hash prefixes shows where a quota ends, and only groups there are ranked.
+    """
+    train, validation, test = exact_ratios(ratios)
+    holdout = 1 - train
+    test_share = test / (validation + test) if validation + test else Fraction(0)
+    classes = groups.groupBy("_label").agg(F.sum("_weight").alias("_class_n"))
+    classes = _quotas(classes, "_label", "_class_n", holdout, "_holdout")
+    classes = _quotas(classes, "_label", "_holdout", test_share, "_test")
+    parts = [F.when(x > 0, x) for x in (F.col("_test"), F.col("_holdout") - F.col("_test"))]
+    quotas = lookup_side(classes.select(
+        F.col("_label").alias("_class"), "_test", "_holdout", F.coalesce(F.least(*parts), F.lit(0)).alias("_cap")
+    ))
+    same = F.col("_label").eqNullSafe(F.col("_class"))
+    placed = groups.join(quotas, same).select(
+        "_class", "_weight", "_test", "_holdout", "_cap", (F.col("_weight") > F.col("_cap")).alias("_heavy"),
+        stable_order("_group", seed).alias("_hash"), "_group",
+    ).withColumn("_bucket", F.substring("_hash", 1, _BUCKET_DIGITS))
+    buckets = placed.groupBy("_class", "_heavy", "_bucket").agg(F.sum("_weight").alias("_w"), F.first("_test").alias("_test"), F.first("_holdout").alias("_holdout"))
+    before = F.sum("_w").over(Window.partitionBy("_class").orderBy("_heavy", "_bucket")) - F.col("_w")
+    ends = F.inline(F.array(*[F.struct(F.lit(c).alias("_cut"), F.col(f"_{c}").alias("_quota")) for c in ("test", "holdout")]))
+    # The bucket with the last group that starts below a quota: at most two per class.
+    cut_buckets = lookup_side(
+        buckets.withColumn("_before", before).select("_class", "_heavy", "_bucket", "_w", "_before", ends)
+        .where((F.col("_before") < F.col("_quota")) & (F.col("_quota") <= F.col("_before") + F.col("_w")))
+        .select(F.col("_class").alias("_c"), F.col("_heavy").alias("_h"), F.col("_bucket").alias("_b"), "_cut", (F.col("_quota") - F.col("_before")).alias("_room"))
+    )
+    inside = placed.join(
+        cut_buckets, F.col("_class").eqNullSafe(F.col("_c")) & (F.col("_heavy") == F.col("_h")) & (F.col("_bucket") == F.col("_b"))
+    )
+    upto = Window.partitionBy("_cut", "_class", "_heavy", "_bucket").orderBy("_hash", "_group")
+    start = F.sum("_weight").over(upto) - F.col("_weight")
+    at = F.struct("_heavy", "_hash", "_group")
+    last = inside.withColumn("_start", start).where(F.col("_start") < F.col("_room")).groupBy("_class").agg(
+        F.max(F.when(F.col("_cut") == "test", at)).alias("_last_test"),
+        F.max(F.when(F.col("_cut") == "holdout", at)).alias("_last_holdout"),
+    )
+    return quotas.join(last.withColumnRenamed("_class", "_c"), F.col("_class").eqNullSafe(F.col("_c")), "left").drop("_c")
+
+
+def stratified_group_split(
+    df: DataFrame, *, key: str, label: str, group: str, ratios: tuple = (70, 15, 15), seed: int = 42,
+    hot_rows: int = 1_000_000,
+) -> DataFrame:
+    """Add `split` so that no group (a cluster of near duplicates, say) is cut; see `group_cuts`.
+
+    Each class, by the label that most rows of a group have, has its exact quotas of the test set and of
+    the holdout (test and validation), as in `stratified_split`. Its rows in the test set exceed the
+    quota by less than the weight of its last group there, which is at most `_cap` unless only heavier
+    groups are left; the same holds for the holdout. With groups of one row the quotas are met exactly.
+    Rows without a group are groups of their own.
+    """
+    groups = settled(_weighed_groups(df, key, label, group))
+    cuts = lookup_side(group_cuts(groups, ratios=ratios, seed=seed))
+    at = F.struct((F.col("_weight") > F.col("_cap")).alias("_heavy"), stable_order("_group", seed).alias("_hash"), "_group")
+    name = (
+        F.when(at <= F.col("_last_test"), "test")
+        .when(at <= F.col("_last_holdout"), "validation")
+        .otherwise("train")
+    )
+    chosen = groups.join(cuts, F.col("_label").eqNullSafe(F.col("_class"))).select("_group", "_weight", name.alias("split"))
+    own = F.coalesce(F.concat(F.lit("g:"), F.col(group).cast("string")), F.concat(F.lit("k:"), F.col(key).cast("string")))
+    rows = df.withColumn("_group", own)
+    return attach_to_members(rows, chosen, "_group", spread_by=key, size_col="_weight", hot_rows=hot_rows).select(
+        *df.columns, "split"
+    )
+
+
 def split_overlap(df: DataFrame, *, key: str, split: str = "split", names: tuple[str, ...] = SPLITS) -> DataFrame:
     """Distinct keys shared by each pair of splits: zeros included for `names`, and any other pair
     that occurs. A null split counts as a split called "(none)".

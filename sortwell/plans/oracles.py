@@ -35,6 +35,19 @@ near AS (
     a.n_keys AS na, b.n_keys AS nb, bit_count(xor(a.fp, b.fp))::INTEGER AS d
   FROM g a JOIN g b ON a.fp < b.fp AND bit_count(xor(a.fp, b.fp)) <= 5)"""
 
+# Clusters: the smallest first key that chains of near pairs reach.
+CLUSTERS = """
+edge AS (SELECT fp_a AS x, fp_b AS y FROM near UNION ALL SELECT fp_b, fp_a FROM near),
+reach AS (SELECT fp AS x, fp AS y FROM g UNION SELECT reach.x, edge.y FROM reach JOIN edge ON reach.y = edge.x),
+home AS (
+  SELECT reach.x AS fp, min(g.first_key) AS cluster, sum(g.n_keys)::BIGINT AS cluster_size
+  FROM reach JOIN g ON g.fp = reach.y GROUP BY reach.x),
+linked AS (
+  SELECT fp, sum(n) AS n FROM (SELECT fp_a AS fp, nb AS n FROM near UNION ALL SELECT fp_b, na FROM near) GROUP BY fp),
+clustered AS (
+  SELECT doc_id, cluster, cluster_size, (coalesce(linked.n, 0) + g.n_keys - 1)::BIGINT AS n_links
+  FROM hashed JOIN home ON home.fp = hashed.fp JOIN g ON g.fp = hashed.fp LEFT JOIN linked ON linked.fp = hashed.fp)"""
+
 STAR_AND_PAIRS = """
 rel AS (
   SELECT first_key AS key_a, doc_id AS key_b, 0::INTEGER AS hash_distance
@@ -64,6 +77,33 @@ sp AS (
     CASE WHEN rn <= kx THEN 'test' WHEN rn <= kt THEN 'validation' ELSE 'train' END AS split
   FROM ranked JOIN q4 ON ranked.lang = q4.lang)"""
 
+# The same quotas by majority class of the clusters, met by whole clusters.
+GROUP_SP = """
+member AS (
+  SELECT d.doc_id, d.lang, coalesce('g:' || cluster, 'k:' || d.doc_id) AS grp
+  FROM documents d LEFT JOIN clustered c ON c.doc_id = d.doc_id),
+per AS (SELECT grp, lang, count(*) AS n FROM member GROUP BY grp, lang),
+weighed AS (SELECT grp, first(lang ORDER BY n DESC, lang) AS lang, sum(n)::BIGINT AS w FROM per GROUP BY grp),
+cls AS (SELECT lang, sum(w)::BIGINT AS n_c FROM weighed GROUP BY lang),
+tot AS (SELECT count(*) AS n, (30 * count(*) + 99) // 100 AS tmp FROM documents),
+q1 AS (SELECT lang, tmp, (n_c * tmp) // n AS f, (n_c * tmp) % n AS r FROM cls, tot),
+q2 AS (
+  SELECT lang, tmp, f + CASE WHEN row_number() OVER (ORDER BY r DESC, lang) <= tmp - sum(f) OVER ()
+    THEN 1 ELSE 0 END AS kt FROM q1),
+q3 AS (
+  SELECT lang, kt, (tmp + 1) // 2 AS places, (kt * ((tmp + 1) // 2)) // tmp AS f,
+    (kt * ((tmp + 1) // 2)) % tmp AS r FROM q2),
+q4 AS (
+  SELECT lang, kt, f + CASE WHEN row_number() OVER (ORDER BY r DESC, lang) <= places - sum(f) OVER ()
+    THEN 1 ELSE 0 END AS kx FROM q3),
+started AS (
+  SELECT grp, kx, kt, sum(w) OVER (PARTITION BY weighed.lang ORDER BY
+    w > coalesce(least(CASE WHEN kx > 0 THEN kx END, CASE WHEN kt > kx THEN kt - kx END), 0), md5('42:' || grp), grp) - w AS s
+  FROM weighed JOIN q4 ON weighed.lang = q4.lang),
+gsp AS (
+  SELECT doc_id, lang, cluster, CASE WHEN s < kx THEN 'test' WHEN s < kt THEN 'validation' ELSE 'train' END AS split
+  FROM member JOIN started ON started.grp = member.grp LEFT JOIN (SELECT doc_id AS id, cluster FROM clustered) ON id = doc_id)"""
+
 LABELLED = """
 lab AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
@@ -249,6 +289,10 @@ ORACLES: dict[str, str] = {
     "label_map_entries": "SELECT (props->>'k')::INTEGER AS source_label, 'k' AS name, count(*) AS n FROM events"
     " WHERE (props->>'k') IS NOT NULL GROUP BY 1",
     # splits, samples, batches
+    "near_dup_clusters": "WITH RECURSIVE " + ",".join([FP, GROUPS, PAIRS, CLUSTERS])
+    + "\nSELECT doc_id, cluster, cluster_size, n_links FROM clustered",
+    "stratified_group_split": "WITH RECURSIVE " + ",".join([FP, GROUPS, PAIRS, CLUSTERS, GROUP_SP])
+    + "\nSELECT doc_id, lang, cluster, split FROM gsp",
     "stratified_split": _with(SP) + "SELECT doc_id, lang, split FROM sp",
     "read_split": _with(SP) + "SELECT doc_id, lang FROM sp WHERE split = 'train'",
     "split_overlap": _with(

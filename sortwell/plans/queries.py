@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sortwell.functions import hashing, vectors
-from sortwell.operators import batches, duplicates, metrics, neardup, pixels, profile, project
+from sortwell.operators import batches, clusters, duplicates, metrics, neardup, pixels, profile, project
 from sortwell.operators import reconcile, rules, sampling, split
 from sortwell.session import settled, shared_folder
 from sortwell.sources import tables
@@ -94,6 +94,11 @@ def near_duplicates_crowded(spark, sf):
     return neardup.near_duplicates(hashed(spark, sf), key="doc_id", hash_col="fp", bucket_rows=3, hot_rows=2)
 
 
+@query
+def near_dup_clusters(spark, sf):
+    return clusters.near_dup_clusters(hashed(spark, sf), key="doc_id", hash_col="fp")
+
+
 @query
 def near_dup_candidates(spark, sf):
     found = neardup.band_buckets(hashed(spark, sf), key="doc_id", hash_col="fp")
@@ -355,6 +360,14 @@ def stratified_split(spark, sf):
     return split_documents(spark, sf)
 
 
+@query
+def stratified_group_split(spark, sf):
+    """Documents with all near copies of a text in one split."""
+    of = near_dup_clusters(spark, sf).select("doc_id", "cluster")
+    docs = documents(spark, sf, "doc_id", "lang").join(of, "doc_id", "left")
+    return split.stratified_group_split(docs, key="doc_id", label="lang", group="cluster")
+
+
 @query
 def read_split(spark, sf):
     path = shared_folder(spark, "splits")
