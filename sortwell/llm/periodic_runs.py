@@ -49,6 +49,8 @@ SMALLEST_CELL = 8
 CELLS = 4
 # Words of tiles, or characters of texts, in one Arrow batch.
 BATCH_SIZE = 1 << 20
+# Words of tiles that a task solves.
+TASK_WORDS = 1 << 21
 # Odd numbers that spread the bits of a hash.
 SPREAD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
@@ -213,7 +215,10 @@ def tiled(docs: DataFrame, key: str) -> DataFrame:
 
 
 def solved(tile_rows: DataFrame) -> DataFrame:
-    """rid, period, low, high of all fragments. Tiles are dealt over all tasks."""
+    """rid, period, low, high of all fragments. Tiles are dealt over as many tasks as their words need:
+    the bytes of their shuffle say little about the work."""
+    words = tile_rows.agg(F.sum("size")).first()[0] or 0
+    tasks = max(tile_rows.sparkSession.sparkContext.defaultParallelism, (CELLS + 4) * words // TASK_WORDS)
     schema = pa.schema([("rid", pa.int64()), ("period", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
 
     def run(stream):
@@ -225,7 +230,7 @@ def solved(tile_rows: DataFrame) -> DataFrame:
 
             yield from batched(found(), schema, lambda r: 0)
 
-    return tile_rows.repartition("rid", "size", "own").mapInArrow(run, "rid bigint, period bigint, low bigint, high bigint")
+    return tile_rows.repartition(tasks, "rid", "size", "own").mapInArrow(run, "rid bigint, period bigint, low bigint, high bigint")
 
 
 def stitched(found: DataFrame) -> DataFrame:
