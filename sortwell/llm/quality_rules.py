@@ -5,9 +5,12 @@ share of words in repeated windows, characters per word) are compared with thres
 sketches. A sketch is a table of counts over logarithmic bins, so quantiles are right to 2 % and
 two sketches merge by adding counts; a value of 0 has a bin of its own. Sketches exist per language
 and source and are merged into sketches per language and of everything; a text is judged by the
-first of them that has at least `min_rows` texts. Its threshold is the upper quartile plus
-`spread` times the larger of the interquartile range and a least range (also below the lower
-quartile for characters per word). Counts combine before their shuffle, so a source with a third of
+first of them that has at least `min_rows` texts. All thresholds are quantiles of that sketch: the upper
+quartile plus `spread` times the interquartile range (for characters per word also the lower one less
+that). Where the quartiles are equal, as most texts have no symbols or repeats at all, the range says
+nothing, and the threshold is the larger of the quantile `TAIL` and the median of the values above 0: a
+text is rejected only if it is among the group's last twentieth and worse than half of the texts that
+have any. No constant takes part. Counts combine before their shuffle, so a source with a third of
 all rows is as good as any other. The table of thresholds is broadcast if it has at most
 `MAX_BROADCAST_ROWS` rows and joined with salted keys otherwise.
 
@@ -37,8 +40,7 @@ MAX_REPEAT_PERCENT = 30
 ACCURACY = 0.02
 MIN_ROWS = 100
 SPREAD = 4.0
-# Least interquartile range of each rate.
-LEAST_RANGE = {"symbol_rate": 0.05, "dup_line_rate": 0.1, "repeat_rate": 0.075, "chars_per_word": 1.0}
+TAIL = 0.95
 TWO_SIDED = ("chars_per_word",)
 SALTS = 32
 
@@ -139,30 +141,34 @@ def sketches(measured: DataFrame) -> DataFrame:
 
 
 def quartiles(sketch: DataFrame) -> DataFrame:
-    """level, lang, source, rate, n, q1, q3 from the counts."""
+    """level, lang, source, rate, n and quantiles from the counts: q1, q3, the ends low_tail and
+    high_tail, and the median of the values above 0 (null if there are none)."""
     group = ["level", "lang", "source", "rate"]
     upto = Window.partitionBy(*group).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*group)
     ranked = sketch.withColumn("upto", F.sum("n").over(upto)).withColumn("total", F.sum("n").over(whole))
-    value = value_of(F.col("bin"))
+    zeros = F.max(F.when(F.col("bin") == ZERO_BIN, F.col("n")).otherwise(0)).over(whole)
+    ranked = ranked.withColumn("zeros", zeros)
+    value, above = value_of(F.col("bin")), F.col("total") - F.col("zeros")
+    quantile = lambda q: F.min(F.when(F.col("upto") >= q * F.col("total"), value))
+    middle = (F.col("bin") != ZERO_BIN) & (F.col("upto") - F.col("zeros") >= 0.5 * above)
     return ranked.groupBy(*group).agg(
-        F.max("total").alias("n"),
-        F.min(F.when(F.col("upto") >= 0.25 * F.col("total"), value)).alias("q1"),
-        F.min(F.when(F.col("upto") >= 0.75 * F.col("total"), value)).alias("q3"),
+        F.max("total").alias("n"), quantile(0.25).alias("q1"), quantile(0.75).alias("q3"),
+        quantile(1 - TAIL).alias("low_tail"), quantile(TAIL).alias("high_tail"),
+        F.min(F.when(middle, value)).alias("middle"),
     )
 
 
 def thresholds(measured: DataFrame, min_rows: int = MIN_ROWS, spread: float = SPREAD) -> DataFrame:
     """lang, source, low and high of every rate: one row for each language and source that occur."""
     found = quartiles(sketches(measured))
-    reach = F.lit(None).cast("double")
-    for name, least in LEAST_RANGE.items():
-        reach = F.when(F.col("rate") == name, F.greatest(F.col("q3") - F.col("q1"), F.lit(least))).otherwise(reach)
+    reach = F.col("q3") - F.col("q1")
     two_sided = F.col("rate").isin(*TWO_SIDED)
+    high = F.when(reach > 0, F.col("q3") + spread * reach).otherwise(F.greatest("high_tail", "middle"))
+    low = F.when(reach > 0, F.col("q1") - spread * reach).otherwise(F.col("low_tail"))
     limits = found.select(
         "level", "lang", "source", "rate", "n",
-        F.when(two_sided, F.col("q1") - spread * reach).otherwise(F.lit(float("-inf"))).alias("low"),
-        (F.col("q3") + spread * reach).alias("high"),
+        F.when(two_sided, low).otherwise(F.lit(float("-inf"))).alias("low"), high.alias("high"),
     )
     limits = limits.groupBy("level", "lang", "source").agg(
         F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("rate", F.struct("low", "high")))).alias("limits")
@@ -196,7 +202,8 @@ def quality_rules(docs: DataFrame, min_rows: int = MIN_ROWS, spread: float = SPR
     within = F.lit(True)
     for name, value in rates().items():
         limit = F.element_at("limits", F.lit(name))
-        within = within & value.between(limit["low"], limit["high"])
+        # As in the sketches: a value in the bin of a threshold is not beyond it.
+        within = within & value_of(bin_of(value)).between(limit["low"], limit["high"])
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & F.coalesce(within, F.lit(True))).alias("kept"),

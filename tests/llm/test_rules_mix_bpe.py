@@ -65,6 +65,61 @@ def test_thresholds_adapt_to_source(spark):
     assert not kept[5000]
 
 
+def binned(value):
+    """The value that a sketch has for a value."""
+    return quality_rules.GROWTH ** math.ceil(math.log(value) / math.log(quality_rules.GROWTH)) * 2 / (quality_rules.GROWTH + 1) if value > 0 else 0.0
+
+
+def limits_by_hand(values, two_sided):
+    values = sorted(map(binned, values))
+    at = lambda q, own=None: (own or values)[max(0, math.ceil(q * len(own or values) - 1e-9) - 1)]
+    q1, q3, above = at(0.25), at(0.75), [v for v in values if v > 0]
+    if q3 > q1:
+        low, high = q1 - 4 * (q3 - q1), q3 + 4 * (q3 - q1)
+    else:
+        low, high = at(0.05), max(at(0.95), at(0.5, above) if above else 0.0)
+    return (low if two_sided else -math.inf), high
+
+
+def test_kept_equals_thresholds_by_hand(spark):
+    """All texts of the table against quantiles of their sorted values, in groups from 40 texts on."""
+    docs = documents(spark, "/root/testdata/sf0.01")
+    texts = {r.doc_id: r for r in docs.collect()}
+    values = {}
+    for i, r in texts.items():
+        n, chars, symbols, dup, repeated, failed = measures_by_hand(r.text)
+        lines = sum(bool(space_words(x)) for x in (r.text or "").split("\n"))
+        values[i] = (symbols / max(n, 1), dup / max(lines, 1), repeated / max(n, 1), chars / max(n, 1)), failed
+    groups = defaultdict(list)
+    for i, r in texts.items():
+        for group in ((r.lang, r.source), (r.lang,), ()):
+            groups[group].append(i)
+    limits = {
+        g: [limits_by_hand([values[i][0][k] for i in ids], k == 3) for k in range(4)] for g, ids in groups.items()
+    }
+    rejects, want, used = [0] * 4, {}, set()
+    for i, r in texts.items():
+        group = next(g for g in ((r.lang, r.source), (r.lang,), ()) if len(groups[g]) >= 40)
+        used.add(group)
+        beyond = [not low - 1e-9 <= binned(v) <= high + 1e-9 for v, (low, high) in zip(values[i][0], limits[group])]
+        want[i] = not values[i][1] and not any(beyond)
+        if not values[i][1]:
+            rejects = [n + b for n, b in zip(rejects, beyond)]
+    assert {r.doc_id: r.kept for r in quality_rules.quality_rules(docs, min_rows=40).collect()} == want
+    assert sum(len({limits[g][k][1] for g in used}) > 1 for k in range(4)) >= 3
+    # Repeats are too rare in this table to be told apart; the next test has them.
+    assert rejects[0] and rejects[1] and rejects[3], rejects
+
+
+def test_unusual_repeats_are_rejected(spark):
+    """Eight of 204 texts have repeats: those with more than half of them have go."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(100))) for i in range(196)]
+    rows += [(200 + j, " ".join([f"r{j}x{k}" for k in range(8 + j // 2)] * 2 + [f"v{j}x{k}" for k in range(70)])) for j in range(8)]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id bigint, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in quality_rules.quality_rules(docs).collect()}
+    assert sorted(i for i, k in kept.items() if not k) == [204, 205, 206, 207]
+
+
 def test_rules_with_odd_rows(spark, monkeypatch):
     docs = odd_documents(spark)
     broadcast = sorted(map(str, quality_rules.quality_rules(docs, min_rows=2).collect()))
