@@ -1,10 +1,10 @@
 """License scan: set-similarity join of text blocks with license templates.
 
-A block is a run of words, a template a short notice; both are sets of words. A block matches when it
-holds at least `THRESHOLD` of a template's words. Blocks are all runs of twice a template's length,
-whatever the line breaks, and lines as a whole up to three times the longest template's length; words
-that are spread out further are never put together. The runs of all templates lie whole in windows of
-that length which start at every third of it, and these are what is joined.
+A block is a run of words, a template a short notice; both are sets of words. Blocks for a template
+are all runs of twice its length, whatever the line breaks, or the whole text where it is shorter; a
+block matches when it holds at least `THRESHOLD` of the template's words. Words that are spread out
+further are never put together. The runs of all templates lie whole in windows of three times the
+longest template that start at every third of that, and these windows are what is joined.
 
 All words of templates are ordered by the number of texts they
 occur in, rarest first. By this order a block and a template that match share a word among their
@@ -97,30 +97,26 @@ def first_words(words: list[str], rank: dict[str, int], threshold: float) -> lis
     return sorted(words, key=rank.get)[: len(words) - needed(len(words), threshold) + 1]
 
 
-def blocks_of(words: Column, lines: Column, known: Column, width: int) -> Column:
-    """words (those of `known`, in its order) and run (all words, empty for a line) of every window
-    of `width` words and of every line up to this length."""
+def blocks_of(words: Column, known: Column, width: int) -> Column:
+    """words (those of `known`, in its order) and run (all words) of every window of `width` words."""
     step = width // 3
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - width + step), F.lit(step))
-    none = F.array().cast("array<string>")
 
-    def block(words: Column, run: Column) -> Column:
-        return F.struct(F.array_intersect(known, words).alias("words"), run.alias("run"))
+    def block(run: Column) -> Column:
+        return F.struct(F.array_intersect(known, run).alias("words"), run.alias("run"))
 
-    windows = F.transform(starts, lambda at: let(F.slice(words, at, F.lit(width)), lambda run: block(run, run)))
-    split = F.transform(lines, lambda line: F.array_remove(F.split(line, SEPARATORS), ""))
-    return F.concat(windows, F.transform(F.filter(split, lambda own: F.size(own) <= width), lambda own: block(own, none)))
+    return F.transform(starts, lambda at: let(F.slice(words, at, F.lit(width)), block))
 
 
 def scanned(docs: DataFrame, order: list[str], firsts: list[str], least: int, width: int, key: str = "doc_id") -> DataFrame:
     """rid, key, n_words, base places and the blocks' template words: settled, without texts."""
     lowered = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(key).alias("key"), F.lower(whole_text()).alias("low"))
     norm = F.trim(F.regexp_replace("low", SEPARATORS, " "))
-    split = lowered.select("rid", "key", "low", F.concat(F.lit(" "), norm, F.lit(" ")).alias("norm"))
+    split = lowered.select("rid", "key", F.concat(F.lit(" "), norm, F.lit(" ")).alias("norm"))
     split = split.withColumn("n_words", F.when(F.col("norm") == "  ", 0).otherwise(spaces(F.col("norm")) - 1).cast("bigint"))
     known, needs = F.array(*[F.lit(w) for w in order]), F.array(*[F.lit(w) for w in firsts])
     blocks = F.filter(
-        let(F.split(F.trim("norm"), " "), lambda words: blocks_of(words, F.split("low", "\n"), known, width)),
+        let(F.split(F.trim("norm"), " "), lambda words: blocks_of(words, known, width)),
         lambda block: (F.size(block["words"]) >= least) & F.arrays_overlap(block["words"], needs),
     )
     return settled(split.select(
@@ -154,7 +150,7 @@ def matched(rows: DataFrame, templates: list[tuple[str, str]], threshold: float,
     starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("run") - F.col("span") + 1))
     closest = F.array_max(F.transform(starts, lambda at: F.size(F.array_intersect(F.slice("run", at, F.col("span")), "template_words"))))
     pairs = pairs.where(overlap >= F.col("alpha"))
-    found = pairs.withColumn("overlap", F.when(F.size("run") == 0, overlap).otherwise(closest)).where(F.col("overlap") >= F.col("alpha"))
+    found = pairs.withColumn("overlap", closest).where(F.col("overlap") >= F.col("alpha"))
     return found.groupBy("rid", "label").agg(F.max(F.col("overlap") / total).alias("containment"))
 
 

@@ -132,12 +132,11 @@ def license_by_hand(text):
                 starts.append(i)
                 labels.add(label)
     extra = set(labels)
-    for line in (text or "").split("\n"):
-        own = set(re.findall(r"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", line.lower()))
-        for label, template in license_scan.TEMPLATES:
-            need = set(license_scan.words_of(template))
-            if len(need & own) >= license_scan.THRESHOLD * len(need):
-                extra.add(label)
+    for label, template in license_scan.TEMPLATES:
+        need, span = set(license_scan.words_of(template)), 2 * license_scan.length(template)
+        if any(len(need & set(words[i : i + span])) >= license_scan.THRESHOLD * len(need)
+               for i in range(max(1, len(words) - span + 1))):
+            extra.add(label)
     return (len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels)), ",".join(sorted(extra)))
 
 
@@ -192,15 +191,26 @@ def test_license_runs_by_hand(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     for r in license_scan.license_scan(docs, threshold=0.6).collect():
         words, labels = texts[r.doc_id].split(), set(r.base_labels.split(",")) - {""}
-        lines = [line.split() for line in texts[r.doc_id].split("\n")]
         for label, template in license_scan.TEMPLATES:
             need, span = set(template.split()), 2 * len(template.split())
-            runs = [words[at : at + span] for at in range(len(words))] + [line for line in lines if len(line) <= 54]
+            runs = [words[at : at + span] for at in range(len(words))]
             if any(len(need & set(run)) >= 0.6 * len(need) for run in runs):
                 labels.add(label)
         assert r.labels == ",".join(sorted(labels)), texts[r.doc_id]
 
 
+@pytest.mark.parametrize("gap", [3, 4, 6, 20])
+def test_length_of_a_line_does_not_matter(spark, gap):
+    """Words of a notice spread over one line: what counts is how many stand within twice its length."""
+    template = next(t for label, t in license_scan.TEMPLATES if label == "bsd").split()
+    spread = " ".join(w + " x" * (gap if i % 3 == 2 else 0) for i, w in enumerate(template))
+    texts = {0: spread, 1: spread + " y" * 200, 2: spread.replace(" x", "\nx")}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    found = {r.doc_id: r.labels for r in license_scan.license_scan(docs).collect()}
+    assert found == {i: license_by_hand(t)[-1] for i, t in texts.items()}
+    assert len(set(found.values())) == 1
+
+
 def test_reliable_labelers_are_found():
     """Two labelers follow the truth, three vote at random."""
     rnd = random.Random(1)
