@@ -171,12 +171,19 @@ def logistic_curve(margins: np.ndarray, labels: np.ndarray) -> tuple[float, floa
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = MAX_SAMPLE, bits: int = BITS):
-    """(model, slope, offset), or the share of label 1 where one class is missing."""
+    """(model, slope, offset), or the share of label 1 where one class is missing.
+
+    At most `sample` rows reach the driver, whatever repeats: of several labels of one id the smallest
+    counts, of several texts the one with the smallest hash.
+    """
     known = labels.where(~held_out("doc_id") & F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     order = F.crc32(F.concat(F.lit("sample:"), F.col("doc_id").cast("string")).cast("binary"))
-    chosen = known.select(F.col("doc_id").alias("labelled_id"), F.col(label).cast("int").alias("y"), order.alias("o"))
+    known = known.groupBy("doc_id").agg(F.min(F.col(label).cast("int")).alias("y"))
+    chosen = known.select(F.col("doc_id").alias("labelled_id"), "y", order.alias("o"))
     chosen = chosen.orderBy("o", "labelled_id", "y").limit(sample).select("labelled_id", "y")
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled_id"))
+    texts = texts.groupBy("doc_id", "y").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("first"))
+    texts = texts.select("doc_id", "y", "first.text")
     rows, ys = [], []
     for row in feature_rows(texts, ["y", "doc_id"], bits).orderBy("doc_id").toLocalIterator():
         rows.append(np.frombuffer(row.features, dtype=np.int32))

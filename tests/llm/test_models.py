@@ -137,3 +137,43 @@ def test_dual_coordinate_descent_reaches_the_optimum(monkeypatch):
         v = v - (v - quality_model.COST * (labels[active, None] * x[active]).sum(axis=0)) / (k + 10)
         best = min(best, v, key=objective)
     assert mine <= objective(best) * 1.003
+
+
+def test_sample_is_bounded_whatever_repeats(spark, monkeypatch):
+    """One id with 400 texts and labels that repeat: at most `sample` rows reach the driver."""
+    rows = [(i, f"text number {i} about some thing") for i in range(100)] + [(1, f"another text {i}") for i in range(400)]
+    labels = [(i, i % 2) for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2] + [(1, 0)] * 300
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    marks = spark.createDataFrame(labels, "doc_id bigint, quality int")
+    seen = []
+    plain = quality_model.descend
+    monkeypatch.setattr(quality_model, "descend", lambda rows, y, width: seen.append(len(rows)) or plain(rows, y, width))
+    quality_model.fit(docs, marks, sample=40, bits=12)
+    assert max(seen) == 40
+    quality_model.fit(docs, marks, sample=4000, bits=12)
+    assert max(seen) == len({i for i, _ in labels})
+
+
+def test_scores_equal_a_dense_model(spark):
+    """Features by slicing, ratios by counting, the hinge loss by plain coordinate steps on a dense matrix."""
+    words = {1: "good clear prose about rivers hills and towns", 0: "buy now cheap pills click win cash prize"}
+    rows = [(i, " ".join(words[i % 2].split()[k % 8] for k in range(i, i + 5)) + (" both" if i % 3 else "")) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id bigint, quality int")
+    bits = quality_model.BITS
+    fitted, slope, offset = quality_model.fit(docs, labels)
+    known = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    seen = np.zeros(1 << bits, dtype=bool)
+    x = np.zeros((len(known), 1 << bits), dtype=np.float32)
+    for k, (_, t) in enumerate(known):
+        x[k, quality_model.features(t, seen)] = 1
+    y = np.array([1.0 if i % 2 else -1.0 for i, _ in known])
+    p, q = 1 + x[y > 0].sum(axis=0), 1 + x[y < 0].sum(axis=0)
+    ratio = np.log((p / np.abs(p).sum()) / (q / np.abs(q).sum()))
+    assert np.allclose(fitted[2], ratio, atol=1e-4)
+    scores = {r.doc_id: r.score for r in quality_model.quality_scores(docs, labels).collect()}
+    for i, t in rows:
+        found = quality_model.features(t, seen)
+        margin = sum(float(fitted[0][f]) for f in found) / math.sqrt(sum(float(ratio[f]) ** 2 for f in found)) + fitted[1]
+        assert abs(scores[i] - 1 / (1 + math.exp(-(slope * margin + offset)))) < 1e-3
+        assert (scores[i] >= 0.5) == bool(i % 2)
