@@ -225,7 +225,7 @@ class Bpe:
         return b"".join(out)
 
     def encode(self, text: str) -> np.ndarray:
-        if self.special_split is None or "<" not in text:
+        if self.special_split is None or not self.special_split.search(text):
             raw = self.plain(text)
         else:
             raw = b"".join(

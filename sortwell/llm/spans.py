@@ -95,8 +95,8 @@ def digests(rows: DataFrame, spans: DataFrame, kinds: list[Kind]) -> DataFrame:
 
 
 def outside(spans: DataFrame, base: list[int]) -> DataFrame:
-    """`spans` without those of other kinds that overlap a base span or an earlier-listed kind's
-    span that starts before them."""
+    """`spans` without those of other kinds that overlap a base span. Spans of other kinds may overlap
+    each other: one address can be an endpoint and hold a secret."""
     before = Window.partitionBy("rid").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy("rid").orderBy(F.desc("start"), F.desc("kind")).rowsBetween(Window.unboundedPreceding, -1)
     is_base = F.col("kind").isin(base)
