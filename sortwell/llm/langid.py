@@ -18,10 +18,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sortwell.llm.common import held_out
+from sortwell.llm.common import MERGED_TASKS, held_out
 
 ORDERS = (1, 2, 3)
 BITS = 16
@@ -118,19 +119,21 @@ def train(docs: DataFrame, label: str = "lang", bits: int = BITS) -> tuple[list[
         if rows:
             columns = list(zip(*rows))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.binary())],
-                names=["lang", "slice", "counts"],
+                [pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32()),
+                 pa.array([TaskContext.get().partitionId() // MERGED_TASKS] * len(rows), pa.int32()), pa.array(columns[2], pa.binary())],
+                names=["lang", "slice", "part", "counts"],
             )
 
     def add(key, table):
-        total = sum(np.frombuffer(x, dtype=np.int64) for x in table.column("counts").to_pylist())
+        total = sum(np.frombuffer(x.as_buffer(), dtype=np.int64) for x in table.column("counts"))
         return pa.table({"lang": [key[0].as_py()], "slice": pa.array([key[1].as_py()], pa.int32()),
-                         "counts": pa.array([total.tobytes()], pa.binary())})
+                         "part": pa.array([0], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
-    schema = "lang string, slice int, counts binary"
+    # Tasks' counts are added up in two steps, so a group holds a bounded number of them.
+    schema = "lang string, slice int, part int, counts binary"
     known = docs.where(F.col("text").isNotNull() & F.col(label).isNotNull())
     counted = known.select("text", F.col(label).cast("string")).mapInArrow(count, schema)
-    summed = counted.groupBy("lang", "slice").applyInArrow(add, schema)
+    summed = counted.groupBy("lang", "slice", "part").applyInArrow(add, schema).groupBy("lang", "slice").applyInArrow(add, schema)
     # Bounded: `2**bits` features for each of at most MAX_LANGS languages, checked on the way.
     totals: dict[str, np.ndarray] = {}
     for row in summed.toLocalIterator():
