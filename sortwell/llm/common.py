@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from sortwell.session import settled
 
+# Rows per task number that are added up in one group first, so that no group grows with all tasks.
+MERGED_TASKS = 1024
+
 # White space as the contracts define it: space and the controls 9 to 13.
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
@@ -66,39 +69,3 @@ def looked_up(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, to
     return rows.join(hot, keys).unionByName(
         rows.join(hot.select(*keys), keys, "left_anti").join(groups.where(~large), keys)
     )
-
-
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """node, component (smallest node reachable) for every node of an undirected edge list.
-
-    Large-star and small-star rounds (Kiveris et al. 2014): every round points the neighbours of a
-    node at the smallest one, which takes a logarithmic number of rounds. A round is two
-    aggregations that combine before their shuffle and one join; its result is cut with
-    checkpoint(). A node with very many neighbours is never gathered: minima are aggregated and the
-    neighbours stay rows.
-    """
-    pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v")
-    pairs = settled(pairs.distinct())
-    before = None
-    while True:
-        # Large star: u's larger neighbours go to the smallest of u and its neighbours.
-        both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = both.join(least, "u").where("v > u").select(
-            F.col("v").alias("u"), F.least("m", "u").alias("v")
-        )
-        large = large.distinct()
-        # Small star: u and its smaller neighbours go to the smallest neighbour.
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(
-            F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
-                              F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")
-        ).select("e.*").where("u != v").distinct()
-        pairs = settled(small)
-        # Pairs only change while some node has two different smaller ends or a chain is left.
-        now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-                pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-            )
-        before = now

@@ -32,10 +32,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sortwell.llm.common import components, looked_up, rows_with, settled
+from sortwell.llm.common import MERGED_TASKS, looked_up, rows_with, settled
+from sortwell.operators.clusters import components
 
 WORDS = 4
 PERCENT = 85
@@ -127,18 +129,25 @@ def counters(docs: DataFrame, bits: int = COUNTER_BITS) -> np.ndarray:
                 np.add.at(total, (found >> U(64 - bits)).astype(np.int64), 1)
         part = min(SLICE, len(total))
         slices = [(k, total[k * part : (k + 1) * part].astype(np.uint32).tobytes()) for k in range(len(total) // part)]
+        part = TaskContext.get().partitionId() // MERGED_TASKS
         yield pa.RecordBatch.from_arrays(
-            [pa.array([k for k, _ in slices], pa.int32()), pa.array([x for _, x in slices], pa.binary())],
-            names=["slice", "counts"],
+            [pa.array([k for k, _ in slices], pa.int32()), pa.array([part] * len(slices), pa.int32()),
+             pa.array([x for _, x in slices], pa.binary())],
+            names=["slice", "part", "counts"],
         )
 
     def add(key, table):
-        total = sum(np.frombuffer(x, dtype=np.uint32).astype(np.uint64) for x in table.column("counts").to_pylist())
+        total = np.zeros(min(SLICE, 1 << bits), dtype=np.uint64)
+        for x in table.column("counts"):
+            total += np.frombuffer(x.as_buffer(), dtype=np.uint32)
         total = np.minimum(total, U(2**32 - 1)).astype(np.uint32)
-        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
+        return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([0], pa.int32()),
+                         "counts": pa.array([total.tobytes()], pa.binary())})
 
-    schema = "slice int, counts binary"
-    summed = docs.select("text").mapInArrow(count, schema).groupBy("slice").applyInArrow(add, schema)
+    # Tasks' counts are added up in two steps, so a group holds a bounded number of them.
+    schema = "slice int, part int, counts binary"
+    counted = docs.select("text").mapInArrow(count, schema)
+    summed = counted.groupBy("slice", "part").applyInArrow(add, schema).groupBy("slice").applyInArrow(add, schema)
     total = np.zeros(1 << bits, dtype=np.float64)
     part = min(SLICE, len(total))
     for row in summed.toLocalIterator():  # 2**bits counts in all
@@ -351,9 +360,11 @@ def verified(texts: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
 def in_blocks(parts: DataFrame, nodes: int, entries: int) -> DataFrame:
     """Adds block and blocks (of its component) to rows of component, node, n."""
+    parts = settled(parts)
     sizes = parts.groupBy("component").agg(F.count("*").alias("size"), F.sum("n").alias("entries"))
     count = F.ceil(F.greatest(F.col("size") / nodes, F.col("entries") / entries)).cast("int")
-    sized = parts.join(sizes.select("component", count.alias("blocks")), "component")
+    sizes = settled(sizes.select("component", "size", count.alias("blocks")))
+    sized = looked_up(parts, sizes, ["component"], "size", parts.count()).drop("size")
     sub = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("node"), F.col("blocks"))).otherwise(0).cast("int")
     return sized.withColumn("sub", sub).withColumn("block", F.xxhash64("component", "sub"))
 
@@ -415,8 +426,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, block_nodes: int
     light = classes.select(*key, "node", "low", "members")
     joined = light.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     joined = settled(joined)
-    lowest = joined.groupBy("component").agg(F.min("low").alias("component_id"))
-    groups = joined.join(lowest, "component").select(*key, "component_id", "members")
+    lowest = joined.groupBy("component").agg(F.min("low").alias("component_id"), F.count("*").alias("classes"))
+    groups = looked_up(joined, settled(lowest), ["component"], "classes", joined.count()).select(*key, "component_id", "members")
     rows = sets.select("id", *key)
     filled = looked_up(rows.where("n > 0"), settled(groups), key, "members", rows.count())
     empty = rows.where("n = 0").withColumn("component_id", F.col("id")).withColumn("members", F.lit(1).cast("bigint"))

@@ -10,7 +10,8 @@ import pytest
 from odd import jaccard_components, no_documents, odd_documents, odd_rows
 
 from sortwell.llm import exactdedup, jaccard_join
-from sortwell.llm.common import components, documents
+from sortwell.llm.common import documents
+from sortwell.operators.clusters import components
 
 
 def exact_by_hand(rows):

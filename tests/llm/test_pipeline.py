@@ -83,4 +83,27 @@ def test_pipeline_gives_positions(spark, sf, monkeypatch):
 
 def test_registered_queries():
     names = set(entry.queries())
-    assert {"pipeline", *QUERIES} <= names and {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {"pipeline", *QUERIES} <= names and {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
+
+
+def written(spark, rows, tmp_path):
+    folder = str(tmp_path / "tables")
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(
+        f"{folder}/documents.parquet")
+    return folder
+
+
+def test_run_on_an_empty_table(spark, tmp_path):
+    found = corpus_pipeline.run(spark, written(spark, [], tmp_path))
+    assert found.count() == 0 and {"doc_id", "position", "ids"} <= set(found.columns)
+
+
+def test_run_drops_what_no_language_has(spark, tmp_path):
+    """Planted texts without a letter go in the first stage, and so do null and empty ones; the odd
+    documents pass through all stages."""
+    rows = [tuple(r[:5]) for r in odd_rows()]
+    planted = [(100, "1234 5678 -- 90", "en", "a", 15), (101, "$$$ !!! ...", "de", "b", 11), (102, None, "en", None, None)]
+    found = {r.doc_id for r in corpus_pipeline.run(spark, written(spark, rows + planted, tmp_path)).collect()}
+    assert not found & {6, 7, 8, 9, 100, 101, 102} and {1, 4, 10, 17} <= found
+    by_hand = {i for i, t, *_ in rows if t and any(c.isalpha() for c in t)}
+    assert found <= by_hand
