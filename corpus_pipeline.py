@@ -2,27 +2,31 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows of `docs` and returns a DataFrame, which
 `run` writes as Parquet in the shared folder and reads again for the next one. All but the last keep
-the columns of `docs`. The mix decides the order of the rows in its files; a scan deals files out by
+the columns of `docs`. The first one drops documents without a recognised language: those without a
+letter (null and empty texts among them) and those whose likeliest language has a probability below
+0.5. In the given tables that is none. The second and third keep the smallest id of each group of equal
+and of near texts; rows that repeat id and text are one document to them and stay or go together. Rows
+without an id stay only where no row of their group has one. The mix decides the order of the rows in its files; a scan deals files out by
 size, so the last stage reads the order from the files' numbers and the rows' places in them and
 returns it as `position`, 0 for the first row of the mix.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sortwell.llm import bpe, exactdedup, jaccard_join, langid, mixing
 from sortwell.llm.common import documents, shared_folder
 from sortwell.llm.queries import VOCABULARY
-from sortwell.session import small_table
+from sortwell.session import lookup_side
 
 # Partition and file numbers in the names that Spark's writers give.
-FILE_NUMBERS = re.compile(r"part-(\d+)-.*?(?:-c|\.c)(\d+)\.")
+FILE_NUMBERS = r"part-(\d+)-.*?(?:-c|\.c)(\d+)\."
 
 
 def recognised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,28 +45,23 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs)
 
 
-def written_order(file: str) -> tuple[int, int, str]:
-    found = FILE_NUMBERS.search(file.rsplit("/", 1)[-1])
-    return (int(found[1]), int(found[2]), file) if found else (-1, -1, file)
-
-
 def positioned(docs: DataFrame) -> DataFrame:
     """doc_id, text and `position`, the row's place in the order in which `docs` was written. Rows
-    that don't come from files are in the order of their partitions. The driver gets one count per
-    file or partition."""
+    that don't come from files are in the order of their partitions. Files are numbered in Spark; their
+    table is broadcast only within the bound that `lookup_side` checks."""
     try:
         parts = docs.select("doc_id", "text", F.col("_metadata.file_path").alias("part"), F.col("_metadata.row_index").alias("row"))
     except AnalysisException:
         number = F.monotonically_increasing_id()
         parts = docs.select("doc_id", "text", F.format_string("part-%010d-c0.", F.shiftright(number, 33)).alias("part"),
                             number.bitwiseAND(F.lit((1 << 33) - 1)).alias("row"))
-    starts, start = [], 0
-    counts = parts.groupBy("part").agg(F.count("*").alias("n")).collect()
-    for part in sorted(counts, key=lambda r: written_order(r.part)):
-        starts.append((part.part, start))
-        start += part.n
-    starts = small_table(docs.sparkSession, starts, "part string, start bigint")
-    return parts.join(F.broadcast(starts), "part").select("doc_id", "text", (F.col("start") + F.col("row")).alias("position"))
+    counts = parts.groupBy("part").agg(F.count("*").alias("n"))
+    name = F.element_at(F.split("part", "/"), -1)
+    numbers = [F.expr(f"try_cast({part} as bigint)") for part in ("first", "second")]
+    named = counts.withColumns({"first": F.regexp_extract(name, FILE_NUMBERS, 1), "second": F.regexp_extract(name, FILE_NUMBERS, 2)})
+    before = Window.orderBy(*numbers, "part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = lookup_side(named.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")))
+    return parts.join(starts, "part").select("doc_id", "text", (F.col("start") + F.col("row")).alias("position"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
