@@ -8,13 +8,14 @@ from __future__ import annotations
 import functools
 import operator
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sortwell.functions.vectors import is_finite
+from sortwell.operators.fingerprint import differing_rows
 from sortwell.operators.reconcile import presence
 
 RESULT = ["rule", "expected", "observed", "passed"]
@@ -22,15 +23,26 @@ RESULT = ["rule", "expected", "observed", "passed"]
 
 @dataclass(frozen=True)
 class Rule:
+    """`observed` is an aggregate over the table. The same value comes from `parts`, aggregates that merge
+    by `merge` ("sum" or "max") over shards, and `finish`."""
+
     name: str
     expected: str
     observed: Column
     passed: Callable[[Column], Column]
+    parts: tuple[Column, ...] = ()
+    merge: tuple[str, ...] = ()
+    finish: Callable[[list[Column]], Column] | None = None
+
+
+def _added(name: str, expected: str, count: Column, passed: Callable[[Column], Column]) -> Rule:
+    """A rule on a count, which adds up over shards."""
+    return Rule(name, expected, count, passed, (count,), ("sum",), lambda parts: parts[0])
 
 
 def _zero(name: str, failing: Column) -> Rule:
     """No row may meet the failing condition."""
-    return Rule(name, "0", F.count_if(failing), lambda seen: seen == 0)
+    return _added(name, "0", F.count_if(failing), lambda seen: seen == 0)
 
 
 def not_null(col: str) -> Rule:
@@ -38,7 +50,7 @@ def not_null(col: str) -> Rule:
 
 
 def row_count(n: int) -> Rule:
-    return Rule("row_count", str(n), F.count(F.lit(1)), lambda seen: seen == n)
+    return _added("row_count", str(n), F.count(F.lit(1)), lambda seen: seen == n)
 
 
 def vocabulary(col: str, values: list, *, mode: str = "equal", ignore_nulls: bool = False) -> Rule:
@@ -47,22 +59,24 @@ def vocabulary(col: str, values: list, *, mode: str = "equal", ignore_nulls: boo
         raise ValueError("mode must be equal or subset")
     known = F.coalesce(F.col(col).isin(*values), F.lit(False))
     outside = F.col(col).isNotNull() & ~known if ignore_nulls else ~known
-    absent = [
-        F.when(F.coalesce(F.max(F.col(col) == F.lit(v)), F.lit(False)), 0).otherwise(1)
-        for v in values
-    ]
-    n_absent = functools.reduce(operator.add, absent, F.lit(0)) if mode == "equal" else F.lit(0)
-    observed = F.concat(
-        F.count_if(outside).cast("string"), F.lit(" rows outside, "),
-        n_absent.cast("string"), F.lit(" values absent"),
-    )
+    found = [F.coalesce(F.max((F.col(col) == F.lit(v)).cast("int")), F.lit(0)) for v in values] if mode == "equal" else []
+    n_outside = F.count_if(~F.col(col).isNull() & ~known if ignore_nulls else ~known)
     expected = "0 rows outside, 0 values absent"
-    return Rule(f"vocabulary:{col}", expected, observed, lambda seen: seen == F.lit(expected))
+
+    def told(parts: list[Column]) -> Column:
+        absent = functools.reduce(operator.add, [1 - f for f in parts[1:]], F.lit(0))
+        return F.concat(parts[0].cast("string"), F.lit(" rows outside, "), absent.cast("string"), F.lit(" values absent"))
+
+    parts = (n_outside, *found)
+    return Rule(
+        f"vocabulary:{col}", expected, told(list(parts)), lambda seen: seen == F.lit(expected),
+        parts, ("sum", *["max"] * len(found)), told,
+    )
 
 
 def single_value(col: str, value: object, *, ignore_nulls: bool = False) -> Rule:
     rule = vocabulary(col, [value], ignore_nulls=ignore_nulls)
-    return Rule(f"single_value:{col}", rule.expected, rule.observed, rule.passed)
+    return replace(rule, name=f"single_value:{col}")
 
 
 def label_range(col: str, n_classes: int) -> Rule:
@@ -103,7 +117,7 @@ def missing_columns(df: DataFrame, columns: list[str]) -> list[str]:
 
 def _of_schema(name: str, expected: str, observed: str, passed: bool) -> Rule:
     """A rule decided by the schema alone."""
-    return Rule(name, expected, F.max(F.lit(observed)), lambda seen: F.lit(passed))
+    return Rule(name, expected, F.max(F.lit(observed)), lambda seen: F.lit(passed), finish=lambda parts: F.lit(observed))
 
 
 def required_columns(df: DataFrame, columns: list[str]) -> Rule:
@@ -192,11 +206,49 @@ def required_fields(df: DataFrame, record: str, fields: list[str]) -> DataFrame:
 def determinism(first: DataFrame, second: DataFrame, *, name: str = "determinism", equal: bool = True) -> DataFrame:
     """Two runs of a job hold the same rows (`equal`), or differ.
 
-    Rows are counted with sign in one aggregation; equal runs cancel out.
+    Equal runs are told by their fingerprints, without a shuffle of rows; see `differing_rows`.
     """
-    columns = first.columns
-    signed = first.withColumn("_sign", F.lit(1)).unionByName(second.withColumn("_sign", F.lit(-1)))
-    rest = signed.groupBy(*columns).agg(F.sum("_sign").alias("_n")).where(F.col("_n") != 0)
-    n = F.coalesce(F.sum(F.abs("_n")), F.lit(0))
+    rest = differing_rows(first, second)
+    n = F.coalesce(F.sum(F.abs("n_more")), F.lit(0))
     expected, passed = ("0", lambda seen: seen == 0) if equal else ("more than 0", lambda seen: seen > 0)
     return check(rest, Rule(name, expected, n, passed))
+
+
+def determinism_diff(first: DataFrame, second: DataFrame, *, key: str) -> DataFrame:
+    """Keys whose rows differ between two runs: the key, n_first and n_second (rows that only the first or
+    only the second run has)."""
+    rest = differing_rows(first, second)
+    return rest.groupBy(key).agg(
+        F.sum(F.greatest("n_more", F.lit(0).cast("bigint"))).alias("n_first"),
+        F.sum(F.greatest(-F.col("n_more"), F.lit(0).cast("bigint"))).alias("n_second"),
+    )
+
+
+def rule_states(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The partial states of all rules over one shard of a table, in one row `states`: an array of numbers
+    per rule. States of shards merge by addition or maximum, so a shard is scanned once in its life."""
+    rows = [F.array(*[p.cast("bigint") for p in r.parts], F.lit(0).cast("bigint")) for r in rules]
+    return df.agg(F.array(*rows).alias("states"))
+
+
+def merged_report(states: DataFrame, rules: list[Rule]) -> DataFrame:
+    """`validation_report` of the whole table from the stored states of its shards (rows of `states`).
+
+    The rules have to be those the states were made with, in the same order.
+    """
+    if not rules:
+        raise ValueError("at least one rule is needed")
+    cells = {"sum": F.sum, "max": F.max}
+    number = lambda i, j: F.get(F.get("states", F.lit(i)), F.lit(j))
+    merged = states.agg(*[
+        F.coalesce(cells[r.merge[j]](number(i, j)), F.lit(0).cast("bigint")).alias(f"s{i}_{j}")
+        for i, r in enumerate(rules) for j in range(len(r.parts))
+    ], F.count(F.lit(1)).alias("_shards"))
+    rows = []
+    for i, r in enumerate(rules):
+        seen = r.finish([F.col(f"s{i}_{j}") for j in range(len(r.parts))])
+        rows.append(F.struct(
+            F.lit(i + 1).alias("seq"), F.lit(r.name).alias("rule"), F.lit(r.expected).alias("expected"),
+            seen.cast("string").alias("observed"), F.coalesce(r.passed(seen), F.lit(False)).alias("passed"),
+        ))
+    return merged.select(F.inline(F.array(*rows)))

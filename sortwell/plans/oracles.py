@@ -123,6 +123,14 @@ again AS (
         FROM (SELECT * FROM documents ORDER BY reverse(doc_id::VARCHAR))) r
   JOIN q4 ON r.lang = q4.lang)"""
 
+# The split with another seed; the quotas are the same.
+SP_OTHER = """
+other AS (
+  SELECT doc_id, CASE WHEN rn <= kx THEN 'test' WHEN rn <= kt THEN 'validation' ELSE 'train' END AS split
+  FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY md5('43:' || doc_id), doc_id) AS rn
+        FROM documents) r
+  JOIN q4 ON r.lang = q4.lang)"""
+
 PRED = """
 p AS (
   SELECT quality AS truth,
@@ -223,12 +231,12 @@ ORACLES: dict[str, str] = {
     " min(doc_id) OVER (PARTITION BY md5(text)) AS first_key FROM documents) WHERE doc_id <> first_key",
     "duplicate_keys": "SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1",
     # profiles
-    "table_profile": _with(LABELLED)
-    + "SELECT count(*) AS n_rows, 6::INTEGER AS n_columns, 'doc_id,lang,source,n_chars,quality,toxic' AS columns FROM lab",
-    "null_counts": _with(LABELLED)
+    "table_profile": "SELECT count(*) AS n_rows, 7::INTEGER AS n_columns,"
+    " 'doc_id,text,lang,source,n_chars,quality,toxic' AS columns FROM documents LEFT JOIN labels USING (doc_id)",
+    "null_counts": "WITH lab AS (SELECT * FROM documents LEFT JOIN labels USING (doc_id))"
     + " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM lab"
-        for c in ("doc_id", "lang", "source", "n_chars", "quality", "toxic")
+        f" SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM lab"
+        for c in ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic")
     ),
     "class_counts": "SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang",
     "class_percentages": _with(LABELLED)
@@ -416,6 +424,14 @@ ORACLES: dict[str, str] = {
           UNION ALL SELECT * FROM (SELECT doc_id, lang, split FROM again EXCEPT ALL SELECT doc_id, lang, split FROM sp))""",
     )
     + _rule("determinism", "0", "count(*)", "count(*) = 0", "diff"),
+    "determinism_diff": _with(SP, SP_OTHER)
+    + "SELECT sp.doc_id, count(*) AS n_first, count(*) AS n_second FROM sp JOIN other USING (doc_id)"
+    " WHERE sp.split <> other.split GROUP BY sp.doc_id",
+    "bucket_fingerprints": "SELECT count(*) AS n_rows, count(*) AS n_again, true AS equal FROM lineitem",
+    "split_overlap_new_keys": _with(
+        SP, "k AS (SELECT DISTINCT md5(text) AS h, split, doc_id % 5 = 0 AS new FROM sp JOIN documents USING (doc_id))"
+    )
+    + "SELECT o.split, count(DISTINCT o.h) AS n_shared FROM k o JOIN k n ON n.h = o.h AND n.new AND NOT o.new GROUP BY o.split",
     "rule_epochs_differ": _with(
         f"a AS (SELECT doc_id, round({_between('angle', -15.0, 15.0)}, 6) AS angle FROM documents)",
         f"b AS (SELECT doc_id, round({_between('angle', -15.0, 15.0, 1)}, 6) AS angle FROM documents)",
@@ -460,3 +476,6 @@ ORACLES["near_duplicates_crowded"] = ORACLES["near_duplicates"]
 ORACLES["exact_duplicates_hot"] = ORACLES["exact_duplicates"]
 ORACLES["preprocess_eval_long"] = ORACLES["preprocess_eval"]
 ORACLES["read_split_csv"] = ORACLES["read_split"]
+
+# The report merged from the states of shards is the report of the whole table.
+ORACLES["validation_report_merged"] = ORACLES["validation_report"]

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sortwell.functions import hashing, vectors
-from sortwell.operators import batches, clusters, duplicates, metrics, neardup, pixels, profile, project
+from sortwell.operators import batches, clusters, duplicates, fingerprint, keyfilter, metrics, neardup, pixels, profile, project
 from sortwell.operators import reconcile, rules, sampling, split
-from sortwell.session import settled, shared_folder
+from sortwell.session import one_row, settled, shared_folder
 from sortwell.sources import tables
 from sortwell.sources.tables import spread
 
@@ -31,7 +31,7 @@ DIGIT_NAMES = [
     "zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine",
 ]
 # Channel constants for the vectors of the embeddings table.
-MEAN, STD = [0.485, 0.456, 0.406], [0.229, 0.224, 0.225]
+MEAN, STD = list(pixels.ImageOptions.mean), list(pixels.ImageOptions.std)
 
 
 def query(fn: Query) -> Query:
@@ -194,12 +194,12 @@ def duplicate_keys(spark, sf):
 
 @query
 def table_profile(spark, sf):
-    return profile.table_profile(labelled(spark, sf))
+    return profile.table_profile(labelled(spark, sf, "*"))
 
 
 @query
 def null_counts(spark, sf):
-    return profile.null_counts(labelled(spark, sf))
+    return profile.null_counts(labelled(spark, sf, "*"))
 
 
 @query
@@ -390,6 +390,20 @@ def split_overlap(spark, sf):
     return split.split_overlap(rows, key="digest")
 
 
+@query
+def split_overlap_new_keys(spark, sf):
+    """A fifth of the documents as new ones: texts that the splits of the others hold already, found by a
+    stored filter of their digests."""
+    rows = split_documents(spark, sf, "text").select("doc_id", hashing.content_digest("text").alias("digest"), "split")
+    is_new = F.pmod("doc_id", F.lit(5)) == 0
+    stored = rows.where(~is_new)
+    bits = keyfilter.bits_for(stored.count())
+    path = shared_folder(spark, "key-filter")
+    keyfilter.key_filter(stored, "digest", bits).write.parquet(path)
+    new = rows.where(is_new).select("digest")
+    return keyfilter.overlap_of_new_keys(new, stored, spark.read.parquet(path), key="digest", split="split", bits=bits)
+
+
 @query
 def split_coverage(spark, sf):
     return split.split_coverage(split_documents(spark, sf), key="doc_id")
@@ -560,6 +574,24 @@ def rule_determinism(spark, sf):
     return rules.determinism(*runs)
 
 
+@query
+def determinism_diff(spark, sf):
+    """Documents whose split changes with the seed of the split, one row each."""
+    docs = documents(spark, sf, "doc_id", "lang")
+    runs = [split.stratified_split(docs, key="doc_id", label="lang", seed=s) for s in (42, 43)]
+    return rules.determinism_diff(*runs, key="doc_id")
+
+
+@query
+def bucket_fingerprints(spark, sf):
+    """Rows per bucket, as all rows of line items are dealt to buckets by their hash, and whether the
+    fingerprints of two partitionings agree."""
+    lines = table(spark, sf, "lineitem")
+    a = fingerprint.table_fingerprint(lines).toDF("n_rows", "fingerprint_a")
+    b = fingerprint.table_fingerprint(lines.repartition(5, "l_partkey")).toDF("n_again", "fingerprint_b")
+    return one_row(a, b).select("n_rows", "n_again", (F.col("fingerprint_a") == F.col("fingerprint_b")).alias("equal"))
+
+
 @query
 def rule_epochs_differ(spark, sf):
     """Augmentation draws of two epochs: the rows that are not in both."""
@@ -571,23 +603,36 @@ def rule_epochs_differ(spark, sf):
     return rules.determinism(*draws, name="epochs_differ", equal=False)
 
 
+def document_rules(docs: DataFrame) -> list[rules.Rule]:
+    return [
+        rules.required_columns(docs, ["doc_id", "text", "lang", "source"]),
+        rules.column_type(docs, "quality", "int"),
+        rules.not_null("lang"),
+        rules.not_null("quality"),
+        rules.row_count(1000),
+        rules.vocabulary("lang", LANGS),
+        rules.vocabulary("quality", [0, 1], ignore_nulls=True),
+        rules.vocabulary("quality", [0, 1], mode="subset"),
+        rules.label_range("toxic", 2),
+    ]
+
+
 @query
 def validation_report(spark, sf):
     docs = labelled(spark, sf, "doc_id", "text", "lang", "source", "n_chars")
-    return rules.validation_report(
-        docs,
-        [
-            rules.required_columns(docs, ["doc_id", "text", "lang", "source"]),
-            rules.column_type(docs, "quality", "int"),
-            rules.not_null("lang"),
-            rules.not_null("quality"),
-            rules.row_count(1000),
-            rules.vocabulary("lang", LANGS),
-            rules.vocabulary("quality", [0, 1], ignore_nulls=True),
-            rules.vocabulary("quality", [0, 1], mode="subset"),
-            rules.label_range("toxic", 2),
-        ],
-    )
+    return rules.validation_report(docs, document_rules(docs))
+
+
+@query
+def validation_report_merged(spark, sf):
+    """The same report from the stored states of four shards, the last of them appended later."""
+    docs = labelled(spark, sf, "doc_id", "text", "lang", "source", "n_chars")
+    path = shared_folder(spark, "rule-states")
+    for shards in ([0, 1, 2], [3]):
+        for shard in shards:
+            own = docs.where(F.pmod("doc_id", F.lit(4)) == shard)
+            rules.rule_states(own, document_rules(docs)).write.mode("append").parquet(path)
+    return rules.merged_report(spark.read.parquet(path), document_rules(docs))
 
 
 # --- metrics --------------------------------------------------------------------------------
