@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -79,3 +79,29 @@ def batch_summary(df: DataFrame, *, split: str, batch_size: int = 32) -> DataFra
         .withColumn("n_batches", F.ceil(n / b).cast("bigint"))
         .withColumn("last_batch", n - (F.col("n_batches") - 1) * b)
     )
+
+
+def write_batches(
+    df: DataFrame, path: str, *, key: str, batch_size: int = 32, batches_per_shard: int = 64,
+    shuffle: bool = False, seed: int = 42, epoch: int = 0, max_shards: int = 100_000,
+) -> None:
+    """Write rows with their position and batch_id in shards of whole batches.
+
+    Shard s holds batches s * batches_per_shard to the next shard's first one, in one folder and in order
+    of position, so a reader that streams a shard's files gets its batches one after another. Rows go
+    straight to the task of their shard (`repartitionById`), which has a bounded number of them.
+    """
+    if batches_per_shard <= 0:
+        raise ValueError(f"a shard needs at least one batch, not {batches_per_shard}")
+    placed = assign_batches(df, key=key, batch_size=batch_size, shuffle=shuffle, seed=seed, epoch=epoch)
+    shard = F.floor(F.col("batch_id") / F.lit(batches_per_shard)).cast("int")
+    shards = -(-df.count() // (batch_size * batches_per_shard))
+    dealt = df.join(placed, key).withColumn("shard", shard).repartitionById(max(1, min(shards, max_shards)), "shard")
+    dealt.sortWithinPartitions("shard", "position").write.mode("overwrite").partitionBy("shard").parquet(path)
+
+
+def resume_batches(spark: SparkSession, path: str, *, batch_id: int, batches_per_shard: int = 64) -> DataFrame:
+    """The rows of batch `batch_id` and all after it. Only shards from its own on are listed and read."""
+    rows = spark.read.parquet(path)
+    first = batch_id // batches_per_shard
+    return rows.where((F.col("shard") >= first) & (F.col("batch_id") >= batch_id))

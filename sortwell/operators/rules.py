@@ -203,6 +203,19 @@ def required_fields(df: DataFrame, record: str, fields: list[str]) -> DataFrame:
     return validation_report(df, rules).drop("seq")
 
 
+def field_types(df: DataFrame, record: str, types: dict[str, str]) -> DataFrame:
+    """Fields of VARIANT records have these types, as `schema_of_variant` names them (BIGINT, STRING,
+    ARRAY<STRING>, OBJECT<...>), at any depth (`a.b`).
+
+    One row per field with the number of records that lack it, or hold null or another type.
+    """
+    rules = []
+    for name, kind in types.items():
+        found = F.schema_of_variant(F.try_variant_get(record, f"$.{name}", "variant"))
+        rules.append(_zero(f"field_type:{name}:{kind}", ~F.coalesce(found == kind, F.lit(False))))
+    return validation_report(df, rules).drop("seq")
+
+
 def determinism(first: DataFrame, second: DataFrame, *, name: str = "determinism", equal: bool = True) -> DataFrame:
     """Two runs of a job hold the same rows (`equal`), or differ.
 

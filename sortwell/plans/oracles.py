@@ -104,6 +104,15 @@ gsp AS (
   SELECT doc_id, lang, cluster, CASE WHEN s < kx THEN 'test' WHEN s < kt THEN 'validation' ELSE 'train' END AS split
   FROM member JOIN started ON started.grp = member.grp LEFT JOIN (SELECT doc_id AS id, cluster FROM clustered) ON id = doc_id)"""
 
+# Files of four kinds, made from embeddings: sizes of their segments added up.
+FILES = """SELECT vec_id, vec_id % 4 AS k, printf('%010d.img', vec_id) AS key,
+  (CASE vec_id % 4 WHEN 0 THEN 8 + 25 + 95 + 12 WHEN 1 THEN 2 + 4 + vec_id % 7 + 13 + 2 WHEN 2 THEN 8 + 25 + 95 ELSE 64 END)::BIGINT AS length
+FROM embeddings"""
+
+# Training batches of 32 in shards of four batches.
+BATCHES = """SELECT doc_id, lang, position, position // 32 AS batch_id, (position // 128)::INTEGER AS shard
+FROM (SELECT doc_id, lang, row_number() OVER (ORDER BY md5('42:0:' || doc_id), doc_id) - 1 AS position FROM documents)"""
+
 LABELLED = """
 lab AS (SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
@@ -329,6 +338,33 @@ ORACLES: dict[str, str] = {
     " FROM g FULL JOIN n ON n.split = g.split AND n.lang = g.label",
     "sample_per_class": "SELECT vec_id, label, place::INTEGER AS place FROM (SELECT vec_id, label,"
     " row_number() OVER (PARTITION BY label ORDER BY md5('42:' || vec_id), vec_id) AS place FROM embeddings) WHERE place <= 8",
+    "scan_manifest": "SELECT doc_id, quality FROM labels WHERE doc_id % 10 NOT IN (3, 5, 7)",
+    "manifest_rejects": "SELECT CASE doc_id % 10 WHEN 3 THEN doc_id || ',high' WHEN 5 THEN doc_id || ',' || quality || ',x'"
+    " ELSE doc_id::VARCHAR END AS line, CASE doc_id % 10 WHEN 3 THEN 'quality is no int: high' WHEN 5 THEN 'too many fields'"
+    " ELSE 'too few fields' END AS reason FROM labels WHERE doc_id % 10 IN (3, 5, 7)",
+    "write_table": "SELECT * FROM documents",
+    "table_versions": "SELECT 1::BIGINT AS version, count(*) FILTER (WHERE doc_id % 3 <> 0) AS n_rows FROM documents"
+    " UNION ALL SELECT 2, count(*) FROM documents",
+    "write_batches": BATCHES,
+    "resume_batches": f"SELECT * FROM ({BATCHES}) WHERE batch_id >= 13",
+    "scan_image_files": f"SELECT key, length, ((sum(length) OVER (ORDER BY key) - length) // 4096)::INTEGER AS shard FROM ({FILES})",
+    "image_integrity": "SELECT key, length, CASE k WHEN 1 THEN 'JPEG' WHEN 3 THEN NULL ELSE 'PNG' END AS format,"
+    " (CASE k WHEN 1 THEN 16 + vec_id % 100 WHEN 3 THEN NULL ELSE 8 END)::INTEGER AS width,"
+    " (CASE k WHEN 1 THEN 8 + vec_id % 50 WHEN 3 THEN NULL ELSE 8 END)::INTEGER AS height,"
+    f" CASE k WHEN 2 THEN 'incomplete file' WHEN 3 THEN 'unknown format' END AS error FROM ({FILES})",
+    "registry_tables": "SELECT s_suppkey AS key, s_name AS source_dataset,"
+    " CASE WHEN s_nationkey <> 7 THEN s_suppkey END AS account_number,"
+    " CASE WHEN s_nationkey <> 3 THEN 'owner of ' || s_name END AS first_owner FROM supplier",
+    "rule_field_types_nested": " UNION ALL ".join([
+        _none("field_type:source_dataset:STRING", "s_name IS NULL", "supplier"),
+        _none("field_type:account.number:BIGINT", "s_nationkey = 7", "supplier"),
+        _none("field_type:account.as_text:STRING", "s_nationkey <> 7", "supplier"),
+        _none("field_type:original_owner:ARRAY<STRING>", "s_nationkey = 3", "supplier"),
+    ]),
+    "rule_field_types": " UNION ALL ".join([
+        _none("field_type:k:BIGINT", "coalesce(json_type(props, '$.k') NOT IN ('UBIGINT', 'BIGINT'), true)", "events"),
+        _none("field_type:v:STRING", "coalesce(json_type(props, '$.v') <> 'VARCHAR', true)", "events"),
+    ]),
     "assign_batches": "SELECT doc_id, position, position // 32 AS batch_id, train_position, train_position // 32 AS train_batch_id"
     " FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS position,"
     " row_number() OVER (ORDER BY md5('42:0:' || doc_id), doc_id) - 1 AS train_position FROM documents)",

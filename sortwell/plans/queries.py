@@ -11,7 +11,7 @@ from sortwell.functions import hashing, vectors
 from sortwell.operators import batches, clusters, duplicates, fingerprint, keyfilter, metrics, neardup, pixels, profile, project
 from sortwell.operators import reconcile, rules, sampling, split
 from sortwell.session import one_row, settled, shared_folder
-from sortwell.sources import tables
+from sortwell.sources import packed, tables, versions
 from sortwell.sources.tables import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -352,6 +352,99 @@ def label_map_entries(spark, sf):
     )
 
 
+# --- manifests and committed tables ----------------------------------------------------------
+
+
+MANIFEST = "doc_id bigint, quality int"
+
+
+def manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels of documents as CSV lines in the shared folder, three tenths of them at fault, read back."""
+    key = F.col("doc_id").cast("string")
+    last = F.pmod("doc_id", F.lit(10))
+    line = (
+        F.when(last == 3, F.concat(key, F.lit(",high")))
+        .when(last == 5, F.concat_ws(",", key, F.col("quality").cast("string"), F.lit("x")))
+        .when(last == 7, key)
+        .otherwise(F.concat_ws(",", key, F.col("quality").cast("string")))
+    )
+    path = shared_folder(spark, "manifest")
+    table(spark, sf, "labels").select(line.alias("value")).write.text(path)
+    return tables.read_manifest(spark, path, MANIFEST, header=False)
+
+
+@query
+def scan_manifest(spark, sf):
+    return tables.good_rows(manifest(spark, sf))
+
+
+@query
+def manifest_rejects(spark, sf):
+    return tables.manifest_rejects(manifest(spark, sf)).select("line", "reason")
+
+
+@query
+def write_table(spark, sf):
+    """All documents but a third as version 1, all as version 2, and version 3 without its commit."""
+    docs = documents(spark, sf)
+    path = f"{shared_folder(spark, 'versions')}/documents"
+    versions.write_version(docs.where(F.pmod("doc_id", F.lit(3)) != 0), path)
+    versions.write_version(docs, path, partition_by=("lang",))
+    docs.where("lang = 'en'").write.parquet(f"{path}/v00000003-unfinished")
+    return versions.read_version(spark, path, check=True)
+
+
+@query
+def table_versions(spark, sf):
+    """Rows of each committed version of the same table."""
+    docs = documents(spark, sf, "doc_id", "lang")
+    path = f"{shared_folder(spark, 'versions')}/documents"
+    versions.write_version(docs.where(F.pmod("doc_id", F.lit(3)) != 0), path)
+    versions.write_version(docs, path)
+    return versions.commits(spark, path).select("version", "n_rows")
+
+
+def registries(spark: SparkSession, sf: str) -> DataFrame:
+    """key, record: registry files of up to 20 suppliers each, as nested records; accounts of one nation are
+    texts and suppliers of one nation have no owner."""
+    balance = F.col("s_acctbal").cast("double")
+    record = F.to_json(F.struct(
+        F.col("s_name").alias("source_dataset"),
+        F.struct(
+            F.when(F.col("s_nationkey") == 7, F.format_string("%.2f", balance)).alias("as_text"),
+            F.when(F.col("s_nationkey") != 7, F.col("s_suppkey")).alias("number"),
+        ).alias("account"),
+        F.when(F.col("s_nationkey") != 3, F.array(F.concat(F.lit("owner of "), F.col("s_name")))).alias("original_owner"),
+    ))
+    entry = F.concat(F.lit('"'), F.col("s_suppkey").cast("string"), F.lit('": '), record)
+    some = F.floor(F.col("s_suppkey") / 20)
+    files = table(spark, sf, "supplier").groupBy(some.alias("file")).agg(F.array_join(F.array_sort(F.collect_list(entry)), ", ").alias("entries"))
+    text = F.concat(F.lit('{"datasets": {'), F.col("entries"), F.lit("}}"))
+    path = shared_folder(spark, "registries")
+    files.select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return tables.registry_entries(spark, path)
+
+
+@query
+def registry_tables(spark, sf):
+    fields = {"source_dataset": "string", "account.number": "bigint", "original_owner": "array<string>"}
+    found = tables.typed_registry(registries(spark, sf), fields)
+    return found.select(F.col("key").cast("bigint").alias("key"), "source_dataset", "account_number", F.get("original_owner", F.lit(0)).alias("first_owner"))
+
+
+@query
+def rule_field_types_nested(spark, sf):
+    types = {"source_dataset": "STRING", "account.number": "BIGINT", "account.as_text": "STRING", "original_owner": "ARRAY<STRING>"}
+    return rules.field_types(registries(spark, sf), "record", types)
+
+
+@query
+def rule_field_types(spark, sf):
+    """Types of the properties of all events."""
+    events = table(spark, sf, "events").select(F.try_parse_json("props").alias("record"))
+    return rules.field_types(events, "record", {"k": "BIGINT", "v": "STRING"})
+
+
 # --- splits, samples, batches ---------------------------------------------------------------
 
 
@@ -437,6 +530,24 @@ def assign_batches(spark, sf):
     )
 
 
+def batch_files(spark: SparkSession, sf: str) -> str:
+    """The training batches of all documents, written in shards of four batches."""
+    path = f"{shared_folder(spark, 'batches')}/epoch-0"
+    docs = documents(spark, sf, "doc_id", "lang")
+    batches.write_batches(docs, path, key="doc_id", batch_size=32, batches_per_shard=4, shuffle=True)
+    return path
+
+
+@query
+def write_batches(spark, sf):
+    return spark.read.parquet(batch_files(spark, sf))
+
+
+@query
+def resume_batches(spark, sf):
+    return batches.resume_batches(spark, batch_files(spark, sf), batch_id=13, batches_per_shard=4)
+
+
 @query
 def batch_summary(spark, sf):
     return batches.batch_summary(split_documents(spark, sf), split="split", batch_size=32)
@@ -482,6 +593,58 @@ def pictures(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def chunk(kind: str, data: Column) -> Column:
+    """A PNG chunk in hexadecimal: length, kind, data and their checksum."""
+    body = F.concat(F.lit(kind.encode().hex().upper()), data)
+    size = F.lpad(F.hex(F.octet_length(data) / 2), 8, "0")
+    return F.concat(size, body, F.lpad(F.hex(F.crc32(F.unhex(body))), 8, "0"))
+
+
+def picture_files(spark: SparkSession, sf: str) -> DataFrame:
+    """key, length, content: embeddings as files of four kinds, by number: a grey PNG of 8 x 8 pixels, the
+    headers of a JPEG behind a segment of some length, a PNG without its end, and other bytes."""
+    pixels_of = F.transform("embedding", lambda x: F.least(F.greatest(F.floor(F.lit(128.0) + F.lit(64.0) * x.cast("double")), F.lit(0)), F.lit(255)))
+    rows = table(spark, sf, "embeddings").select("vec_id", pixels_of.alias("p"))
+    two = lambda v: F.lpad(F.hex(v), 2, "0")
+    # Each of the 8 lines has a byte for its filter before its pixels, 72 bytes in all.
+    lines = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda r: F.concat(
+        F.lit("00"), F.array_join(F.transform(F.slice("p", r * 8 + 1, 8), two), "")))
+    ones = F.aggregate("p", F.lit(1).cast("bigint"), lambda total, v: total + v)
+    place = lambda i: F.lit(72) - F.lit(9) * F.floor(i / 8) - 1 - i % 8
+    weighed = F.aggregate(F.transform("p", lambda v, i: v * place(i)), F.lit(72).cast("bigint"), lambda total, v: total + v)
+    check = F.concat(F.lpad(F.hex(weighed % 65521), 4, "0"), F.lpad(F.hex(ones % 65521), 4, "0"))
+    stored = F.concat(F.lit("7801014800B7FF"), F.array_join(lines, ""), check)
+    head = F.concat(F.lit(packed.PNG_SIGNATURE.hex().upper()), chunk("IHDR", F.lit("00000008000000080800000000")))
+    open_png = F.concat(head, chunk("IDAT", stored))
+    size = F.concat(F.lpad(F.hex(8 + F.col("vec_id") % 50), 4, "0"), F.lpad(F.hex(16 + F.col("vec_id") % 100), 4, "0"))
+    more = (F.col("vec_id") % 7).cast("int")
+    segment = F.concat(F.lit("FFE0"), F.lpad(F.hex(2 + more), 4, "0"), F.repeat(F.lit("FF"), more))
+    jpeg = F.concat(F.lit("FFD8"), segment, F.lit("FFC0000B08"), size, F.lit("01011100FFD9"))
+    kind = F.col("vec_id") % 4
+    content = (
+        F.when(kind == 0, F.concat(open_png, chunk("IEND", F.lit("")))).when(kind == 1, jpeg).when(kind == 2, open_png)
+        .otherwise(F.array_join(F.transform("p", two), ""))
+    )
+    files = rows.select(F.format_string("%010d.img", "vec_id").alias("key"), F.unhex(content).alias("content"))
+    return files.select("key", F.octet_length("content").cast("bigint").alias("length"), "content")
+
+
+def packed_pictures(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_folder(spark, "pictures")
+    packed.pack_files(picture_files(spark, sf), path, target_bytes=4096)
+    return packed.packed_files(spark, path)
+
+
+@query
+def scan_image_files(spark, sf):
+    return packed_pictures(spark, sf).select("key", "length", "shard")
+
+
+@query
+def image_integrity(spark, sf):
+    return packed.header_integrity(packed_pictures(spark, sf))
+
+
 @query
 def image_hash64(spark, sf):
     return pixels.image_hash64(pictures(spark, sf), key="vec_id")

@@ -26,6 +26,49 @@ def scan_manifest(spark: SparkSession, path: str, schema: str = MANIFEST_SCHEMA)
     return reader.csv(path)
 
 
+CORRUPT = "_corrupt"
+
+
+def read_manifest(spark: SparkSession, path: str, schema: str = MANIFEST_SCHEMA, *, header: bool = True) -> DataFrame:
+    """One read of a CSV: the columns of `schema`, and `_file`, `_line` and `_reason` of rows that don't fit.
+
+    These three are null for good rows. The reason names the first column whose text is not of its type,
+    or the number of fields. Empty lines are passed over, and with `header` lines that name the columns; a
+    header with other names is a row that doesn't fit. A record is one line.
+    """
+    typed = T.StructType.fromDDL(schema)
+    columns = [f.name for f in typed]
+    lines = spark.read.text(path).select(F.col("value"), F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"))
+    passed_over = ["", ",".join(columns)] if header else [""]
+    lines = lines.where(~F.trim("value").isin(*passed_over))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    fields = F.from_csv("value", ", ".join(f"f{i} string" for i in range(len(columns) + 1)))
+    parsed = lines.select("value", "file", F.from_csv("value", f"{schema}, {CORRUPT} string", options).alias("r"), fields.alias("t"))
+    reason = F.when(F.col(f"t.f{len(columns)}").isNotNull(), F.lit("too many fields"))
+    for i, f in enumerate(typed):
+        text = F.col(f"t.f{i}")
+        wrong = text.isNotNull() & text.try_cast(f.dataType).isNull()
+        reason = reason.when(wrong, F.concat(F.lit(f"{f.name} is no {f.dataType.simpleString()}: "), text))
+    bad = F.col(f"r.{CORRUPT}").isNotNull()
+    return parsed.select(
+        *[F.when(~bad, F.col(f"r.{c}")).alias(c) for c in columns],
+        F.when(bad, F.col("file")).alias("_file"), F.when(bad, F.col("value")).alias("_line"),
+        F.when(bad, reason.otherwise(F.lit("too few fields"))).alias("_reason"),
+    )
+
+
+def good_rows(read: DataFrame) -> DataFrame:
+    """The rows of `read_manifest` that fit the schema."""
+    return read.where(F.col("_line").isNull()).drop("_file", "_line", "_reason")
+
+
+def manifest_rejects(read: DataFrame) -> DataFrame:
+    """file, line and reason of the rows that don't; the good ones are not lost with them."""
+    return read.where(F.col("_line").isNotNull()).select(
+        F.col("_file").alias("file"), F.col("_line").alias("line"), F.col("_reason").alias("reason")
+    )
+
+
 def parse_label_map(df: DataFrame, json_col: str) -> DataFrame:
     """JSON objects with integer-like keys to rows (source_label, name)."""
     entries = F.from_json(F.col(json_col), "map<string,string>")
@@ -103,6 +146,35 @@ def dataset_registry(spark: SparkSession, path: str) -> DataFrame:
     return small_table(spark, rows, f"{REGISTRY_SCHEMA}, record string")
 
 
+def registry_entries(spark: SparkSession, path: str, under: str = "datasets") -> DataFrame:
+    """key, record (VARIANT) for each entry of the object `under` in JSON registry files.
+
+    Records keep their own fields and types at any depth; `typed_registry` and `rules.field_types` ask the
+    engine for them, and nothing is parsed in the driver.
+    """
+    files = spark.read.text(path, wholetext=True)
+    return registry_rows(files, "value", under)
+
+
+def registry_rows(df: DataFrame, json_col: str, under: str) -> DataFrame:
+    """key, record (VARIANT) for each entry of the object `under` in JSON texts; others give no row."""
+    whole = F.try_variant_get(F.try_parse_json(json_col), f"$.{under}", "map<string,variant>")
+    return df.select(F.explode(whole).alias("key", "record"))
+
+
+def typed_registry(entries: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """key and one typed column per field (its name may be a path, `a.b`); null where a record lacks the
+    field or holds another type that does not fit."""
+    return entries.select(
+        "key", *[F.try_variant_get("record", f"$.{name}", kind).alias(name.replace(".", "_")) for name, kind in fields.items()]
+    )
+
+
+def registry_schema(entries: DataFrame) -> DataFrame:
+    """One row: the schema that all records fit together, as DDL, from one aggregation."""
+    return entries.agg(F.schema_of_variant_agg("record").alias("schema"))
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Overwrite `path`; CSV gets a header."""
     writer = df.write.mode("overwrite")

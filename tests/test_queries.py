@@ -7,7 +7,7 @@ from conftest import plan_of
 import __spark_entry__ as entry
 from sortwell.plans.queries import QUERIES
 
-TABLES = "part orders lineitem events documents embeddings labels".split()
+TABLES = "supplier part orders lineitem events documents embeddings labels".split()
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +36,7 @@ def test_entry_runs(spark):
     assert entry.entry(spark).columns == ["key_a", "key_b", "hash_distance"]
 
 
-PIXEL_QUERIES = {"image_hash64", "preprocess_eval", "preprocess_eval_long"}
+PIXEL_QUERIES = {"image_hash64", "image_integrity", "preprocess_eval", "preprocess_eval_long"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - PIXEL_QUERIES))
