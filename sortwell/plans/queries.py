@@ -651,26 +651,30 @@ def image_hash64(spark, sf):
 
 
 def model_inputs(spark: SparkSession, sf: str, **options) -> DataFrame:
-    """Statistics of the 3 x 224 x 224 model input of every picture."""
+    """The 3 x 224 x 224 model input of every picture."""
     rows = table(spark, sf, "embeddings").select("vec_id", "label")
-    inputs = pixels.preprocess_eval(
+    return pixels.preprocess_eval(
         rows, pictures(spark, sf), split="test", key="vec_id", files=rows.select("vec_id"), **options
     )
-    stats = inputs.select("vec_id", "label", F.size("vec").alias("n"), vectors.vector_stats("vec").alias("s"))
-    return stats.select(
-        "vec_id", "label", "n", *[r6(F.col(f"s.{c}")).alias(f"{c}_value") for c in ("min", "max", "mean", "std")]
+
+
+def four_stats(inputs: DataFrame, n: Column, stats: str) -> DataFrame:
+    return inputs.select(
+        "vec_id", "label", n.alias("n"), *[r6(F.col(f"{stats}.{c}")).alias(f"{c}_value") for c in ("min", "max", "mean", "std")]
     )
 
 
 @query
 def preprocess_eval(spark, sf):
-    return model_inputs(spark, sf)
+    """Statistics of the model inputs, made with them."""
+    return four_stats(model_inputs(spark, sf, stats=True), F.col("stats.n"), "stats")
 
 
 @query
 def preprocess_eval_long(spark, sf):
-    """The same by the way for manifests above the broadcast bound."""
-    return model_inputs(spark, sf, max_broadcast_rows=0)
+    """The same from the vectors, by the way for manifests above the broadcast bound."""
+    inputs = model_inputs(spark, sf, max_broadcast_rows=0).withColumn("s", vectors.vector_stats("vec"))
+    return four_stats(inputs, F.size("vec"), "s")
 
 
 # --- rules ----------------------------------------------------------------------------------
