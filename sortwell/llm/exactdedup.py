@@ -4,8 +4,8 @@ A text counts with every run of white space replaced by one space; null is empty
 the key. The directory starts with one bucket and doubles as long as a bucket is overfull: that
 bucket splits on the next bit of its keys, the others keep their depth. It is built from one count
 per key prefix, so its size is fixed by `MAX_DEPTH`. Before the shuffle every task collapses the
-equal texts it has read, so a group of copies sends one row per task. An owner task gets all keys of
-its buckets in order; keys that collide are chained, and texts are compared byte by byte. It writes
+equal texts it has read, so a group of copies sends one row per task. Bucket k is owned
+by task k, which gets all keys of its range in order; keys that collide are chained, and texts are compared byte by byte. It writes
 one index row per different text (bucket, key, sha256, smallest id, group size) to the shared
 folder; documents look their group up there. Groups of more than a thousandth of all rows, less
 than a thousand of them, are broadcast for that; the others are joined.
@@ -145,7 +145,8 @@ def build_index(docs: DataFrame, keys: DataFrame, key: str, bucket_bytes: int, m
     entries = docs.select(F.xxhash64(text).alias("h"), text.alias("text"), F.col(key)).mapInArrow(
         combine, f"bucket int, h bigint, text string, id {id_name}, n bigint"
     )
-    owned = entries.repartition(max(1, len(first)), "bucket").sortWithinPartitions("bucket", "h")
+    # Bucket k goes to task k, so every owner has one range of keys.
+    owned = entries.repartitionById(max(1, len(first)), "bucket").sortWithinPartitions("bucket", "h")
     index = owned.withColumn("sha", F.unhex(F.sha2("text", 256))).mapInArrow(
         own, f"bucket int, h bigint, sha binary, keep_id {id_name}, group_size bigint"
     )

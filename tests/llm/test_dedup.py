@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from odd import jaccard_components, no_documents, odd_documents, odd_rows
 
 from sortwell.llm import exactdedup, jaccard_join
@@ -39,6 +40,19 @@ def test_exact_groups_of_whole_table(spark, sf):
     assert sorted(map(tuple, exactdedup.exact_groups(docs).collect()), key=str) == want
 
 
+def test_every_owner_has_one_range_of_keys(spark):
+    """300 buckets of texts: a file of the index holds one bucket, and ranges don't overlap."""
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text number "), "id").alias("text"))
+    text = exactdedup.normalised()
+    keys = docs.select("doc_id", F.xxhash64(text).alias("h"), F.unhex(F.sha2(text, 256)).alias("sha"), F.octet_length(text).alias("size"))
+    index, total = exactdedup.build_index(docs, keys, "doc_id", 200, 12)
+    top = F.shiftrightunsigned("h", 1)
+    files = index.groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        F.count_distinct("bucket").alias("buckets"), F.min(top).alias("low"), F.max(top).alias("high")).orderBy("low").collect()
+    assert total == 3000 and len(files) > 200 and {r.buckets for r in files} == {1}
+    assert all(a.high < b.low for a, b in zip(files, files[1:]))
+
+
 def test_exact_empty(spark):
     assert exactdedup.exact_groups(no_documents(spark)).count() == 0
     kept = exactdedup.without_copies(odd_documents(spark))
