@@ -1,14 +1,16 @@
 """Personal data by weak supervision.
 
 Base patterns are reported as they are. Wider patterns only give candidates, which a span
-classifier accepts or rejects. Its training needs no labels: five labelers (strict pattern,
-gazetteer, context words, borders, plausible length) vote yes, no or abstain on every span of the
-corpus, failed base matches included. Votes are counted per combination in Spark, at most 3^5 rows
-whatever the corpus; expectation-maximisation on these counts estimates how reliable each labeler is
-and how likely each combination marks personal data. A logistic classifier on the spans' own
-features is then fitted to these probabilities, again on counts per combination of features
-(`MAX_COMBINATIONS` at most, by construction). Both fits are loops over these bounded tables; all
-passes over texts and spans are DataFrame functions.
+classifier accepts or rejects. Its training needs no labels by hand: matches of base patterns whose check
+passes (Luhn, byte ranges, numbers of digits, the strict form of an address) are known to be personal
+data, those whose check fails are known not to be, and candidates are open. Four labelers (gazetteer,
+context words, borders, plausible length) vote yes, no or abstain on every one of them. Votes are counted
+per combination in Spark, at most 3 * 3^4 rows whatever the corpus; expectation-maximisation on these
+counts, in which the known ones keep their class, estimates how reliable each labeler is and how likely
+each combination marks personal data. A logistic classifier on the spans' own features is then fitted to
+these probabilities, again on counts per combination of features (`MAX_COMBINATIONS` at most, by
+construction). Both fits are loops over these bounded tables; all passes over texts and spans are
+DataFrame functions.
 
 Defined results: null counts as empty; without spans nothing is fitted and nothing added; repeated
 rows are searched, counted and reported one by one. Only doc_id and text are read.
@@ -42,10 +44,16 @@ DIALLING = r"^\+(1|7|20|27|3[0-469]|4[0-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])"
 ACCOUNTS = r"^(AT|BE|CH|DE|DK|ES|FI|FR|GB|IE|IT|LU|NL|NO|PL|PT|SE)[0-9]{2}"
 CUES = r"(?i)\b(e-?mail|mail|contact|call|phone|tel|fax|mobile|reach|write|from|server|host|address|card|visa|account|iban|dear|name|signed|correo|courriel|telefon|kontakt)\b"
 COUNTER_CUES = r"(?i)\b(version|release|chapter|section|page|figure|table|isbn|order|article|item|no|number|rev)\b\.?\x20?$"
+# Common given names and family names.
+NAMES = (
+    "Anna|Carlos|Carmen|Claire|Daniel|David|Elena|Emma|Frank|Hans|Isabel|James|Jan|Jane|Jean|John|Jose|Juan|Julia|Karl|"
+    "Laura|Linda|Luis|Maria|Marie|Mark|Martin|Mary|Michael|Paul|Peter|Pierre|Robert|Sarah|Sophie|Susan|Thomas|William|"
+    "Becker|Bernard|Brown|Dubois|Fischer|Garcia|Johnson|Jones|Lopez|Martinez|Meyer|Miller|Moreau|Petit|Roe|Schmidt|Smith|Weber|Williams"
+)
 # Plausible lengths of each kind.
 LENGTHS = {"email": (6, 64), "ip": (7, 15), "card": (12, 23), "phone": (9, 22), "spelt_email": (8, 80),
            "number": (8, 18), "iban": (15, 42), "name": (5, 70)}
-LABELERS = 5
+LABELERS = 4
 ROUNDS = 60
 # Kind, length, digits, context, border before, border after: the features and their numbers of values.
 FEATURES = (len(KINDS), 5, 4, 3, 4, 4)
@@ -90,7 +98,8 @@ def border(side: str, last: bool) -> Column:
 
 
 def with_votes(spans: DataFrame) -> DataFrame:
-    """Adds votes (array of -1, 0, 1) and features (array of small numbers) to located spans."""
+    """Adds anchor (1 personal, 0 not, -1 open), votes (array of -1, 0, 1) and features (array of small
+    numbers) to located spans."""
     match, size = F.col("match"), F.length("match")
     base = F.col("kind").isin(BASE)
     known = by_kind({
@@ -99,15 +108,16 @@ def with_votes(spans: DataFrame) -> DataFrame:
         "phone": vote(match.rlike(DIALLING), ~match.rlike(DIALLING)),
         "iban": vote(match.rlike(ACCOUNTS), ~match.rlike(ACCOUNTS)),
         "ip": vote(F.lit(False), match.rlike(r"^(0|127|255)\.")),
-        "name": F.lit(1),
+        "name": vote(match.rlike(rf"\b({NAMES})\b"), F.lit(False)),
     }, F.lit(0))
     low = by_kind({k: F.lit(v[0]) for k, v in LENGTHS.items()}, F.lit(0))
     high = by_kind({k: F.lit(v[1]) for k, v in LENGTHS.items()}, F.lit(0))
     left, right = border("before", True), border("after", False)
     share = F.length(digits(match)) / size
     return spans.withColumns({
+        "anchor": F.when(base, F.col("holds").cast("int")).otherwise(-1),
         "votes": F.array(
-            vote(base & F.col("holds"), base & ~F.col("holds")), known, context_vote(),
+            known, context_vote(),
             vote((left <= 1) & (right <= 1), (left >= 2) | (right >= 2)), vote(size.between(low, high), ~size.between(low, high)),
         ),
         "features": F.array(
@@ -119,32 +129,31 @@ def with_votes(spans: DataFrame) -> DataFrame:
     })
 
 
-def reliabilities(counts: dict[tuple[int, ...], int]) -> tuple[float, list, dict[tuple[int, ...], float]]:
-    """Prior, vote probabilities [labeler][class][vote] and the probability of each combination.
+def reliabilities(counts: dict[tuple[int, tuple[int, ...]], int]) -> tuple[list, dict[tuple[int, tuple[int, ...]], float]]:
+    """Vote probabilities [labeler][class][vote] and the probability of each (anchor, votes).
 
-    Expectation-maximisation for a two-class model whose labelers err independently.
+    Expectation-maximisation for a two-class model whose labelers err independently. Spans whose anchor is
+    0 or 1 are of that class throughout, and the first estimate is theirs alone. The share of personal data
+    among open spans stays at one half: it can't be learned from spans with an anchor, which are of other
+    kinds, and left free it would drift to whatever most open spans are. An abstaining labeler says nothing.
     """
-    total = sum(counts.values())
-    prior = 0.5
-    start = ({-1: 0.5, 0: 0.3, 1: 0.2}, {-1: 0.1, 0: 0.3, 1: 0.6})
-    table = [[dict(start[0]), dict(start[1])] for _ in range(LABELERS)]
-    belief: dict[tuple[int, ...], float] = {}
-    for _ in range(ROUNDS):
-        for votes in counts:
-            odds = math.log(prior / (1 - prior)) + sum(
-                math.log(table[k][1][v] / table[k][0][v]) for k, v in enumerate(votes)
-            )
-            belief[votes] = 1 / (1 + math.exp(-max(-60.0, min(60.0, odds))))
-        mass = sum(n * belief[votes] for votes, n in counts.items())
-        prior = (mass + 1) / (total + 2)
+    belief = {key: float(max(key[0], 0)) for key in counts}
+    known = {key: key[0] >= 0 for key in counts}
+    table = [[{}, {}] for _ in range(LABELERS)]
+    for step in range(ROUNDS):
         for k in range(LABELERS):
             for c in (0, 1):
-                seen = {v: 1.0 for v in (-1, 0, 1)}
-                for votes, n in counts.items():
-                    seen[votes[k]] += n * (belief[votes] if c else 1 - belief[votes])
+                seen = {v: 1.0 for v in (-1, 1)}
+                for key, n in counts.items():
+                    if key[1][k] and (step or known[key]):
+                        seen[key[1][k]] += n * (belief[key] if c else 1 - belief[key])
                 size = sum(seen.values())
                 table[k][c] = {v: x / size for v, x in seen.items()}
-    return prior, table, belief
+        for key in counts:
+            if not known[key]:
+                odds = sum(math.log(table[k][1][v] / table[k][0][v]) for k, v in enumerate(key[1]) if v)
+                belief[key] = 1 / (1 + math.exp(-max(-60.0, min(60.0, odds))))
+    return table, belief
 
 
 def span_classifier(rows: list[tuple[tuple[int, ...], float, float]], rounds: int = 150) -> tuple[float, list[dict[int, float]]]:
@@ -176,16 +185,16 @@ def score(bias: float, weights: list[dict[int, float]]) -> Column:
 
 def classified(spans: DataFrame) -> DataFrame:
     """Located spans with `holds`, and `score` from a classifier trained on all of them."""
-    voted = settled(with_votes(spans).select("rid", "kind", "start", "end", "holds", "votes", "features"))
-    # At most 3^5 vote combinations and MAX_COMBINATIONS feature combinations come to the driver.
-    counts = {tuple(r.votes): r.n for r in voted.groupBy("votes").agg(F.count("*").alias("n")).collect()}
+    voted = settled(with_votes(spans).select("rid", "kind", "start", "end", "holds", "anchor", "votes", "features"))
+    # At most 3 * 3^4 vote combinations and MAX_COMBINATIONS feature combinations come to the driver.
+    counts = {(r.anchor, tuple(r.votes)): r.n for r in voted.groupBy("anchor", "votes").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return voted.withColumn("score", F.lit(0.0))
-    _, _, belief = reliabilities(counts)
+    _, belief = reliabilities(counts)
     table = voted.sparkSession.createDataFrame(
-        [(list(v), p) for v, p in belief.items()], "votes array<int>, belief double"
+        [(a, list(v), p) for (a, v), p in belief.items()], "anchor int, votes array<int>, belief double"
     )
-    soft = voted.join(F.broadcast(table), "votes").groupBy("features").agg(
+    soft = voted.join(F.broadcast(table), ["anchor", "votes"]).groupBy("features").agg(
         F.count("*").alias("n"), F.sum("belief").alias("positive")
     )
     rows = sorted((tuple(r.features), float(r.n), r.positive) for r in soft.collect())

@@ -1,10 +1,12 @@
 """License, secret and personal-data scans against Python's regular expressions."""
 
 import hashlib
+import math
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from odd import ascii_lower, no_documents, odd_documents
 
@@ -211,21 +213,72 @@ def test_length_of_a_line_does_not_matter(spark, gap):
     assert len(set(found.values())) == 1
 
 
-def test_reliable_labelers_are_found():
-    """Two labelers follow the truth, three vote at random."""
-    rnd = random.Random(1)
-    counts, truth = defaultdict(int), defaultdict(list)
-    for _ in range(4000):
+def voted_spans(n=4000, known=0.4, seed=1):
+    """(anchor, votes, truth): two labelers follow the truth, two vote at random; some spans are known."""
+    rnd = random.Random(seed)
+    out = []
+    for _ in range(n):
         y = rnd.random() < 0.3
-        good = [(1 if y else -1) if rnd.random() < 0.95 else (-1 if y else 1) for _ in range(2)]
-        votes = (*good, *[rnd.choice([-1, 0, 1]) for _ in range(3)])
-        counts[votes] += 1
-        truth[votes].append(y)
-    prior, table, belief = pii.reliabilities(counts)
-    assert abs(prior - 0.3) < 0.05
-    assert table[0][1][1] > 0.9 and abs(table[4][1][1] - table[4][0][1]) < 0.15
-    right = sum((belief[v] > 0.5) == y for v, ys in truth.items() for y in ys)
-    assert right / 4000 > 0.93
+        good = [(1 if y else -1) if rnd.random() < 0.9 else (-1 if y else 1) for _ in range(2)]
+        anchor = int(y) if rnd.random() < known else -1
+        out.append((anchor, (*good, *[rnd.choice([-1, 0, 1]) for _ in range(2)]), y))
+    return out
+
+
+def test_reliable_labelers_are_found():
+    spans = voted_spans()
+    counts = Counter((a, v) for a, v, _ in spans)
+    table, belief = pii.reliabilities(counts)
+    assert table[0][1][1] > 0.8 and abs(table[3][1][1] - table[3][0][1]) < 0.15
+    assert all(belief[a, v] == a for a, v in counts if a >= 0)
+    # The two labelers disagree on 18 % of spans, which nothing can decide.
+    agreed = [(belief[a, v] > 0.5) == y for a, v, y in spans if a < 0 and v[0] == v[1]]
+    assert sum(agreed) / len(agreed) > 0.97
+
+
+def test_beliefs_equal_a_loop_over_spans():
+    """The same fit span by span, with arrays instead of counts of combinations."""
+    spans = voted_spans(300, seed=5)
+    _, belief = pii.reliabilities(Counter((a, v) for a, v, _ in spans))
+    anchors, votes = np.array([a for a, _, _ in spans]), np.array([v for _, v, _ in spans])
+    p = np.maximum(anchors, 0).astype(float)
+    for step in range(pii.ROUNDS):
+        odds = np.zeros(len(p))
+        used = (anchors >= 0) | (step > 0)
+        for k in range(votes.shape[1]):
+            here = [used & (votes[:, k] == v) for v in (-1, 1)]
+            yes, no = ([1 + w[h].sum() for h in here] for w in (p, 1 - p))
+            ratio = np.log(np.array(yes) / sum(yes)) - np.log(np.array(no) / sum(no))
+            odds += np.where(votes[:, k] == 0, 0.0, ratio[(votes[:, k] > 0).astype(int)])
+        p = np.where(anchors < 0, 1 / (1 + np.exp(-odds)), anchors)
+    assert np.allclose(p, [belief[a, v] for a, v, _ in spans], atol=1e-9)
+
+
+PERSONAL_TEXTS = [
+    "please call {0}-555-01{1}7 tonight", "my phone {0}.555.01{1}7 is on", "reach me at {0} 555 01{1}7 any time",
+    "contact jane{1}.roe [at] mail{0} [dot] com today", "write to bob{1} (at) site{0} (dot) org now",
+    "the iban DE{1}9 3704 0044 0532 0{0} 00 is mine", "account GB{1}9 NWBK 6016 1331 9{0} 19 please",
+    "dear Mr. John Smith{2} we", "signed Dr. Maria Garcia{2} yesterday",
+]
+DECOYS = [
+    "order no 555-1{0}-56{1}8 arrived", "version 12.{0}.67{1}9 is out", "part no 123-4{0}-89{1}1 fits", "see figure 12.{0}.67{1}9 there",
+    "item 22-{0}-11{1}3 in stock", "article 9{0} 4{0} 3{0} of it", "isbn 978 1{0} 55{1}4 sold",
+]
+
+
+def test_decoys_are_rejected_and_planted_data_found(spark):
+    """Recall and precision of what the classifier adds: nine tenths each on 27 planted and 28 decoy texts."""
+    rows = [f"write to user{i}@mail.example.com or call +1 (415) 555-010{i % 10} today, card 4111 1111 1111 1111" for i in range(40)]
+    rows += [f"order no 4111 1111 1111 {1112 + 10 * i} and version 300.{i}.999.1, part 12345678901{i:02d}2 of it" for i in range(40)]
+    planted = [t.format(400 + 7 * i, i + 1, "") for i in range(3) for t in PERSONAL_TEXTS]
+    decoys = [t.format(400 + 7 * i, i + 1) for i in range(4) for t in DECOYS]
+    texts = rows + planted + decoys
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    added = {i for i, kinds in kinds_of(pii.personal_data(docs)).items() if set(kinds) - set(PERSONAL)}
+    right = set(range(len(rows), len(rows) + len(planted)))
+    hits = len(added & right)
+    assert hits / len(right) >= 0.9, [texts[i] for i in right - added]
+    assert hits / len(added) >= 0.9, [texts[i] for i in added - right]
 
 
 def test_added_spans(spark):
