@@ -5,13 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sortwell.operators.groups import attach_to_members, joined_by_size
+from sortwell.operators.groups import HOT_SHARE, attach_to_members, joined_by_size
 from sortwell.operators.neardup import Blocks, collapse_hashes, near_hash_pairs
 from sortwell.session import settled
 
 KEY_COUNT = "decimal(38,0)"
 
 
+def _with_least(rows: DataFrame, most: int) -> DataFrame:
+    """`rows` (u, v; settled or a union of settled ones, `most` of them at most) with m, the smallest v of
+    each u. Nodes with more than a thousandth of `most` rows, fewer than a thousand nodes, are fetched and
+    broadcast; the others are joined."""
+    least = rows.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    hot = least.where(F.col("n") > most // HOT_SHARE).select("u", "m").collect()
+    if not hot:
+        return rows.join(least.select("u", "m"), "u")
+    table = F.broadcast(rows.sparkSession.createDataFrame([tuple(r) for r in hot], least.select("u", "m").schema))
+    rest = rows.join(table.select("u"), "u", "left_anti")
+    return rows.join(table, "u").unionByName(rest.join(least.select("u", "m"), "u"))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component (smallest node reachable) for every node of an undirected edge list.
 
@@ -29,17 +42,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     now = checksum()
     # A round that leaves the same pairs has come to the end.
     while now != before:
-        most = 2 * now[0]
-
-        def to_least(rows: DataFrame) -> DataFrame:
-            """`rows` (u, v), `most` of them at most, with m, the smallest v of each u."""
-            least = rows.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-            return joined_by_size(rows, least, "u", size="n", total=most)
-
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = to_least(both).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
+        large = _with_least(both, 2 * now[0]).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
+        large = settled(large.distinct())
         ends = [F.struct(F.col(x).alias("u"), F.col("m").alias("v")) for x in "vu"]
-        small = to_least(large.distinct()).select(F.inline(F.array(*ends))).where("u != v")
+        small = _with_least(large, 2 * now[0]).select(F.inline(F.array(*ends))).where("u != v")
         pairs, before = settled(small.distinct()), now
         now = checksum()
     roots = pairs.select(F.col("v").alias("node")).distinct()
