@@ -45,17 +45,29 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{sc.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+# A group of more than this part of all rows is broadcast in `looked_up`.
+HOT_SHARE = 1000
+
+
 def rows_with(docs: DataFrame, kept: DataFrame, key: str) -> DataFrame:
     """The rows of `docs` whose key is in the one column of `kept`, nulls alike, with their own
-    columns; names may clash."""
-    name = kept.columns[0]
-    packed = docs.select(F.struct("*").alias("row"))
-    found = packed.join(kept.distinct(), F.col("row").getField(key).eqNullSafe(F.col(name)), "left_semi")
-    return found.select("row.*")
+    columns; names may clash.
 
-
-# A group of more than this part of all rows is broadcast in `looked_up`.
-HOT_SHARE = 1000
+    Rows of keys that more than a thousandth of all rows repeat, fewer than a thousand keys, stay where
+    they are and meet a broadcast; the others are joined.
+    """
+    name = kept.columns[0]
+    wanted, packed = kept.distinct(), docs.select(F.struct("*").alias("row"))
+    own = F.col("row").getField(key)
+    sizes = docs.groupBy(F.col(key).alias("hot_key")).agg(F.count("*").alias("n"))
+    hot = settled(sizes.where(F.col("n") > max(1, docs.count() // HOT_SHARE)).select("hot_key"))
+    if hot.isEmpty():
+        return packed.join(wanted, own.eqNullSafe(F.col(name)), "left_semi").select("row.*")
+    is_hot = own.eqNullSafe(F.col("hot_key"))
+    wanted_hot = wanted.join(F.broadcast(hot), F.col(name).eqNullSafe(F.col("hot_key")), "left_semi")
+    often = packed.join(F.broadcast(hot), is_hot, "left_semi").join(F.broadcast(wanted_hot), own.eqNullSafe(F.col(name)), "left_semi")
+    rest = packed.join(F.broadcast(hot), is_hot, "left_anti").join(wanted, own.eqNullSafe(F.col(name)), "left_semi")
+    return often.unionByName(rest).select("row.*")
 
 
 def looked_up(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:

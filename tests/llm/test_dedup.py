@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from odd import jaccard_components, no_documents, odd_documents, odd_rows
 
 from sortwell.llm import exactdedup, jaccard_join
-from sortwell.llm.common import documents
+from sortwell.llm.common import documents, rows_with
 from sortwell.operators.clusters import components
 
 
@@ -53,6 +53,14 @@ def test_every_owner_has_one_range_of_keys(spark):
     assert all(a.high < b.low for a, b in zip(files, files[1:]))
 
 
+def test_rows_of_an_often_repeated_id_stay_complete(spark):
+    rows = [(i, f"text {i}") for i in range(3000)] + [(7, "text 7")] * 500 + [(None, "no id")] * 400 + [(8, "gone")] * 300
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    kept = spark.createDataFrame([(7,), (7,), (None,), (20,), (5000,)], "kept_id bigint")
+    found = sorted((tuple(r) for r in rows_with(docs, kept, "doc_id").collect()), key=str)
+    assert found == sorted([r for r in rows if r[0] in (7, None, 20)], key=str)
+
+
 def test_exact_empty(spark):
     assert exactdedup.exact_groups(no_documents(spark)).count() == 0
     kept = exactdedup.without_copies(odd_documents(spark))
