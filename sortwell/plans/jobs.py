@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sortwell.operators import rules
 from sortwell.operators.batches import assign_batches
+from sortwell.operators.clusters import near_dup_clusters
 from sortwell.operators.duplicates import exact_duplicates, hash_groups
 from sortwell.operators.neardup import Blocks, near_dup_leakage, near_dup_summary, near_duplicates, sort_pairs
 from sortwell.operators.pixels import ImageOptions, augmentation_plan, image_hash64, preprocess_eval
@@ -18,7 +19,7 @@ from sortwell.operators.profile import (
 )
 from sortwell.operators.project import canonicalise, encode_labels, with_provenance
 from sortwell.operators.reconcile import attach_file_metadata, extra_files, missing_refs
-from sortwell.operators.split import check_splits, stratified_split
+from sortwell.operators.split import check_splits, stratified_group_split, stratified_split
 from sortwell.session import one_row, settled
 from sortwell.sources.images import decode_images, image_integrity
 from sortwell.sources.tables import (
@@ -143,7 +144,7 @@ def audit_near_duplicates(
     """Hashes of the listed images and every table made of them. Images are decoded once.
 
     `splits` (image_id, split) adds the near duplicates that straddle two splits. Candidates call
-    for a look at the pictures; nothing is removed here.
+    for a look at the pictures; nothing is removed here. `clusters` can be handed to `split_metadata`.
     """
     images = decode_images(spark, image_dirs).withColumnRenamed("key", "image_id")
     hashes = settled(
@@ -156,6 +157,7 @@ def audit_near_duplicates(
         "hashes": hashes,
         "groups": hash_groups(hashes, **named),
         "pairs": sort_pairs(near_duplicates(hashes, **how)),
+        "clusters": near_dup_clusters(hashes, **how),
         "summary": one_row(near_dup_summary(hashes, **how), unhashed),
     }
     if splits is not None:
@@ -163,11 +165,20 @@ def audit_near_duplicates(
     return found
 
 
-def split_metadata(metadata: DataFrame, ratios: tuple = (70, 15, 15), seed: int = 42) -> DataFrame:
-    """Metadata with a checked `split` column, stratified by canonical label."""
-    splits = stratified_split(
-        metadata, key="image_id", label="canonical_label", ratios=ratios, seed=seed
-    )
+def split_metadata(
+    metadata: DataFrame, ratios: tuple = (70, 15, 15), seed: int = 42, clusters: DataFrame | None = None
+) -> DataFrame:
+    """Metadata with a checked `split` column, stratified by canonical label.
+
+    With `clusters` (image_id, cluster; from the near-duplicate audit) no cluster is cut, so no near
+    duplicates straddle two splits; sizes then deviate by less than one cluster per class and split.
+    """
+    named = {"key": "image_id", "label": "canonical_label", "ratios": ratios, "seed": seed}
+    if clusters is None:
+        splits = stratified_split(metadata, **named)
+    else:
+        of = clusters.select("image_id", F.col("cluster").alias("_cluster"))
+        splits = stratified_group_split(metadata.join(of, "image_id", "left"), group="_cluster", **named).drop("_cluster")
     check_splits(splits, key="image_id")
     return splits
 

@@ -6,6 +6,7 @@ from images import blobs, png_bytes
 from pyspark.sql import functions as F
 
 from sortwell.operators import rules
+from sortwell.operators.neardup import near_dup_leakage
 from sortwell.plans import jobs
 from sortwell.session import settled
 from sortwell.sources import images, tables
@@ -107,6 +108,9 @@ def test_near_duplicate_audit(spark, dataset, tmp_path):
     assert found["pairs"].count() > 0 and summary.n_near_pairs >= found["pairs"].count()
     assert found["groups"].count() == summary.n_exact_groups
     assert found["leakage"].where("split_a >= split_b").count() == 0
+    whole = jobs.split_metadata(metadata, clusters=found["clusters"])
+    assert whole.columns == splits.columns and whole.count() == 41
+    assert near_dup_leakage(found["hashes"], whole, key="image_id", hash_col="hash").count() == 0
 
 
 def test_training_batches(spark, dataset):
