@@ -10,6 +10,8 @@ from sortwell.operators.neardup import Blocks, collapse_hashes, near_hash_pairs
 from sortwell.session import settled
 
 KEY_COUNT = "decimal(38,0)"
+# Rows of a pair of nodes in one partition.
+PAIRS_PER_PARTITION = 250_000
 
 
 def _with_least(rows: DataFrame, most: int) -> DataFrame:
@@ -35,19 +37,25 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     pairs = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v")
     pairs, before = settled(pairs.distinct()), None
+    cores = edges.sparkSession.sparkContext.defaultParallelism
+
+    def few(rows: DataFrame) -> DataFrame:
+        """As many partitions as the pairs need: a round writes and reads each of them several times."""
+        return rows.coalesce(max(cores, now[0] // PAIRS_PER_PARTITION))
 
     def checksum() -> tuple:
         return tuple(pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast(KEY_COUNT))).first())
 
     now = checksum()
+    pairs = few(pairs)
     # A round that leaves the same pairs has come to the end.
     while now != before:
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _with_least(both, 2 * now[0]).where("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v"))
-        large = settled(large.distinct())
+        large = settled(few(large.distinct()))
         ends = [F.struct(F.col(x).alias("u"), F.col("m").alias("v")) for x in "vu"]
         small = _with_least(large, 2 * now[0]).select(F.inline(F.array(*ends))).where("u != v")
-        pairs, before = settled(small.distinct()), now
+        pairs, before = settled(few(small.distinct())), now
         now = checksum()
     roots = pairs.select(F.col("v").alias("node")).distinct()
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
