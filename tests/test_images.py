@@ -183,3 +183,34 @@ def test_image_hash_feeds_the_duplicate_search(spark, folder):
     pairs = near_duplicates(pixels.image_hash64(decoded), key="key", hash_col="hash")
     assert ("a.jpg", "b.jpg", 0) in rows(pairs)
     assert hashing.signed64(2**63) == -(2**63)
+
+
+def test_pictures_smaller_than_their_crop_are_moved_whole(spark):
+    """40 pictures of 8 x 8: crops, of 150,528 bytes each, are made in blocks, behind the join."""
+    decoded = spark.range(40).select(
+        F.col("id").alias("key"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("n_channels"),
+        F.unhex(F.repeat(F.lpad(F.hex(F.col("id")), 2, "0"), 64)).alias("data"),
+    )
+    cut = pixels._cut_down(pixels._whole(decoded, "key"), pixels.ImageOptions())
+    assert {(len(r._image.data), r._image.crop) for r in cut.collect()} == {(64, None)}
+    small = pixels.ImageOptions(size=4, resize=5)
+    cut = pixels._cut_down(pixels._whole(decoded, "key"), small)
+    assert {(r._image.data, len(r._image.crop)) for r in cut.collect()} == {(None, 48)}
+    manifest = spark.range(40).select(F.col("id").alias("key"), F.lit("t").alias("width"))
+    for options, bound in ((pixels.ImageOptions(), 0), (small, 0), (small, 100)):
+        got = pixels.preprocess_eval(manifest, decoded, split="test", files=manifest, options=options, max_broadcast_rows=bound, stats=True)
+        found = {r.key: r.stats for r in got.collect()}
+        assert sorted(found) == list(range(40)) and {s.n for s in found.values()} == {3 * options.size**2}
+        assert all(abs(s.min - (k / 255 - 0.485) / 0.229) < 1e-6 for k, s in found.items())
+
+
+def test_crops_and_floats_are_made_in_the_same_blocks(spark):
+    """No function returns the crops of a whole batch at once (10,000 rows: 1.5 GB)."""
+    decoded = spark.range(70, numPartitions=1).select(
+        F.col("id").alias("key"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.lit(1).alias("n_channels"),
+        F.unhex(F.repeat(F.lit("7F"), 64)).alias("data"),
+    )
+    keys = decoded.select("key")
+    for bound, steps in ((100, 1), (0, 2)):
+        plan = plan_of(pixels.preprocess_eval(keys, decoded, split="test", files=keys, max_broadcast_rows=bound))
+        assert "ArrowEvalPython" not in plan and plan.count("MapInArrow") >= steps
