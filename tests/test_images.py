@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import plan_of, rows
 from images import blobs, gradient, png_bytes, write_jpeg
@@ -214,3 +215,13 @@ def test_crops_and_floats_are_made_in_the_same_blocks(spark):
     for bound, steps in ((100, 1), (0, 2)):
         plan = plan_of(pixels.preprocess_eval(keys, decoded, split="test", files=keys, max_broadcast_rows=bound))
         assert "ArrowEvalPython" not in plan and plan.count("MapInArrow") >= steps
+
+
+def test_small_pictures_are_hashed_in_blocks(monkeypatch):
+    """Pictures of 8 x 8 count as the 32 x 32 they are brought to; blocks don't change a hash."""
+    height, data = pd.Series([8] * 25), pd.Series([bytes((i * j) % 251 for j in range(64)) for i in range(25)])
+    hashed = lambda: list(pixels._phash_udf.func(height, height, pd.Series([1] * 25), data))
+    whole, sizes, one = hashed(), [], pixels._phash
+    monkeypatch.setattr(pixels, "BLOCK_PIXELS", 10 * 32 * 32)
+    monkeypatch.setattr(pixels, "_phash", lambda d, *a: sizes.append(len(d)) or one(d, *a))
+    assert hashed() == whole and sizes == [10, 10, 5]
