@@ -114,6 +114,20 @@ def test_crowded_buckets_are_refined_without_loss(spark, bands, bucket_rows):
     assert sorted(found) == expected
 
 
+@pytest.mark.parametrize("n,refined", [(100, False), (400, True)])
+def test_longer_keys_are_for_buckets_where_cells_cost_more(spark, monkeypatch, n, refined):
+    """A bucket of 100 rows takes some 35 copies of a row in cells, but 56 longer keys."""
+    rng, base = random.Random(4), 0x1234_5678_9ABC_DEF0
+    values = sorted({signed64(base ^ (rng.getrandbits(32) << 32)) for _ in range(n)} | {signed64(base ^ 1 << b) for b in range(3)})
+    df = settled(small_table(spark, [(v,) for v in values], "hash bigint"))
+    calls, hot = [], neardup._join_hot_buckets
+    monkeypatch.setattr(neardup, "_join_hot_buckets", lambda *a: calls.append(1) or hot(*a))
+    found = rows(neardup.near_hash_pairs(df, bands="t+1", bucket_rows=3))
+    expected = [(a, b, distance(a, b)) for a, b in itertools.combinations(values, 2) if distance(a, b) <= 5]
+    assert found == sorted(expected, key=lambda r: tuple((v is None, str(v)) for v in r)) and len(found) >= 3
+    assert bool(calls) == refined
+
+
 @pytest.mark.parametrize("bucket_rows", [1, 7, 50, 1000])
 def test_cells_meet_every_pair_once(spark, bucket_rows):
     rng = random.Random(2)
