@@ -2,12 +2,14 @@
 
 import collections
 import random
+import re
 
 import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from sortwell.operators import fingerprint, keyfilter, rules
+from sortwell.plans.queries import QUERIES
 from sortwell.session import small_table
 
 SCHEMA = "k bigint, s string, x double, v array<int>"
@@ -90,3 +92,21 @@ def test_merged_report_equals_the_whole(spark):
     assert rows(rules.merged_report(states, all_rules)) == rows(rules.validation_report(df, all_rules))
     with pytest.raises(ValueError):
         rules.merged_report(states, [])
+
+
+def test_second_partitioning_grows_with_the_table(spark, tmp_path):
+    """Line items of one part, too, are dealt to as many partitions as the scan has, not to five."""
+    schema = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").schema
+    columns = [F.lit(7).cast(f.dataType).alias(f.name) if f.name == "l_partkey" else
+               F.col("id").cast(f.dataType).alias(f.name) if f.name == "l_orderkey" else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    spark.range(3000).repartition(40).select(*columns).write.parquet(str(tmp_path / "lineitem.parquet"))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        scan = spark.read.parquet(str(tmp_path / "lineitem.parquet")).rdd.getNumPartitions()
+        found = QUERIES["bucket_fingerprints"](spark, str(tmp_path))
+        numbers = {int(n) for n in re.findall(r", (\d+)\), REPARTITION_BY_NUM", plan_of(found))}
+        assert numbers == {scan} and scan > 8
+        assert found.first() == (3000, 3000, True)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
