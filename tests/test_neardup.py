@@ -1,5 +1,6 @@
 import itertools
 import random
+import re
 
 import pytest
 from conftest import plan_of, rows
@@ -232,3 +233,15 @@ def test_pairs_sorted_by_distance_then_keys(spark):
     assert [tuple(r) for r in neardup.sort_pairs(df).collect()] == [
         ("a", "z", 0), ("a", "c", 1), ("b", "c", 1),
     ]
+
+
+def test_counting_candidates_takes_more_tasks_for_more_hashes(spark, monkeypatch):
+    """However many cores there are, a task has about COUNTED_PER_TASK hashes."""
+    data = sample_hashes()
+    groups = settled(small_table(spark, data, "key string, hash bigint").groupBy("hash").agg(F.count("*").alias("n_keys")))
+    before = neardup.candidate_pair_count(groups).first()
+    monkeypatch.setattr(neardup, "COUNTED_PER_TASK", 10)
+    found = neardup.candidate_pair_count(groups)
+    dealt = re.search(r"hashpartitioning\(hash#\d+L?, (\d+)\), REPARTITION_BY_NUM", plan_of(found))
+    assert int(dealt[1]) == -(-groups.count() // 10) > 8
+    assert found.first() == before
