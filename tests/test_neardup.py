@@ -245,3 +245,10 @@ def test_counting_candidates_takes_more_tasks_for_more_hashes(spark, monkeypatch
     dealt = re.search(r"hashpartitioning\(hash#\d+L?, (\d+)\), REPARTITION_BY_NUM", plan_of(found))
     assert int(dealt[1]) == -(-groups.count() // 10) > 8
     assert found.first() == before
+
+
+def test_buckets_are_sorted_by_the_column_that_tells_them_apart(spark):
+    """A sort compares prefixes of its first column; block sets are few, so all rows would tie there."""
+    df = settled(small_table(spark, crowded_hashes(), "key string, hash bigint").select("hash"))
+    plan = plan_of(neardup.near_hash_pairs(df))
+    assert re.search(r"Sort \[bucket#", plan) and not re.search(r"Sort \[block_set#", plan)
