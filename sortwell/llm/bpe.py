@@ -32,6 +32,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from sortwell.llm.common import WORKER_TABLES, lean
+
 WORD_END = "</w>"
 MAX_WORDS = 400_000
 MAX_KEPT_LENGTH = 64
@@ -252,6 +254,9 @@ def loaded(path: str) -> Bpe:
     return Bpe(path)
 
 
+WORKER_TABLES["bpe"] = loaded.cache_clear
+
+
 def encode_texts(docs: DataFrame, path: str, key: str = "doc_id", carried: list[str] | None = None) -> DataFrame:
     """key, the `carried` columns, n_tokens, ids and the sha256 of the decoded text, for every row."""
     first = [key, *(carried or [])]
@@ -270,7 +275,7 @@ def encode_texts(docs: DataFrame, path: str, key: str = "doc_id", carried: list[
                     names=[*first, "n_tokens", "ids", "decoded_sha256"],
                 )
 
-    return docs.select(*first, "text").mapInArrow(run, f"{types}, n_tokens bigint, ids array<int>, decoded_sha256 string")
+    return docs.select(*first, "text").mapInArrow(lean(run, "bpe"), f"{types}, n_tokens bigint, ids array<int>, decoded_sha256 string")
 
 
 def decode_ids(rows: DataFrame, path: str, ids: str = "ids", key: str = "doc_id") -> DataFrame:
@@ -283,7 +288,7 @@ def decode_ids(rows: DataFrame, path: str, ids: str = "ids", key: str = "doc_id"
             texts = [None if x is None else bpe.decode(np.array(x, dtype=np.uint32)).decode() for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[key, "text"])
 
-    return rows.select(key, ids).mapInArrow(run, f"`{key}` {key_type}, text string")
+    return rows.select(key, ids).mapInArrow(lean(run, "bpe"), f"`{key}` {key_type}, text string")
 
 
 def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
@@ -305,5 +310,5 @@ def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
             )
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {key_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        lean(run, "bpe"), f"doc_id {key_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     )

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +49,40 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{sc.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+# Tables that a Python worker keeps from task to task, by the operator whose tasks use them.
+WORKER_TABLES: dict[str, Callable[[], None]] = {}
+
+
+def drop_tables(own: str | None) -> None:
+    """Forget the tables of all operators but `own`."""
+    for name, clear in WORKER_TABLES.items():
+        if name != own:
+            clear()
+
+
+def hand_back() -> None:
+    """Give the system the memory that Arrow and the C library hold but don't use."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform.startswith("linux"):
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+
+def lean(run: Callable[[Iterator], Iterable], own: str | None = None) -> Callable[[Iterator], Iterator]:
+    """`run` for mapInArrow, in workers that outlive it and are shared by all operators: they begin
+    without the tables of other operators and keep no unused memory when the task is over."""
+
+    def task(stream):
+        drop_tables(own)
+        try:
+            yield from run(stream)
+        finally:
+            hand_back()
+
+    return task
+
+
 # A group of more than this part of all rows is broadcast in `looked_up`.
 HOT_SHARE = 1000
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sortwell.llm.common import SPACE_RUN, looked_up, rows_with, settled, shared_folder, whole_text
+from sortwell.llm.common import SPACE_RUN, lean, looked_up, rows_with, settled, shared_folder, whole_text
 
 MAX_DEPTH = 16
 BUCKET_BYTES = 32 << 20
@@ -143,12 +143,12 @@ def build_index(docs: DataFrame, keys: DataFrame, key: str, bucket_bytes: int, m
 
     text = normalised()
     entries = docs.select(F.xxhash64(text).alias("h"), text.alias("text"), F.col(key)).mapInArrow(
-        combine, f"bucket int, h bigint, text string, id {id_name}, n bigint"
+        lean(combine), f"bucket int, h bigint, text string, id {id_name}, n bigint"
     )
     # Bucket k goes to task k, so every owner has one range of keys.
     owned = entries.repartitionById(max(1, len(first)), "bucket").sortWithinPartitions("bucket", "h")
     index = owned.withColumn("sha", F.unhex(F.sha2("text", 256))).mapInArrow(
-        own, f"bucket int, h bigint, sha binary, keep_id {id_name}, group_size bigint"
+        lean(own), f"bucket int, h bigint, sha binary, keep_id {id_name}, group_size bigint"
     )
     folder = shared_folder(spark, "hash-index")
     index.write.parquet(folder)

@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sortwell.llm.common import MERGED_TASKS, looked_up, rows_with, settled
+from sortwell.llm.common import MERGED_TASKS, lean, looked_up, rows_with, settled
 from sortwell.operators.clusters import components
 
 WORDS = 4
@@ -146,7 +146,7 @@ def counters(docs: DataFrame, bits: int = COUNTER_BITS) -> np.ndarray:
 
     # Tasks' counts are added up in two steps, so a group holds a bounded number of them.
     schema = "slice int, part int, counts binary"
-    counted = docs.select("text").mapInArrow(count, schema)
+    counted = docs.select("text").mapInArrow(lean(count), schema)
     summed = counted.groupBy("slice", "part").applyInArrow(add, schema).groupBy("slice").applyInArrow(add, schema)
     total = np.zeros(1 << bits, dtype=np.float64)
     part = min(SLICE, len(total))
@@ -181,7 +181,7 @@ def shingled(docs: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
             )
 
     keyed = docs.select(node_key().alias("k"), F.col("doc_id").alias("id"), "text")
-    return settled(keyed.mapInArrow(run, f"k bigint, id {id_type}, n bigint, s1 bigint, s2 bigint, prefix array<bigint>"))
+    return settled(keyed.mapInArrow(lean(run), f"k bigint, id {id_type}, n bigint, s1 bigint, s2 bigint, prefix array<bigint>"))
 
 
 def node_key():
@@ -261,7 +261,7 @@ def candidates(postings: DataFrame, percent: int, list_nodes: int) -> tuple[Data
             yield long_rows(*carry[:2])
 
     dealt = postings.select("h", "node", "n").repartitionByRange("h", "n", "node").sortWithinPartitions("h", "n", "node")
-    found = settled(dealt.mapInArrow(run, "h bigint, a bigint, b bigint, shared bigint, least bigint"))
+    found = settled(dealt.mapInArrow(lean(run), "h bigint, a bigint, b bigint, shared bigint, least bigint"))
     lists = found.where("h is not null").select("h", F.col("a").alias("node"))
     in_long = lists.groupBy("node").count()
     pairs = found.where("h is null").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("least").alias("least"))
@@ -355,7 +355,7 @@ def verified(texts: DataFrame, members: DataFrame, percent: int) -> DataFrame:
         yield batch_of(links)
 
     dealt = placed.repartition("block").sortWithinPartitions("block")
-    return dealt.mapInArrow(run, "a bigint, b bigint")
+    return dealt.mapInArrow(lean(run), "a bigint, b bigint")
 
 
 def in_blocks(parts: DataFrame, nodes: int, entries: int) -> DataFrame:

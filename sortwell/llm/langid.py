@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sortwell.llm.common import MERGED_TASKS, held_out
+from sortwell.llm.common import MERGED_TASKS, held_out, lean
 
 ORDERS = (1, 2, 3)
 BITS = 16
@@ -132,7 +132,7 @@ def train(docs: DataFrame, label: str = "lang", bits: int = BITS) -> tuple[list[
     # Tasks' counts are added up in two steps, so a group holds a bounded number of them.
     schema = "lang string, slice int, part int, counts binary"
     known = docs.where(F.col("text").isNotNull() & F.col(label).isNotNull())
-    counted = known.select("text", F.col(label).cast("string")).mapInArrow(count, schema)
+    counted = known.select("text", F.col(label).cast("string")).mapInArrow(lean(count), schema)
     summed = counted.groupBy("lang", "slice", "part").applyInArrow(add, schema).groupBy("lang", "slice").applyInArrow(add, schema)
     # Bounded: `2**bits` features for each of at most MAX_LANGS languages, checked on the way.
     totals: dict[str, np.ndarray] = {}
@@ -198,7 +198,7 @@ def identify(docs: DataFrame, langs: list[str], matrix: np.ndarray, key: str = "
             )
 
     return docs.select(key, "text").mapInArrow(
-        score, f"`{key}` {key_type.simpleString()}, lang_pred string, score double"
+        lean(score), f"`{key}` {key_type.simpleString()}, lang_pred string, score double"
     )
 
 
@@ -219,4 +219,4 @@ def with_language(docs: DataFrame, min_score: float = 0.5) -> DataFrame:
             mask = [lang != "und" and score >= min_score for lang, score in zip(found, scores)]
             yield batch.filter(pa.array(mask, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(lean(keep), docs.schema)

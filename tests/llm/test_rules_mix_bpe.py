@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import public_tokenizers
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sortwell.llm import bpe, mixing, quality_rules
-from sortwell.llm.common import documents
+from sortwell.llm.common import documents, lean
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -259,3 +260,23 @@ def test_bpe_tables_of_any_size(monkeypatch):
     monkeypatch.setattr(bpe, "MAX_PAIRS", 3)
     small = bpe.Bpe(VOCABULARY)
     assert [small.encode(t).tolist() for t in texts[-40:]] == full
+
+
+def test_workers_hand_back_memory():
+    def held():
+        return int(re.search(r"Pss_Anon:\s+(\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+
+    def run(stream):
+        for size in stream:
+            rows = [bytes(3000) for _ in range(size)]
+            kept.append(bytes(3000))  # lies above the rows, so that they don't go by themselves
+            yield len(rows)
+
+    kept = []
+    bpe.loaded(VOCABULARY)
+    assert list(lean(iter, "bpe")([1, 2])) == [1, 2]
+    assert bpe.loaded.cache_info().currsize == 1
+    before = held()
+    assert list(lean(run)([50_000])) == [50_000]
+    assert bpe.loaded.cache_info().currsize == 0
+    assert held() < before + 50
