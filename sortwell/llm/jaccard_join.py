@@ -6,11 +6,14 @@ link when 100 * shared >= PERCENT * all. The result is the connected components
 1. Texts with equal sets form one class; a class has one node from here on.
 2. Size bounds give a prefix. In any common order of shingles, the first n - ceil(0.85 n) + m of
    two linked texts share at least m. The order puts shingles of rarely used counters first, so that
-   passages many texts share come last; counters are a table of fixed size, filled by all texts.
+   passages many texts share come last; counters are a table of fixed size, filled by all texts. Once
+   texts outnumber them, a rare shingle's counter holds many others too, so levels are fine: common
+   shingles still stand out from these.
 3. First product, over prefixes: nodes are dealt by shingle, overlap counts of pairs are added up,
    and pairs of unlike sizes or with fewer than m shared shingles are discarded. Only lists of at
-   most `LIST_NODES` nodes give pairs. The nodes of a longer list are tied to its first one instead,
-   and what a pair may share in long lists is allowed for in its bound.
+   most `LIST_NODES` nodes give pairs. What a pair may share in long lists is allowed for in its bound.
+   Only a node with as many shingles in long lists as a link takes can have one without any pair; the
+   nodes of a long list of which this holds are tied to their first one instead.
 4. Components of these ties bound where links can be. Each is split into blocks of bounded size, and
    a block is one product of its rows with all its n-gram columns: overlaps are counted row by row,
    rows whose sizes rule out a link are left out, and a link inside a piece already joined isn't
@@ -44,8 +47,10 @@ PERCENT = 85
 # Shingles beyond the first that linked texts must share in their prefixes, in percent of the set.
 EXTRA = 3
 LIST_NODES = 64
-COUNTER_BITS = 20
-SLICE = 1 << 14
+COUNTER_BITS = 22
+# Levels of a counter for each doubling of its count.
+LEVELS = 256
+SLICE = 1 << 15
 BLOCK_NODES = 2_000
 BLOCK_ENTRIES = 1_500_000
 # Bytes of text hashed at once, or one text.
@@ -115,20 +120,33 @@ def shared_in_prefix(n):
     return 1 + EXTRA * n // 100
 
 
+def least_by_long_lists(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Shingles in long lists that a text of `n` needs for a link by long lists alone: what the smallest
+    text that it can link to shares in its prefix."""
+    return shared_in_prefix((percent * n + 99) // 100)
+
+
 def prefix_size(n: int, percent: int = PERCENT) -> int:
     return min(n, n - (percent * n + 99) // 100 + shared_in_prefix(n))
 
 
 def counters(docs: DataFrame, bits: int = COUNTER_BITS) -> np.ndarray:
-    """How many texts use each counter, as a level: one more bit of the count, one more level."""
+    """How many texts use each counter, as a level, of which a doubling of the count has `LEVELS`."""
+    size = min(SLICE, 1 << bits)
+
+    def packed(total):
+        """In as few bytes a counter as its largest count takes."""
+        return total.astype(np.min_scalar_type(int(total.max()))).tobytes()
+
+    def unpacked(data):
+        return np.frombuffer(data, dtype=f"u{len(data) // size}")
 
     def count(stream):
-        total = np.zeros(1 << bits, dtype=np.int64)
+        total = np.zeros(1 << bits, dtype=np.uint32)
         for batch in stream:
             for found in shingle_sets(batch.column(0).to_pylist()):
-                np.add.at(total, (found >> U(64 - bits)).astype(np.int64), 1)
-        part = min(SLICE, len(total))
-        slices = [(k, total[k * part : (k + 1) * part].astype(np.uint32).tobytes()) for k in range(len(total) // part)]
+                total[found >> U(64 - bits)] += np.uint32(1)
+        slices = [(k, packed(x)) for k, x in enumerate(total.reshape(-1, size))]
         part = TaskContext.get().partitionId() // MERGED_TASKS
         yield pa.RecordBatch.from_arrays(
             [pa.array([k for k, _ in slices], pa.int32()), pa.array([part] * len(slices), pa.int32()),
@@ -137,22 +155,20 @@ def counters(docs: DataFrame, bits: int = COUNTER_BITS) -> np.ndarray:
         )
 
     def add(key, table):
-        total = np.zeros(min(SLICE, 1 << bits), dtype=np.uint64)
+        total = np.zeros(size, dtype=np.uint64)
         for x in table.column("counts"):
-            total += np.frombuffer(x.as_buffer(), dtype=np.uint32)
-        total = np.minimum(total, U(2**32 - 1)).astype(np.uint32)
+            total += unpacked(x.as_buffer().to_pybytes())
         return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([0], pa.int32()),
-                         "counts": pa.array([total.tobytes()], pa.binary())})
+                         "counts": pa.array([packed(total)], pa.binary())})
 
     # Tasks' counts are added up in two steps, so a group holds a bounded number of them.
     schema = "slice int, part int, counts binary"
     counted = docs.select("text").mapInArrow(lean(count), schema)
     summed = counted.groupBy("slice", "part").applyInArrow(add, schema).groupBy("slice").applyInArrow(add, schema)
-    total = np.zeros(1 << bits, dtype=np.float64)
-    part = min(SLICE, len(total))
+    levels = np.zeros(1 << bits, dtype=np.uint16)
     for row in summed.toLocalIterator():  # 2**bits counts in all
-        total[row.slice * part : (row.slice + 1) * part] = np.frombuffer(row.counts, dtype=np.uint32)
-    return np.floor(np.log2(total + 1)).astype(np.uint8)
+        levels[row.slice * size : (row.slice + 1) * size] = LEVELS * np.log2(unpacked(row.counts) + 1.0)
+    return levels
 
 
 def shingled(docs: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
@@ -208,15 +224,17 @@ def candidates(postings: DataFrame, percent: int, list_nodes: int) -> tuple[Data
     """Pairs (a, b) that may be linked by short lists, and the long lists as (h, node).
 
     Lists are dealt by ranges of (shingle, size, node), so a very long one fills several partitions.
-    The first and last list of a partition count as long, as they may go on next door.
+    The first and last list of a partition count as long, as they may go on next door. Nodes that can't
+    have a link by long lists alone are left out of these.
     """
 
     def run(stream):
         long_h, carry, started = None, None, False
 
-        def long_rows(h, node):
+        def long_rows(h, node, n):
+            own_least = least_by_long_lists(n, percent)
             return pa.RecordBatch.from_arrays(
-                [pa.array(h), pa.array(node), pa.nulls(len(h), pa.int64()), pa.nulls(len(h), pa.int64()), pa.nulls(len(h), pa.int64())],
+                [pa.array(h), pa.array(node), pa.nulls(len(h), pa.int64()), pa.nulls(len(h), pa.int64()), pa.array(own_least)],
                 names=["h", "a", "b", "shared", "least"],
             )
 
@@ -231,7 +249,7 @@ def candidates(postings: DataFrame, percent: int, list_nodes: int) -> tuple[Data
                 carry = None
             if long_h is not None:
                 k = np.searchsorted(h, long_h, side="right")
-                yield long_rows(h[:k], node[:k])
+                yield long_rows(h[:k], node[:k], n[:k])
                 h, node, n = h[k:], node[k:], n[k:]
                 if not len(h):
                     continue
@@ -239,7 +257,7 @@ def candidates(postings: DataFrame, percent: int, list_nodes: int) -> tuple[Data
             k = np.searchsorted(h, h[-1])
             if len(h) - k > list_nodes:
                 long_h = h[-1]
-                yield long_rows(h[k:], node[k:])
+                yield long_rows(h[k:], node[k:], n[k:])
             else:
                 carry = (h[k:], node[k:], n[k:])
             h, node, n = h[:k], node[:k], n[:k]
@@ -249,7 +267,7 @@ def candidates(postings: DataFrame, percent: int, list_nodes: int) -> tuple[Data
             sizes = np.diff(np.append(heads, len(h)))
             is_long = np.repeat(sizes > list_nodes, sizes)
             if is_long.any():
-                yield long_rows(h[is_long], node[is_long])
+                yield long_rows(h[is_long], node[is_long], n[is_long])
             short = np.repeat((sizes > 1) & (sizes <= list_nodes), sizes)
             pairs = pairs_in_lists(h[short], node[short], n[short], percent)
             if len(pairs):
@@ -258,12 +276,14 @@ def candidates(postings: DataFrame, percent: int, list_nodes: int) -> tuple[Data
                     names=["h", "a", "b", "shared", "least"],
                 )
         if carry is not None:
-            yield long_rows(*carry[:2])
+            yield long_rows(*carry)
 
     dealt = postings.select("h", "node", "n").repartitionByRange("h", "n", "node").sortWithinPartitions("h", "n", "node")
     found = settled(dealt.mapInArrow(lean(run), "h bigint, a bigint, b bigint, shared bigint, least bigint"))
-    lists = found.where("h is not null").select("h", F.col("a").alias("node"))
-    in_long = lists.groupBy("node").count()
+    lists = found.where("h is not null").select("h", F.col("a").alias("node"), "least")
+    in_long = settled(lists.groupBy("node").agg(F.count("*").alias("count"), F.max("least").alias("least")))
+    lists = settled(lists.select("h", "node").join(in_long.where(F.col("count") >= F.col("least")).select("node"), "node"))
+    in_long = in_long.select("node", "count")
     pairs = found.where("h is null").groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.max("least").alias("least"))
     pairs = pairs.join(in_long.toDF("a", "long_a"), "a", "left").join(in_long.toDF("b", "long_b"), "b", "left")
     allowed = F.coalesce(F.least(F.coalesce("long_a", F.lit(0)), F.coalesce("long_b", F.lit(0))), F.lit(0))

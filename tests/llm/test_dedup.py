@@ -130,6 +130,29 @@ def test_jaccard_odd_rows_and_empty_table(spark):
     assert kept.columns == odd_documents(spark).columns and kept.where("doc_id in (3, 11, 13)").count() == 0
 
 
+def test_common_shingles_stand_out_of_full_counters(spark):
+    """1,000 texts of 97 shingles for 256 counters; a passage of 60 texts still has the highest levels."""
+    passage = " ".join(f"p{i}" for i in range(10))
+    texts = [" ".join(f"w{i}x{k}" for k in range(90)) + (" " + passage if i < 60 else "") for i in range(1000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    levels = jaccard_join.counters(docs, 8)
+    shared = next(jaccard_join.shingle_sets([passage])) >> np.uint64(56)
+    assert levels[shared].min() > np.median(levels)
+
+
+def test_few_shingles_in_long_lists_tie_no_nodes(spark):
+    """The prefixes of a text of 200 shingles and of one of 170, the smallest it can link to, share six."""
+    def lists(shared):
+        rows = [(node, 200, h) for node in range(10) for h in range(shared)]
+        rows += [(node, 200, 1000 + 10 * node + k) for node in range(10) for k in range(3)]
+        postings = spark.createDataFrame(rows, "node bigint, n bigint, h bigint").coalesce(1)
+        pairs, found = jaccard_join.candidates(postings, 85, 3)
+        return pairs.count(), {r.node for r in found.where("h < 1000").collect()}
+
+    assert lists(2) == (0, set())
+    assert lists(6) == (0, set(range(10)))
+
+
 def test_chain_of_links_is_one_component(spark):
     """Neighbours link, ends do not."""
     words = [f"t{i}" for i in range(160)]
